@@ -1,0 +1,138 @@
+"""A Parquet table that keeps every version.
+
+Each write puts a complete new snapshot into its own folder and then adds one row to the
+commit log, so a failed write is never seen. Readers go straight to the folder of one
+version. There must be one writer at a time, and a change rewrites the whole table: where
+the session has a transactional table format, prefer that.
+"""
+
+from __future__ import annotations
+
+import datetime
+import uuid
+from collections.abc import Mapping, Sequence
+
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
+
+from starloom.operators import merge as changes
+
+COMMIT_SCHEMA = (
+    "version bigint, committed_at timestamp, operation string, condition string, "
+    "folder string, num_rows bigint, inserted bigint, updated bigint, deleted bigint"
+)
+
+
+class VersionedTable:
+    """The table below ``path``; it exists once something has been written."""
+
+    def __init__(self, spark: SparkSession, path: str):
+        self.spark = spark
+        self.path = path.rstrip("/")
+
+    # reading
+
+    def _commits(self) -> DataFrame:
+        return self.spark.read.schema(COMMIT_SCHEMA).parquet(f"{self.path}/commits")
+
+    def history(self) -> DataFrame:
+        """One row per version, the latest first."""
+        return self._commits().drop("folder").orderBy(F.desc("version"))
+
+    def _commit(self, version: int | None, as_of: str | None):
+        commits = self._commits()
+        if version is not None:
+            commits = commits.where(F.col("version") == version)
+        if as_of is not None:
+            commits = commits.where(F.col("committed_at") <= F.to_timestamp(F.lit(as_of)))
+        found = commits.orderBy(F.desc("version")).first()
+        if found is None:
+            raise ValueError(f"{self.path} has no version {version if as_of is None else as_of}")
+        return found
+
+    def read(self, version: int | None = None, as_of: str | None = None) -> DataFrame:
+        """The table as of a version number or a timestamp, by default the latest."""
+        return self.spark.read.parquet(self._commit(version, as_of)["folder"])
+
+    def latest_version(self) -> int:
+        return self._commit(None, None)["version"]
+
+    def detail(self) -> DataFrame:
+        """One row: path, number of versions, latest version, its rows and its files."""
+        return (
+            self._commits()
+            .agg(
+                F.count(F.lit(1)).alias("num_versions"),
+                F.max("version").alias("latest_version"),
+                F.max_by("num_rows", "version").alias("num_rows"),
+            )
+            .select(
+                F.lit(self.path).alias("path"),
+                "*",
+                F.lit(len(self.read().inputFiles())).alias("num_files"),
+            )
+        )
+
+    # writing
+
+    def _write(self, rows: DataFrame, operation: str, condition: str | None, version: int) -> None:
+        """Write marked rows as a version; the marks are counted during the same job."""
+        action = F.col(changes.ACTION)
+        counted = Observation()
+        marks = {
+            name: F.count(F.when(action == name, 1)).alias(name)
+            for name in (changes.INSERTED, changes.UPDATED, changes.DELETED)
+        }
+        folder = f"{self.path}/data/{version:08d}-{uuid.uuid4().hex}"
+        (
+            rows.observe(counted, F.count(F.lit(1)).alias("seen"), *marks.values())
+            .where(action != changes.DELETED)
+            .drop(changes.ACTION)
+            .write.parquet(folder)
+        )
+        counts = counted.get
+        commit = (
+            version,
+            datetime.datetime.now(datetime.timezone.utc),
+            operation,
+            condition,
+            folder,
+            counts["seen"] - counts[changes.DELETED],
+            *[counts[name] for name in marks],
+        )
+        self.spark.createDataFrame([commit], COMMIT_SCHEMA).coalesce(1).write.mode(
+            "append"
+        ).parquet(f"{self.path}/commits")
+
+    def create(self, df: DataFrame) -> VersionedTable:
+        """Version 0 of a new table."""
+        self._write(df.withColumn(changes.ACTION, F.lit(changes.INSERTED)), "WRITE", None, 0)
+        return self
+
+    def overwrite(self, df: DataFrame) -> VersionedTable:
+        """Replace all rows; older versions stay readable."""
+        rows = df.withColumn(changes.ACTION, F.lit(changes.INSERTED))
+        self._write(rows, "WRITE", None, self.latest_version() + 1)
+        return self
+
+    def update_where(self, condition: str, assignments: Mapping[str, Column]) -> VersionedTable:
+        base = self._commit(None, None)
+        rows = changes.update_where(
+            self.read(base["version"]), F.expr(condition), assignments, marked=True
+        )
+        self._write(rows, "UPDATE", condition, base["version"] + 1)
+        return self
+
+    def delete_where(self, condition: str) -> VersionedTable:
+        base = self._commit(None, None)
+        rows = changes.delete_where(self.read(base["version"]), F.expr(condition), marked=True)
+        self._write(rows, "DELETE", condition, base["version"] + 1)
+        return self
+
+    def merge(self, source: DataFrame, on: Sequence[str], **how) -> VersionedTable:
+        """See ``starloom.operators.merge.merge`` for the options."""
+        base = self._commit(None, None)
+        rows = changes.merge(self.read(base["version"]), source, on, marked=True, **how)
+        condition = " AND ".join(f"target.{k} = source.{k}" for k in on)
+        self._write(rows, "MERGE", condition, base["version"] + 1)
+        return self

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 MESSAGE_SCHEMA = "key string, value string"
 EVENT_SCHEMA = "event_time string, word string, count string"
@@ -30,7 +31,10 @@ def kafka_messages(
 
 
 def file_messages(
-    spark: SparkSession, path: str, schema: str = MESSAGE_SCHEMA, files_per_batch: int | None = None
+    spark: SparkSession,
+    path: str,
+    schema: StructType | str = MESSAGE_SCHEMA,
+    files_per_batch: int | None = None,
 ) -> DataFrame:
     """Messages from Parquet files as they appear."""
     reader = spark.readStream.schema(schema)

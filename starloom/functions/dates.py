@@ -5,52 +5,49 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Subscription type -> length of the period.
-PERIOD_DAYS = {"DAG": 1}
-PERIOD_MONTHS = {"MAAND": 1, "JAAR": 12}
-DEFAULT_PERIOD_DAYS = 1
+# Subscription type -> end of the period, from its start.
+PERIOD_ENDS = {
+    "DAG": "date_add({start}, 1)",
+    "MAAND": "add_months({start}, 1)",
+    "JAAR": "add_months({start}, 12)",
+}
+DEFAULT_PERIOD_END = "date_add({start}, 1)"
 
 
-def date_int(day: Column) -> Column:
+def date_int(day: str) -> str:
     """A date as the integer yyyymmdd."""
-    return F.year(day) * 10000 + F.month(day) * 100 + F.dayofmonth(day)
+    return f"year({day}) * 10000 + month({day}) * 100 + dayofmonth({day})"
 
 
-def yes_no(condition: Column) -> Column:
-    return F.when(condition, "Y").otherwise("N")
-
-
-def calendar_attributes(day: Column) -> list[Column]:
+def calendar_attributes(day: str) -> list[str]:
     """The attribute columns of a calendar dimension, named."""
-    monday_based = F.weekday(day) + 1
     return [
-        date_int(day).alias("dateInt"),
-        day.alias("CalendarDate"),
-        F.year(day).alias("CalendarYear"),
-        F.date_format(day, "MMMM").alias("CalendarMonth"),
-        F.month(day).alias("MonthOfYear"),
-        F.date_format(day, "EEEE").alias("CalendarDay"),
-        F.dayofweek(day).alias("DayOfWeek"),
-        monday_based.alias("DayOfWeekStartMonday"),
-        yes_no(monday_based <= 5).alias("IsWeekDay"),
-        F.dayofmonth(day).alias("DayOfMonth"),
-        yes_no(day == F.last_day(day)).alias("IsLastDayOfMonth"),
-        F.dayofyear(day).alias("DayOfYear"),
-        F.weekofyear(day).alias("WeekOfYearIso"),
-        F.quarter(day).alias("QuarterOfYear"),
+        f"{date_int(day)} AS dateInt",
+        f"{day} AS CalendarDate",
+        f"year({day}) AS CalendarYear",
+        f"date_format({day}, 'MMMM') AS CalendarMonth",
+        f"month({day}) AS MonthOfYear",
+        f"date_format({day}, 'EEEE') AS CalendarDay",
+        f"dayofweek({day}) AS DayOfWeek",
+        f"weekday({day}) + 1 AS DayOfWeekStartMonday",
+        f"if(dayofweek({day}) IN (1, 7), 'N', 'Y') AS IsWeekDay",
+        f"dayofmonth({day}) AS DayOfMonth",
+        f"if({day} = last_day({day}), 'Y', 'N') AS IsLastDayOfMonth",
+        f"dayofyear({day}) AS DayOfYear",
+        f"weekofyear({day}) AS WeekOfYearIso",
+        f"quarter({day}) AS QuarterOfYear",
     ]
 
 
-def minutes_between(start: Column, end: Column) -> Column:
+def minutes_between(start: str, end: str) -> Column:
     """Whole-second difference in minutes, two decimals; negative if the end comes first."""
-    return F.round((F.unix_timestamp(end) - F.unix_timestamp(start)) / 60, 2)
+    return F.expr(f"round((unix_timestamp({end}) - unix_timestamp({start})) / 60, 2)")
 
 
-def period_end(start: Column, period: Column) -> Column:
+def period_end(start: str, period: str) -> Column:
     """Last day of a subscription that starts on ``start``."""
-    end = None
-    for name, days in PERIOD_DAYS.items():
-        end = (end or F).when(period == name, F.date_add(start, days))
-    for name, months in PERIOD_MONTHS.items():
-        end = end.when(period == name, F.add_months(start, months))
-    return end.otherwise(F.date_add(start, DEFAULT_PERIOD_DAYS))
+    branches = " ".join(
+        f"WHEN '{name}' THEN {end.format(start=start)}" for name, end in PERIOD_ENDS.items()
+    )
+    fallback = DEFAULT_PERIOD_END.format(start=start)
+    return F.expr(f"CASE {period} {branches} ELSE {fallback} END")

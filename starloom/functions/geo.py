@@ -7,23 +7,26 @@ from pyspark.sql import functions as F
 
 # Fixed value: mean earth radius in kilometres.
 EARTH_RADIUS_KM = 6371.0088
-_POINT = r"^\s*\(\s*([^,()\s]+)\s*,\s*([^,()\s]+)\s*\)\s*$"
+_POINT = r"^\\s*\\(\\s*([^,()\\s]+)\\s*,\\s*([^,()\\s]+)\\s*\\)\\s*$"
 
 
-def point_latitude(text: Column) -> Column:
+def point_latitude(text: str) -> Column:
     """Latitude of a point written ``(lat,lon)``; null if the text is not such a point."""
-    return F.regexp_extract(text, _POINT, 1).try_cast("double")
+    return F.expr(f"try_cast(regexp_extract({text}, '{_POINT}', 1) AS double)")
 
 
-def point_longitude(text: Column) -> Column:
+def point_longitude(text: str) -> Column:
     """Longitude of a point written ``(lat,lon)``; null if the text is not such a point."""
-    return F.regexp_extract(text, _POINT, 2).try_cast("double")
+    return F.expr(f"try_cast(regexp_extract({text}, '{_POINT}', 2) AS double)")
 
 
-def haversine_km(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
+def haversine_km(lat1: str, lon1: str, lat2: str, lon2: str) -> Column:
     """Great-circle distance in kilometres, 0 for equal points."""
-    half_chord = F.pow(F.sin(F.radians(lat2 - lat1) / 2), 2) + F.cos(F.radians(lat1)) * F.cos(
-        F.radians(lat2)
-    ) * F.pow(F.sin(F.radians(lon2 - lon1) / 2), 2)
-    distance = 2 * EARTH_RADIUS_KM * F.asin(F.least(F.lit(1.0), F.sqrt(half_chord)))
-    return F.when((lat1 == lat2) & (lon1 == lon2), F.lit(0.0)).otherwise(distance)
+    half_chord = (
+        f"pow(sin(radians({lat2} - {lat1}) / 2), 2) + cos(radians({lat1}))"
+        f" * cos(radians({lat2})) * pow(sin(radians({lon2} - {lon1}) / 2), 2)"
+    )
+    return F.expr(
+        f"CASE WHEN {lat1} = {lat2} AND {lon1} = {lon2} THEN 0D "
+        f"ELSE 2 * {EARTH_RADIUS_KM}D * asin(least(1D, sqrt({half_chord}))) END"
+    )

@@ -6,24 +6,21 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Unit separator between fields, record separator in place of a null.
-FIELD_SEPARATOR = "\x1f"
-NULL_MARKER = "\x1e"
+FIELD_SEPARATOR = r"\u001f"
+NULL_MARKER = r"\u001e"
 
 
-def row_hash(*columns: Column | str) -> Column:
-    """md5 over all columns, in order.
+def row_hash_sql(*expressions: str) -> str:
+    """md5 over all expressions, in order, as SQL text.
 
     A separator keeps ('ab', 'c') and ('a', 'bc') apart and a marker stands for null, so
     the hash itself is never null. Doubles should be cast to decimal by the caller: their
     text form is not stable between engines.
     """
-    fields = [
-        F.coalesce((F.col(c) if isinstance(c, str) else c).cast("string"), F.lit(NULL_MARKER))
-        for c in columns
-    ]
-    return F.md5(F.concat_ws(FIELD_SEPARATOR, *fields))
+    fields = [f"coalesce(cast({e} AS string), '{NULL_MARKER}')" for e in expressions]
+    return f"md5(concat_ws('{FIELD_SEPARATOR}', {', '.join(fields)}))"
 
 
-def differs(left: Column, right: Column) -> Column:
-    """Null-safe inequality: true also when exactly one side is null."""
-    return ~left.eqNullSafe(right)
+def row_hash(*expressions: str) -> Column:
+    """``row_hash_sql`` as a column."""
+    return F.expr(row_hash_sql(*expressions))

@@ -10,17 +10,16 @@ UNKNOWN = "Unknown"
 UNPLEASANT = "Unpleasant"
 PLEASANT = "Pleasant"
 NEUTRAL = "Neutral"
-CLEAR_SKY_CODES = [0, 1, 2, 3]
+CLEAR_SKY_CODES = (0, 1, 2, 3)
 PLEASANT_FROM_DEGREES = 15
 
 
-def weather_category(temperature: Column, precipitation: Column, code: Column) -> Column:
+def weather_category(temperature: str, precipitation: str, code: str) -> Column:
     """Category of one hour; any missing measurement makes it unknown."""
-    incomplete = temperature.isNull() | precipitation.isNull() | code.isNull()
-    pleasant = (temperature >= PLEASANT_FROM_DEGREES) & code.isin(CLEAR_SKY_CODES)
-    return (
-        F.when(incomplete, UNKNOWN)
-        .when(precipitation > 0, UNPLEASANT)
-        .when(pleasant, PLEASANT)
-        .otherwise(NEUTRAL)
+    return F.expr(
+        f"CASE WHEN {temperature} IS NULL OR {precipitation} IS NULL OR {code} IS NULL"
+        f" THEN '{UNKNOWN}'"
+        f" WHEN {precipitation} > 0 THEN '{UNPLEASANT}'"
+        f" WHEN {temperature} >= {PLEASANT_FROM_DEGREES} AND {code} IN {CLEAR_SKY_CODES}"
+        f" THEN '{PLEASANT}' ELSE '{NEUTRAL}' END"
     )

@@ -10,57 +10,53 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.hashing import differs
+from starloom.functions.names import quoted
 
-BUCKET_UNITS = ("day", "month", "year")
+# The unit of a bucket and the bucket of a date or timestamp.
+BUCKETS = {
+    "day": "to_date({0})",
+    "month": "trunc({0}, 'month')",
+    "year": "trunc({0}, 'year')",
+}
 
 
-def _key_name(position: int) -> str:
-    return f"__key_{position}"
-
-
-def _with_keys(
-    df: DataFrame, keys: list[Column], take: Mapping[str, Column | str]
-) -> DataFrame:
-    """Only the key columns and the columns to take, under names that cannot collide."""
-    named = [key.alias(_key_name(i)) for i, key in enumerate(keys)]
-    taken = [(F.col(c) if isinstance(c, str) else c).alias(n) for n, c in take.items()]
-    return df.select(*named, *taken)
+def _side(dimension: DataFrame, keys: list[str], take: Mapping[str, str]) -> DataFrame:
+    """Only the keys and the columns to take, under names that cannot collide."""
+    named = [f"{key} AS __key_{i}" for i, key in enumerate(keys)]
+    return dimension.selectExpr(*named, *[f"{e} AS {quoted(n)}" for n, e in take.items()])
 
 
 def lookup(
     facts: DataFrame,
     dimension: DataFrame,
-    on: Mapping[str, Column | str],
-    take: Mapping[str, Column | str],
+    on: Mapping[str, str],
+    take: Mapping[str, str],
     how: str = "left",
 ) -> DataFrame:
     """Add columns of ``dimension`` to ``facts`` by an equality join.
 
     ``on`` maps fact columns to dimension columns, ``take`` maps new column names to
-    dimension columns. The same dimension can be looked up once per role (start station,
-    end station) with other names. ``how`` is 'left' to keep facts without a match and
-    'inner' to drop them.
+    dimension columns; a dimension column may be any SQL expression. The same dimension can
+    be looked up once per role (start station, end station) with other names. ``how`` is
+    'left' to keep facts without a match and 'inner' to drop them.
     """
-    keys = [F.col(c) if isinstance(c, str) else c for c in on.values()]
-    side = _with_keys(dimension, keys, take)
-    condition = F.lit(True)
-    for i, fact_column in enumerate(on):
-        condition = condition & (facts[fact_column] == side[_key_name(i)])
-    return facts.join(side, condition, how).select(facts["*"], *[side[n] for n in take])
+    side = _side(dimension, list(on.values()), take)
+    equal = " AND ".join(f"{quoted('f', c)} = d.__key_{i}" for i, c in enumerate(on))
+    joined = facts.alias("f").join(side.alias("d"), F.expr(equal), how)
+    return joined.selectExpr("f.*", *[quoted("d", n) for n in take])
 
 
 def lookup_in_range(
     facts: DataFrame,
     dimension: DataFrame,
     on: Mapping[str, str],
-    at: Column,
+    at: str,
     start: str,
     end: str,
-    take: Mapping[str, Column | str],
+    take: Mapping[str, str],
     *,
     start_included: bool,
     how: str = "left",
@@ -78,33 +74,20 @@ def lookup_in_range(
     day, month or year it touches, and a fact only meets the ranges of its own bucket. A
     fact has exactly one bucket, so the result is the same.
     """
-    if bucket is not None and bucket not in BUCKET_UNITS:
-        raise ValueError(f"bucket must be one of {BUCKET_UNITS}")
-    keys = [F.col(c) for c in on.values()]
     taken = {**take, "__start": start, "__end": end}
-    moment = "__at"
-    left = facts.withColumn(moment, at)
+    conditions = [f"{quoted('f', c)} = d.__key_{i}" for i, c in enumerate(on)]
+    conditions += [f"f.__at {'>=' if start_included else '>'} d.__start", "f.__at <= d.__end"]
     if bucket is not None:
-        first, last = F.trunc(F.col(start), bucket), F.trunc(F.col(end), bucket)
-        if bucket == "day":
-            first, last = F.to_date(F.col(start)), F.to_date(F.col(end))
-        step = F.expr(f"interval 1 {bucket}")
-        dimension = dimension.where(F.col(start) <= F.col(end)).withColumn(
-            "__bucket", F.explode(F.sequence(first, last, step))
-        )
+        of = BUCKETS[bucket].format
+        listed = f"explode(sequence({of(start)}, {of(end)}, interval 1 {bucket})) AS __bucket"
+        dimension = dimension.where(f"{start} <= {end}").selectExpr("*", listed)
         taken["__bucket"] = "__bucket"
-    side = _with_keys(dimension, keys, taken)
-    after_start = (
-        left[moment] >= side["__start"] if start_included else left[moment] > side["__start"]
-    )
-    condition = after_start & (left[moment] <= side["__end"])
-    for i, fact_column in enumerate(on):
-        condition = condition & (left[fact_column] == side[_key_name(i)])
-    if bucket is not None:
-        own = F.to_date(left[moment]) if bucket == "day" else F.trunc(left[moment], bucket)
-        condition = condition & (own == side["__bucket"])
-    return left.join(side, condition, how).select(
-        *[left[c] for c in facts.columns], *[side[n] for n in take]
+        conditions.append(f"{of('f.__at')} = d.__bucket")
+    side = _side(dimension, list(on.values()), taken)
+    moments = facts.selectExpr("*", f"{at} AS __at")
+    joined = moments.alias("f").join(side.alias("d"), F.expr(" AND ".join(conditions)), how)
+    return joined.selectExpr(
+        *[quoted("f", c) for c in facts.columns], *[quoted("d", n) for n in take]
     )
 
 
@@ -116,10 +99,12 @@ def detect_changes(
     Columns of the open version follow the source columns under the prefix ``dwh_`` and are
     null for a new row.
     """
-    versions = open_versions.select(
-        *[F.col(c).alias(f"dwh_{c}") for c in open_versions.columns]
+    versions = open_versions.selectExpr(
+        *[f"{quoted(c)} AS {quoted(f'dwh_{c}')}" for c in open_versions.columns]
     )
-    joined = source.join(versions, source[key] == versions[f"dwh_{key}"], "left")
-    return joined.where(
-        versions[f"dwh_{key}"].isNull() | differs(versions[f"dwh_{row_hash}"], source[row_hash])
+    old_key, old_hash = quoted("dwh", f"dwh_{key}"), quoted("dwh", f"dwh_{row_hash}")
+    return (
+        source.alias("s")
+        .join(versions.alias("dwh"), F.expr(f"{quoted('s', key)} = {old_key}"), "left")
+        .where(f"{old_key} IS NULL OR NOT ({old_hash} <=> {quoted('s', row_hash)})")
     )

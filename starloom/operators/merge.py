@@ -1,52 +1,58 @@
 """Update, delete and merge as functions from the old table to the new one.
 
-Each function can mark what happened to a row in the column ``ACTION``; the version store
-counts these marks while it writes.
+Conditions and values are SQL text, as in the statements they stand for. Each function can
+mark what happened to a row in the column ``ACTION``; the version store counts these marks
+while it writes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.functions.names import quoted
 from starloom.workspace import fits_broadcast
 
 ACTION = "__action"
 KEPT, UPDATED, INSERTED, DELETED = "kept", "updated", "inserted", "deleted"
 
 
-def _holds(condition: Column) -> Column:
+def _holds(condition: str) -> str:
     """A condition that is null does not hold."""
-    return F.coalesce(condition, F.lit(False))
+    return f"coalesce({condition}, false)"
 
 
-def _drop_action(df: DataFrame, marked: bool) -> DataFrame:
+def _finish(df: DataFrame, marked: bool) -> DataFrame:
     return df if marked else df.drop(ACTION)
 
 
+def _types(df: DataFrame) -> dict[str, str]:
+    return {f.name: f.dataType.simpleString() for f in df.schema.fields}
+
+
 def update_where(
-    df: DataFrame, condition: Column, assignments: Mapping[str, Column], marked: bool = False
+    df: DataFrame, condition: str, assignments: Mapping[str, str], marked: bool = False
 ) -> DataFrame:
     """Rows that meet the condition get the assigned values, which may use old values."""
     hit = _holds(condition)
     columns = [
-        F.when(hit, assignments[c]).otherwise(F.col(c)).cast(df.schema[c].dataType).alias(c)
+        f"cast(if({hit}, {assignments[c]}, {quoted(c)}) AS {kind}) AS {quoted(c)}"
         if c in assignments
-        else F.col(c)
-        for c in df.columns
+        else quoted(c)
+        for c, kind in _types(df).items()
     ]
-    action = F.when(hit, UPDATED).otherwise(KEPT).alias(ACTION)
-    return _drop_action(df.select(*columns, action), marked)
+    action = f"if({hit}, '{UPDATED}', '{KEPT}') AS {ACTION}"
+    return _finish(df.selectExpr(*columns, action), marked)
 
 
-def delete_where(df: DataFrame, condition: Column, marked: bool = False) -> DataFrame:
+def delete_where(df: DataFrame, condition: str, marked: bool = False) -> DataFrame:
     """Rows that meet the condition go; with ``marked`` they stay and are only marked."""
     hit = _holds(condition)
     if marked:
-        return df.withColumn(ACTION, F.when(hit, DELETED).otherwise(KEPT))
-    return df.where(~hit)
+        return df.selectExpr("*", f"if({hit}, '{DELETED}', '{KEPT}') AS {ACTION}")
+    return df.where(f"NOT {hit}")
 
 
 def rows_not_in(rows: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -68,17 +74,17 @@ def merge(
     source: DataFrame,
     on: Sequence[str],
     *,
-    update: Mapping[str, Column] | str = "all",
-    when: Column | None = None,
-    target_matches: Column | None = None,
-    source_matches: Column | None = None,
+    update: Mapping[str, str] | str = "all",
+    when: str = "true",
+    target_matches: str = "true",
+    source_matches: str = "true",
     insert: bool = True,
     marked: bool = False,
 ) -> DataFrame:
     """Merge ``source`` into ``target`` on equal ``on`` columns.
 
     * ``update``: new values of a matched row, or 'all' for all source columns. Values and
-      ``when`` name the sides ``F.col("target.x")`` and ``F.col("source.x")``.
+      ``when`` name the sides ``target.x`` and ``source.x``.
     * ``when``: further condition of the update; a matched row without it stays as it is.
     * ``target_matches`` / ``source_matches``: conditions over the bare columns of one side
       that a row needs to match at all.
@@ -91,74 +97,50 @@ def merge(
     extra shuffle. Target rows that cannot match skip the join.
     """
     keys = list(on)
-    names = target.columns
-    no_null = F.lit(True)
-    for key in keys:
-        no_null = no_null & F.col(key).isNotNull()
-    may_match = no_null if target_matches is None else no_null & _holds(target_matches)
-    can_match = no_null if source_matches is None else no_null & _holds(source_matches)
-
+    types = _types(target)
+    has_key = " AND ".join(f"{quoted(k)} IS NOT NULL" for k in keys)
+    may_match = f"({has_key} AND {_holds(target_matches)})"
+    can_match = f"({has_key} AND {_holds(source_matches)})"
     candidates = target.where(may_match)
-    bystanders = target.where(~may_match).withColumn(ACTION, F.lit(KEPT))
+    bystanders = target.where(f"NOT {may_match}").selectExpr("*", f"'{KEPT}' AS {ACTION}")
 
-    values = [c for c in source.columns if c not in keys]
+    values = [
+        F.expr(f"first({quoted(c)}) AS {quoted(c)}") for c in source.columns if c not in keys
+    ]
     grouped = (
-        source.where(can_match)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("__copies"), *[F.first(c).alias(c) for c in values])
+        source.where(can_match).groupBy(*keys).agg(F.expr("count(1) AS __copies"), *values)
     )
-    left, right = candidates.alias("target"), grouped.alias("source")
-    equal = F.lit(True)
-    for key in keys:
-        equal = equal & (F.col(f"target.{key}") == F.col(f"source.{key}"))
-    several = F.raise_error(F.lit("two source rows match one target row")).cast("boolean")
-    joined = left.join(right, equal, "left").where(
-        F.when(F.col("source.__copies") > 1, several).otherwise(True)
+    equal = " AND ".join(f"{quoted('target', k)} = {quoted('source', k)}" for k in keys)
+    several = "cast(raise_error('two source rows match one target row') AS boolean)"
+    joined = (
+        candidates.alias("target")
+        .join(grouped.alias("source"), F.expr(equal), "left")
+        .where(f"CASE WHEN source.__copies > 1 THEN {several} ELSE true END")
     )
-
-    matched = F.col("source.__copies").isNotNull()
-    hit = matched if when is None else matched & _holds(when)
+    hit = f"source.__copies IS NOT NULL AND {_holds(when)}"
     assigned = (
-        {c: F.col(f"source.{c}") for c in source.columns} if update == "all" else dict(update)
+        {c: quoted("source", c) for c in source.columns} if update == "all" else dict(update)
     )
-    merged = joined.select(
-        F.when(hit, UPDATED).otherwise(KEPT).alias(ACTION),
-        "target.*",
-        *[assigned[c].alias(f"__new_{c}") for c in names if c in assigned],
-    )
-    updated = F.col(ACTION) == UPDATED
-    candidates_after = merged.select(
+    result = joined.selectExpr(
         *[
-            F.when(updated, F.col(f"__new_{c}"))
-            .otherwise(F.col(c))
-            .cast(target.schema[c].dataType)
-            .alias(c)
+            f"cast(if({hit}, {assigned[c]}, {quoted('target', c)}) AS {kind}) AS {quoted(c)}"
             if c in assigned
-            else F.col(c)
-            for c in names
+            else quoted("target", c)
+            for c, kind in types.items()
         ],
-        ACTION,
-    )
-    result = candidates_after.unionByName(bystanders)
+        f"if({hit}, '{UPDATED}', '{KEPT}') AS {ACTION}",
+    ).unionByName(bystanders)
     if insert:
+        able = rows_not_in(source.where(can_match), candidates, keys)
+        fresh = able.unionByName(source.where(f"NOT {can_match}"))
         result = result.unionByName(
-            _unmatched(source, candidates, keys, can_match).select(
+            fresh.selectExpr(
                 *[
-                    F.col(c).cast(target.schema[c].dataType).alias(c)
-                    if c in source.columns
-                    else F.lit(None).cast(target.schema[c].dataType).alias(c)
-                    for c in names
+                    f"cast({quoted(c) if c in source.columns else 'NULL'} AS {kind})"
+                    f" AS {quoted(c)}"
+                    for c, kind in types.items()
                 ],
-                F.lit(INSERTED).alias(ACTION),
+                f"'{INSERTED}' AS {ACTION}",
             )
         )
-    return _drop_action(result, marked)
-
-
-def _unmatched(
-    source: DataFrame, candidates: DataFrame, keys: list[str], can_match: Column
-) -> DataFrame:
-    """Source rows that no candidate row of the target matches."""
-    able = source.where(can_match)
-    unable = source.where(~can_match)
-    return rows_not_in(able, candidates, keys).unionByName(unable)
+    return _finish(result, marked)

@@ -8,24 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.hashing import differs, row_hash
+from starloom.functions.hashing import row_hash_sql
+from starloom.functions.names import quoted
 
 # Validity of the first versions and of every open version.
 FIRST_START = "1999-01-01 00:00:00"
 OPEN_END = "2100-12-12 00:00:00"
 
 
-def _timestamp(value: str | Column) -> Column:
-    return F.to_timestamp(F.lit(value)) if isinstance(value, str) else value
-
-
-def _surrogate(key: str, start: Column, source: DataFrame | None = None) -> Column:
+def surrogate_sql(key: str, start: str) -> str:
     """A key that is the same on every run, unlike a random or a counted one."""
-    natural = F.col(key) if source is None else source[key]
-    return row_hash(natural, F.date_format(start, "yyyy-MM-dd HH:mm:ss.SSSSSS"))
+    return row_hash_sql(key, f"date_format({start}, 'yyyy-MM-dd HH:mm:ss.SSSSSS')")
 
 
 def scd2_initial(
@@ -33,36 +29,36 @@ def scd2_initial(
     key: str,
     tracked: Sequence[str],
     surrogate: str,
-    start: str | Column = FIRST_START,
-    end: str | Column = OPEN_END,
+    start: str = FIRST_START,
+    end: str = OPEN_END,
 ) -> DataFrame:
     """The first load: every source row becomes an open version."""
-    begin = _timestamp(start)
-    return source.select(
-        _surrogate(key, begin).alias(surrogate),
+    begin = f"timestamp'{start}'"
+    return source.selectExpr(
+        f"{surrogate_sql(quoted(key), begin)} AS {quoted(surrogate)}",
         "*",
-        begin.alias("scd_start"),
-        _timestamp(end).alias("scd_end"),
-        row_hash(*tracked).alias("md5"),
-        F.lit(True).alias("current"),
+        f"{begin} AS scd_start",
+        f"timestamp'{end}' AS scd_end",
+        f"{row_hash_sql(*map(quoted, tracked))} AS md5",
+        "true AS current",
     )
 
 
 def unique_by(df: DataFrame, key: str) -> DataFrame:
-    """``df`` unchanged, but its job fails if two rows share a key that is not null.
+    """The rows of ``df`` that have a key; its job fails if two rows share one.
 
     The check is a grouping by the key, whose shuffle a following join on the key reuses.
     """
-    values = [c for c in df.columns if c != key]
-    several = F.raise_error(F.concat(F.lit(f"{key} occurs twice: "), F.col(key).cast("string")))
-    keyed = (
-        df.where(F.col(key).isNotNull())
+    name = quoted(key)
+    values = [f"first({quoted(c)}) AS {quoted(c)}" for c in df.columns if c != key]
+    several = f"raise_error(concat('{key} occurs twice: ', cast({name} AS string)))"
+    return (
+        df.where(f"{name} IS NOT NULL")
         .groupBy(key)
-        .agg(F.count(F.lit(1)).alias("__copies"), *[F.first(c).alias(c) for c in values])
-        .where(F.when(F.col("__copies") > 1, several.cast("boolean")).otherwise(True))
+        .agg(F.expr("count(1) AS __copies"), *map(F.expr, values))
+        .where(f"CASE WHEN __copies > 1 THEN cast({several} AS boolean) ELSE true END")
         .select(*df.columns)
     )
-    return keyed.unionByName(df.where(F.col(key).isNull()))
 
 
 def scd2_apply(
@@ -71,50 +67,57 @@ def scd2_apply(
     key: str,
     tracked: Sequence[str],
     surrogate: str,
-    run_at: str | Column,
-    end: str | Column = OPEN_END,
+    run_at: str,
+    end: str = OPEN_END,
 ) -> DataFrame:
     """The dimension after a load: changed versions closed at ``run_at``, new ones opened.
 
     History never takes part in the join: only open versions do, and both they and the
     source have one row per key, so a key with a very long history is no hot spot. One
     full outer join decides everything; a matched pair gives the version as it was, or the
-    closed and the new version. The job fails if the source has a key twice.
+    closed and the new version. A source row without a key is always new. The job fails if
+    the source has a key twice.
     """
-    moment = _timestamp(run_at)
-    history = dimension.where(~F.col("current"))
-    old = dimension.where(F.col("current")).withColumn("__old", F.lit(True))
-    new = unique_by(source, key).withColumns(
-        {"__md5": row_hash(*tracked), "__new": F.lit(True)}
-    )
-    names = dimension.columns
-
-    def version(**changed: Column) -> Column:
-        return F.struct(*[changed.get(c, old[c]).alias(c) for c in names])
-
-    opened = F.struct(
-        *[
-            {
-                surrogate: _surrogate(key, moment, new),
-                "scd_start": moment,
-                "scd_end": _timestamp(end),
-                "md5": new["__md5"],
-                "current": F.lit(True),
-            }
-            .get(c, new[c] if c in new.columns else F.lit(None))
-            .cast(dimension.schema[c].dataType)
-            .alias(c)
-            for c in names
+    moment = f"timestamp'{run_at}'"
+    columns = [(f.name, f.dataType.simpleString()) for f in dimension.schema.fields]
+
+    def version(values: dict[str, str], side: str) -> str:
+        fields = [
+            f"'{c}', cast({values.get(c, quoted(side, c))} AS {kind})" for c, kind in columns
         ]
+        return f"named_struct({', '.join(fields)})"
+
+    opened = version(
+        {
+            surrogate: surrogate_sql(quoted("new", key), moment),
+            "scd_start": moment,
+            "scd_end": f"timestamp'{end}'",
+            "md5": "new.__md5",
+            "current": "true",
+        },
+        "new",
     )
-    closed = version(scd_end=moment, current=F.lit(False))
-    is_new = old["__old"].isNull()
-    is_gone = new["__new"].isNull()
-    changed = differs(old["md5"], new["__md5"])
+    same = version({}, "old")
+    closed = version({"scd_end": moment, "current": "false"}, "old")
     versions = (
-        F.when(is_new, F.array(opened))
-        .when(is_gone | ~changed, F.array(version()))
-        .otherwise(F.array(closed, opened))
+        f"CASE WHEN old.__old IS NULL THEN array({opened})"
+        f" WHEN new.__new IS NULL OR old.md5 <=> new.__md5 THEN array({same})"
+        f" ELSE array({closed}, {opened}) END"
+    )
+    new_columns = (
+        "*",
+        f"{row_hash_sql(*map(quoted, tracked))} AS __md5",
+        "true AS __new",
+    )
+    old = dimension.where("current").selectExpr("*", "true AS __old").alias("old")
+    new = unique_by(source, key).selectExpr(*new_columns).alias("new")
+    live = old.join(
+        new, F.expr(f"{quoted('old', key)} = {quoted('new', key)}"), "full"
+    ).selectExpr(f"inline({versions})")
+    keyless = (
+        source.where(f"{quoted(key)} IS NULL")
+        .selectExpr(*new_columns)
+        .alias("new")
+        .selectExpr(f"inline(array({opened}))")
     )
-    live = old.join(new, old[key] == new[key], "full").select(F.inline(versions))
-    return history.unionByName(live)
+    return dimension.where("NOT current").unionByName(live).unionByName(keyless)

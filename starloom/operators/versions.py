@@ -12,7 +12,7 @@ import datetime
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators import merge as changes
@@ -115,17 +115,17 @@ class VersionedTable:
         self._write(rows, "WRITE", None, self.latest_version() + 1)
         return self
 
-    def update_where(self, condition: str, assignments: Mapping[str, Column]) -> VersionedTable:
+    def update_where(self, condition: str, assignments: Mapping[str, str]) -> VersionedTable:
         base = self._commit(None, None)
         rows = changes.update_where(
-            self.read(base["version"]), F.expr(condition), assignments, marked=True
+            self.read(base["version"]), condition, assignments, marked=True
         )
         self._write(rows, "UPDATE", condition, base["version"] + 1)
         return self
 
     def delete_where(self, condition: str) -> VersionedTable:
         base = self._commit(None, None)
-        rows = changes.delete_where(self.read(base["version"]), F.expr(condition), marked=True)
+        rows = changes.delete_where(self.read(base["version"]), condition, marked=True)
         self._write(rows, "DELETE", condition, base["version"] + 1)
         return self
 

@@ -3,18 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from starloom.functions.dates import calendar_attributes, date_int
 from starloom.sources.files import days_between, generate_dates
 
-WEEKEND = ["Saturday", "Sunday"]
-
 
 def _dimension(days: DataFrame) -> DataFrame:
     """``date_sk`` counts the days from 0; being computed per row it needs no ordering."""
-    key = F.datediff("day", "first_day").cast("long").alias("date_sk")
-    return days.select(key, *calendar_attributes(F.col("day")))
+    return days.selectExpr(
+        "cast(datediff(day, first_day) AS bigint) AS date_sk", *calendar_attributes("day")
+    )
 
 
 def date_dimension(spark: SparkSession, begin: str, end: str) -> DataFrame:
@@ -24,34 +22,29 @@ def date_dimension(spark: SparkSession, begin: str, end: str) -> DataFrame:
 
 def date_dimension_over(df: DataFrame, day: str) -> DataFrame:
     """The calendar from the first to the last value of a date or timestamp column."""
-    bounds = df.agg(
-        F.min(F.to_date(day)).alias("lowest"), F.max(F.to_date(day)).alias("highest")
-    )
-    return _dimension(days_between(bounds, F.col("lowest"), F.col("highest")))
+    bounds = df.selectExpr(f"min(to_date({day})) AS lowest", f"max(to_date({day})) AS highest")
+    return _dimension(days_between(bounds, "lowest", "highest"))
 
 
 def ride_dates(rides: DataFrame) -> DataFrame:
     """Distinct start and end dates in one pass over the rides."""
-    dates = F.array(F.to_date("starttime"), F.to_date("endtime"))
     return (
-        rides.select(F.explode(dates).alias("ride_date"))
-        .where(F.col("ride_date").isNotNull())
+        rides.selectExpr("explode(array(to_date(starttime), to_date(endtime))) AS ride_date")
+        .where("ride_date IS NOT NULL")
         .distinct()
     )
 
 
 def ride_date_dimension(rides: DataFrame) -> DataFrame:
     """One row per date on which a ride starts or ends; the key is the integer yyyymmdd."""
-    day = F.col("ride_date")
-    day_name = F.date_format(day, "EEEE")
-    return ride_dates(rides).select(
-        date_int(day).alias("date_sk"),
-        day.alias("date"),
-        F.year(day).alias("year"),
-        F.quarter(day).alias("quarter"),
-        F.month(day).alias("month_nr"),
-        F.date_format(day, "MMMM").alias("month_name"),
-        F.dayofmonth(day).alias("day_nr"),
-        day_name.alias("day_name"),
-        (~day_name.isin(WEEKEND)).alias("is_weekday"),
+    return ride_dates(rides).selectExpr(
+        f"{date_int('ride_date')} AS date_sk",
+        "ride_date AS date",
+        "year(ride_date) AS year",
+        "quarter(ride_date) AS quarter",
+        "month(ride_date) AS month_nr",
+        "date_format(ride_date, 'MMMM') AS month_name",
+        "dayofmonth(ride_date) AS day_nr",
+        "date_format(ride_date, 'EEEE') AS day_name",
+        "dayofweek(ride_date) NOT IN (1, 7) AS is_weekday",
     )

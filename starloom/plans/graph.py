@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starloom.functions.dates import minutes_between
 from starloom.operators.joins import lookup
@@ -26,9 +25,9 @@ EDGE_COLUMNS = [
 def rides_between(rides: DataFrame, first_day: str, last_day: str) -> DataFrame:
     """Rides that start on a day of the closed range and take some time."""
     return (
-        rides.where(F.to_date("starttime").between(F.lit(first_day), F.lit(last_day)))
-        .withColumn("ride_duration", minutes_between(F.col("starttime"), F.col("endtime")))
-        .where(F.col("ride_duration") > 0)
+        rides.where(f"to_date(starttime) BETWEEN date'{first_day}' AND date'{last_day}'")
+        .withColumn("ride_duration", minutes_between("starttime", "endtime"))
+        .where("ride_duration > 0")
     )
 
 
@@ -49,7 +48,7 @@ def ride_edges(
     """Edges where the lock numbers are taken for station numbers."""
     edges = rides_between(rides, first_day, last_day)
     for role in ("start", "end"):
-        edges = edges.withColumn(f"{role}_station_id", F.col(f"{role}lockid"))
+        edges = edges.selectExpr("*", f"{role}lockid AS {role}_station_id")
         edges = _district(edges, stations, role, f"{role}_station_id")
     return _finish(edges, subscriptions, users).select(*EDGE_COLUMNS)
 
@@ -82,4 +81,6 @@ def ride_edges_via_locks(
 
 def _finish(edges: DataFrame, subscriptions: DataFrame, users: DataFrame) -> DataFrame:
     """The vehicle needs no lookup: an edge only carries its number."""
-    return with_user(edges, subscriptions, users).withColumn("datetime", F.col("starttime"))
+    return with_user(edges, subscriptions, users).selectExpr(
+        "*", "starttime AS datetime"
+    )

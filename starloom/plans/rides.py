@@ -10,12 +10,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame
 
 from starloom.functions.dates import minutes_between, period_end
 from starloom.functions.geo import haversine_km
-from starloom.functions.hashing import row_hash
+from starloom.functions.hashing import row_hash_sql
 from starloom.functions.weather import UNKNOWN
 from starloom.operators.joins import lookup, lookup_in_range
 from starloom.plans.calendar import ride_date_dimension
@@ -50,25 +49,23 @@ def user_dimension(
     periods = (
         subscriptions.join(subscription_types, "subscriptiontypeid")
         .join(users, "userid")
-        .withColumn("end_date", period_end(F.col("validfrom"), F.col("description")))
+        .withColumn("end_date", period_end("validfrom", "description"))
     )
-    return periods.select(
-        row_hash("userid", "validfrom", "end_date").alias("user_sk"),
-        F.col("userid").alias("user_id"),
+    return periods.selectExpr(
+        f"{row_hash_sql('userid', 'validfrom', 'end_date')} AS user_sk",
+        "userid AS user_id",
         "street",
         "number",
         "zipcode",
         "city",
         "country_code",
-        F.col("validfrom").alias("start_date"),
+        "validfrom AS start_date",
         "end_date",
     )
 
 
 def vehicle_dimension(bike_types: DataFrame) -> DataFrame:
-    return bike_types.select(
-        F.col("biketypeid").alias("vehicle_id"), F.col("biketypedescription").alias("type")
-    )
+    return bike_types.selectExpr("biketypeid AS vehicle_id", "biketypedescription AS type")
 
 
 def weather_dimension(weather_types: DataFrame) -> DataFrame:
@@ -110,23 +107,19 @@ class RideDimensions:
     weather: DataFrame  # zipcode, ride_date, hour, weather_description
 
 
-def ride_distance_km() -> Column:
-    return haversine_km(*[F.col(c) for c in ("start_lat", "start_lon", "end_lat", "end_lon")])
-
-
 def with_locks(rides: DataFrame, locks: DataFrame) -> DataFrame:
     """Rides whose two locks exist, with both keys and the zip code of the start."""
     started = lookup(
         rides,
         locks,
-        {"startlockid": F.col("lock_id").try_cast("long")},
-        {"start_lock_id": "lock_id", "zipcode": F.col("zipcode").try_cast("int")},
+        {"startlockid": "try_cast(lock_id AS bigint)"},
+        {"start_lock_id": "lock_id", "zipcode": "try_cast(zipcode AS int)"},
         "inner",
     )
     return lookup(
         started,
         locks,
-        {"endlockid": F.col("lock_id").try_cast("long")},
+        {"endlockid": "try_cast(lock_id AS bigint)"},
         {"end_lock_id": "lock_id"},
         "inner",
     )
@@ -145,7 +138,7 @@ def with_user(rides: DataFrame, subscriptions: DataFrame, users: DataFrame) -> D
         known,
         users,
         {"userid": "user_id"},
-        F.to_date("starttime"),
+        "to_date(starttime)",
         "start_date",
         "end_date",
         {"user_sk": "user_sk"},
@@ -155,16 +148,18 @@ def with_user(rides: DataFrame, subscriptions: DataFrame, users: DataFrame) -> D
 
 def with_weather(rides: DataFrame, weather: DataFrame, weather_types: DataFrame) -> DataFrame:
     """Add ``weather_id`` by zip code, day and hour of the start."""
-    timed = rides.withColumns(
-        {"ride_date": F.to_date("starttime"), "ride_hour": F.hour("starttime")}
+    timed = rides.selectExpr(
+        "*", "to_date(starttime) AS ride_date", "hour(starttime) AS ride_hour"
     )
     measured = lookup(
         timed,
         weather,
         {"zipcode": "zipcode", "ride_date": "ride_date", "ride_hour": "hour"},
-        {"weather_type": "weather_description"},
+        {"weather_description": "weather_description"},
+    )
+    typed = measured.selectExpr(
+        "*", f"coalesce(weather_description, '{UNKNOWN}') AS weather_type"
     )
-    typed = measured.withColumn("weather_type", F.coalesce("weather_type", F.lit(UNKNOWN)))
     return lookup(
         typed, weather_types, {"weather_type": "weather_type"}, {"weather_id": "weather_id"}
     )
@@ -173,17 +168,17 @@ def with_weather(rides: DataFrame, weather: DataFrame, weather_types: DataFrame)
 def ride_fact(rides: DataFrame, dims: RideDimensions) -> DataFrame:
     """One row per ride (and valid user period) with a duration that is not negative."""
     measured = (
-        rides.withColumn("ride_duration", minutes_between(F.col("starttime"), F.col("endtime")))
-        .where(F.col("ride_duration") >= 0)
-        .withColumn("ride_distance", ride_distance_km())
+        rides.withColumn("ride_duration", minutes_between("starttime", "endtime"))
+        .where("ride_duration >= 0")
+        .withColumn("ride_distance", haversine_km("start_lat", "start_lon", "end_lat", "end_lon"))
         .drop("start_lat", "start_lon", "end_lat", "end_lon", "endtime")
     )
     placed = with_weather(with_locks(measured, dims.locks), dims.weather, dims.weather_types)
     owned = with_user(placed, dims.subscriptions, dims.users)
     typed = lookup(owned, dims.vehicles, {"vehicleid": "vehicleid"}, {"vehicle_id": "vehicle_id"})
     dated = lookup(typed, dims.dates, {"ride_date": "date"}, {"date_sk": "date_sk"})
-    return dated.select(
-        F.col("rideid").alias("ride_id"),
+    return dated.selectExpr(
+        "rideid AS ride_id",
         "user_sk",
         "start_lock_id",
         "end_lock_id",

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.functions.hashing import row_hash
+from starloom.functions.hashing import row_hash_sql
 from starloom.operators.joins import lookup, lookup_in_range
 from starloom.operators.merge import merge
 from starloom.operators.scd2 import FIRST_START, scd2_apply, scd2_initial
@@ -36,7 +36,7 @@ def sales_fact(sales: DataFrame, dates: DataFrame, salesreps: DataFrame) -> Data
     calendar day or a version keep a null key.
     """
     dated = lookup(
-        sales.withColumn("order_day", F.to_date("order_date")),
+        sales.selectExpr("*", "to_date(order_date) AS order_day"),
         dates,
         {"order_day": "CalendarDate"},
         {"date_sk": "date_sk"},
@@ -45,26 +45,28 @@ def sales_fact(sales: DataFrame, dates: DataFrame, salesreps: DataFrame) -> Data
         dated,
         salesreps,
         {REP_KEY: REP_KEY},
-        F.col("order_date"),
+        "order_date",
         "scd_start",
         "scd_end",
         {REP_SURROGATE: REP_SURROGATE},
         start_included=False,
     )
-    fact = with_rep.select(
+    measures = ["1", "amount"]
+    return with_rep.selectExpr(
         "order_id",
         "date_sk",
         REP_SURROGATE,
-        F.lit(1).alias("count_mv"),
-        F.col("amount").alias("revenue_mv"),
+        "1 AS count_mv",
+        "amount AS revenue_mv",
+        f"{row_hash_sql('order_id', 'date_sk', REP_SURROGATE, *measures)} AS md5",
     )
-    return fact.withColumn("md5", row_hash(*fact.columns))
 
 
 def sales_fact_increment(fact: DataFrame, fresh: DataFrame, marked: bool = False) -> DataFrame:
     """Upsert by order: rows whose hash changed are replaced, new orders are added."""
-    changed = F.col("source.md5") != F.col("target.md5")
-    return merge(fact, fresh, ["order_id"], when=changed, marked=marked)
+    return merge(
+        fact, fresh, ["order_id"], when="source.md5 <> target.md5", marked=marked
+    )
 
 
 def revenue_by_weekday(fact: DataFrame, dates: DataFrame) -> DataFrame:

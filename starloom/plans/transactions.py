@@ -4,7 +4,6 @@ purchase_date, product_name, quantity): write, update, delete, merge, look back.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from starloom.operators.versions import VersionedTable
 
@@ -16,9 +15,7 @@ def run_lifecycle(
     rows merged back, which sets the quantity of present rows to 0 and inserts the others."""
     table = VersionedTable(transactions.sparkSession, path)
     table.create(transactions)
-    table.update_where(
-        f"product_name = '{product}'", {"quantity": F.col("quantity") + 1}
-    )
+    table.update_where(f"product_name = '{product}'", {"quantity": "quantity + 1"})
     table.delete_where(f"customer_id = {customer}")
-    table.merge(transactions, ["transaction_id"], update={"quantity": F.lit(0)})
+    table.merge(transactions, ["transaction_id"], update={"quantity": "0"})
     return table

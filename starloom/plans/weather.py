@@ -26,25 +26,22 @@ def weather_requests(rides: DataFrame, locks: DataFrame, stations: DataFrame) ->
 
     Places without coordinates and rides without a start are left out.
     """
-    placed = lookup(
-        locks,
-        stations,
-        {"stationid": "stationid"},
-        {"zipcode": "zipcode", "gpscoord": "gpscoord"},
+    located = stations.withColumns(
+        {"lat": point_latitude("gpscoord"), "lon": point_longitude("gpscoord")}
     )
+    wanted = {name: name for name in ("zipcode", "lat", "lon")}
+    placed = lookup(locks, located, {"stationid": "stationid"}, wanted)
     started = lookup(
-        rides.withColumn("ride_date", F.to_date("starttime")),
+        rides.selectExpr("startlockid", "to_date(starttime) AS ride_date"),
         placed,
         {"startlockid": "lockid"},
-        {
-            "zipcode": "zipcode",
-            "lat": point_latitude(F.col("gpscoord")),
-            "lon": point_longitude(F.col("gpscoord")),
-        },
+        wanted,
+    )
+    return (
+        started.select("zipcode", "ride_date", "lat", "lon")
+        .dropna(subset=["ride_date", "lat", "lon"])
+        .distinct()
     )
-    return started.select("zipcode", "ride_date", "lat", "lon").dropna(
-        subset=["ride_date", "lat", "lon"]
-    ).distinct()
 
 
 def hourly_weather(payloads: DataFrame) -> DataFrame:
@@ -53,35 +50,22 @@ def hourly_weather(payloads: DataFrame) -> DataFrame:
     Incomplete payloads give no row. A missing measurement makes the hour 'Unknown' and
     leaves the other hours of the day alone.
     """
-    hourly = payloads.withColumn(
-        "hourly", F.from_json("payload", PAYLOAD_SCHEMA).getField("hourly")
-    )
-    temperatures, rain, codes = (
-        F.col(f"hourly.{field}") for field in ("temperature_2m", "precipitation", "weathercode")
-    )
+    hourly = payloads.withColumn("hourly", F.from_json("payload", PAYLOAD_SCHEMA)["hourly"])
     complete = hourly.where(
-        (F.size(temperatures) >= HOURS) & (F.size(rain) > 0) & (F.size(codes) > 0)
+        f"size(hourly.temperature_2m) >= {HOURS} AND size(hourly.precipitation) > 0"
+        " AND size(hourly.weathercode) > 0"
     )
-    per_hour = complete.select(
-        "zipcode",
+    measured = complete.selectExpr(
+        "try_cast(zipcode AS int) AS zipcode",
         "ride_date",
-        F.posexplode(
-            F.slice(
-                F.arrays_zip(
-                    temperatures.alias("temperature"), rain.alias("rain"), codes.alias("code")
-                ),
-                1,
-                HOURS,
-            )
-        ).alias("hour", "measured"),
+        "posexplode(slice(arrays_zip(hourly.temperature_2m, hourly.precipitation,"
+        f" hourly.weathercode), 1, {HOURS})) AS (hour, at)",
     )
-    temperature = F.col("measured.temperature")
-    return per_hour.select(
-        F.col("zipcode").try_cast("int").alias("zipcode"),
+    category = weather_category("at.temperature_2m", "at.precipitation", "at.weathercode")
+    return measured.select(
+        "zipcode",
         "ride_date",
         "hour",
-        temperature.alias("temperature"),
-        weather_category(
-            temperature, F.col("measured.rain"), F.col("measured.code")
-        ).alias("weather_description"),
+        F.col("at.temperature_2m").alias("temperature"),
+        category.alias("weather_description"),
     )

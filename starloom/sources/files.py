@@ -4,8 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 
@@ -44,14 +43,11 @@ def rows_with_schema(
 
 def generate_dates(spark: SparkSession, begin: str, end: str) -> DataFrame:
     """One row per day from ``begin`` to ``end``, both included, in the column ``day``."""
-    bounds = spark.range(1).select(
-        F.to_date(F.lit(begin)).alias("first_day"), F.to_date(F.lit(end)).alias("last_day")
-    )
-    return days_between(bounds, F.col("first_day"), F.col("last_day"))
+    return days_between(spark.range(1), f"date'{begin}'", f"date'{end}'")
 
 
-def days_between(bounds: DataFrame, first: Column, last: Column) -> DataFrame:
+def days_between(bounds: DataFrame, first: str, last: str) -> DataFrame:
     """One row (``first_day``, ``day``) per day of every range in ``bounds``."""
-    return bounds.select(
-        first.alias("first_day"), F.explode(F.sequence(first, last)).alias("day")
+    return bounds.selectExpr(
+        f"{first} AS first_day", f"explode(sequence({first}, {last}, interval 1 day)) AS day"
     )

@@ -434,10 +434,10 @@ def union_all(r: Relations) -> DataFrame:
 FROM (SELECT o_orderkey, CAST(o_orderdate AS DATE) AS d FROM orders)""",
 )
 def date_parts(r: Relations) -> DataFrame:
-    parts = calendar_attributes(F.to_date("o_orderdate"))
     return (
         r.table("orders")
-        .select("o_orderkey", *parts)
+        .selectExpr("o_orderkey", "to_date(o_orderdate) AS day")
+        .selectExpr("o_orderkey", *calendar_attributes("day"))
         .select(
             "o_orderkey",
             F.col("CalendarYear").alias("y"),
@@ -466,15 +466,11 @@ def date_parts(r: Relations) -> DataFrame:
 )
 def subscription_ends(r: Relations) -> DataFrame:
     period = (
-        F.when(F.col("o_orderpriority") == "1-URGENT", "DAG")
-        .when(F.col("o_orderpriority") == "2-HIGH", "MAAND")
-        .when(F.col("o_orderpriority") == "3-MEDIUM", "JAAR")
-        .otherwise("WEEK")
-    )
-    return r.table("orders").select(
-        "o_orderkey",
-        period_end(F.to_date("o_orderdate"), period).cast("string").alias("end_date"),
+        "CASE o_orderpriority WHEN '1-URGENT' THEN 'DAG' WHEN '2-HIGH' THEN 'MAAND' "
+        "WHEN '3-MEDIUM' THEN 'JAAR' ELSE 'WEEK' END"
     )
+    end = period_end("to_date(o_orderdate)", period)
+    return r.table("orders").select("o_orderkey", end.cast("string").alias("end_date"))
 
 
 @query(
@@ -484,9 +480,9 @@ def subscription_ends(r: Relations) -> DataFrame:
 FROM events""",
 )
 def ride_durations(r: Relations) -> DataFrame:
-    end = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    minutes = minutes_between("ts", "timestamp_ntz'2024-02-01 00:00:00'")
     return r.table("events").select(
-        "event_id", minutes_between(F.col("ts"), end).alias("minutes"), F.hour("ts").alias("hour")
+        "event_id", minutes.alias("minutes"), F.hour("ts").alias("hour")
     )
 
 
@@ -504,7 +500,7 @@ def json_fields(r: Relations) -> DataFrame:
        CAST(CAST(o_totalprice AS {MONEY}) AS VARCHAR), o_orderpriority)) AS md5 FROM orders""",
 )
 def row_hashes(r: Relations) -> DataFrame:
-    amount = F.col("o_totalprice").cast(MONEY)
+    amount = f"cast(o_totalprice AS {MONEY})"
     return r.table("orders").select(
         "o_orderkey",
         row_hash("o_orderkey", "o_orderstatus", amount, "o_orderpriority").alias("md5"),
@@ -526,8 +522,8 @@ def split_points(r: Relations) -> DataFrame:
         .withColumn("point", point)
         .select(
             "p_partkey",
-            F.round(point_latitude(F.col("point")), 3).alias("lat"),
-            F.round(point_longitude(F.col("point")), 2).alias("lon"),
+            F.round(point_latitude("point"), 3).alias("lat"),
+            F.round(point_longitude("point"), 2).alias("lon"),
         )
     )
 
@@ -543,8 +539,8 @@ FROM (SELECT l_orderkey, l_linenumber, 51 + (l_suppkey % 97) / 1e3 AS lat1,
              4 + (l_partkey % 89) / 1e3 AS lon2 FROM lineitem)""",
 )
 def haversine(r: Relations) -> DataFrame:
-    def point(key: str):
-        return F.lit(51) + (F.col(key) % 97) / 1000, F.lit(4) + (F.col(key) % 89) / 1000
+    def point(key: str) -> tuple[str, str]:
+        return f"(51 + ({key} % 97) / 1000)", f"(4 + ({key} % 89) / 1000)"
 
     km = haversine_km(*point("l_suppkey"), *point("l_partkey"))
     return r.table("lineitem").select("l_orderkey", "l_linenumber", F.round(km, 3).alias("km"))
@@ -557,8 +553,7 @@ def haversine(r: Relations) -> DataFrame:
        ELSE 'Neutral' END AS category FROM events""",
 )
 def weather_categories(r: Relations) -> DataFrame:
-    rain = F.when(F.col("event_type") == "error", 0.4).otherwise(0.0)
-    category = weather_category(F.col("value"), rain, F.col("user_id") % 6)
+    category = weather_category("value", "if(event_type = 'error', 0.4, 0.0)", "user_id % 6")
     return r.table("events").select("event_id", category.alias("category"))
 
 

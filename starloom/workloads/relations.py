@@ -34,30 +34,33 @@ class Relations:
     def __init__(self, spark: SparkSession, folder: str):
         self.spark = spark
         self.folder = folder
+        self._tables: dict[str, DataFrame] = {}
         spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
-        return scan_parquet(self.spark, f"{self.folder}/{name}.parquet")
+        if name not in self._tables:
+            path = f"{self.folder}/{name}.parquet"
+            self._tables[name] = scan_parquet(self.spark, path)
+        return self._tables[name]
 
     # sales
 
     @cached_property
     def sales(self) -> DataFrame:
-        return self.table("orders").select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_orderdate").alias("order_date"),
-            F.col("o_custkey").alias("salesrep_id"),
-            F.col("o_totalprice").cast(MONEY).alias("amount"),
+        return self.table("orders").selectExpr(
+            "o_orderkey AS order_id",
+            "o_orderdate AS order_date",
+            "o_custkey AS salesrep_id",
+            f"cast(o_totalprice AS {MONEY}) AS amount",
         )
 
     @cached_property
     def salesreps_later(self) -> DataFrame:
         """The second load: everyone, and who is in debt has moved to another office."""
-        moved = F.when(F.col("c_acctbal") < 0, "RECOVERY").otherwise(F.col("c_mktsegment"))
-        return self.table("customer").select(
-            F.col("c_custkey").alias("salesrep_id"),
-            F.col("c_name").alias("name"),
-            moved.alias("office"),
+        return self.table("customer").selectExpr(
+            "c_custkey AS salesrep_id",
+            "c_name AS name",
+            "if(c_acctbal < 0, 'RECOVERY', c_mktsegment) AS office",
         )
 
     @cached_property
@@ -65,12 +68,8 @@ class Relations:
         """The first load: before the people of nation 0 joined."""
         return (
             self.table("customer")
-            .where(F.col("c_nationkey") != 0)
-            .select(
-                F.col("c_custkey").alias("salesrep_id"),
-                F.col("c_name").alias("name"),
-                F.col("c_mktsegment").alias("office"),
-            )
+            .where("c_nationkey <> 0")
+            .selectExpr("c_custkey AS salesrep_id", "c_name AS name", "c_mktsegment AS office")
         )
 
     @cached_property
@@ -94,74 +93,59 @@ class Relations:
     @cached_property
     def rides(self) -> DataFrame:
         lines, orders = self.table("lineitem"), self.table("orders")
-        end_lock = F.col("l_suppkey") + F.col("l_linenumber")
-
-        def latitude(lock):
-            return F.lit(51) + (lock % 97) / 1000
-
-        def longitude(lock):
-            return F.lit(4) + (lock % 89) / 1000
-
-        return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey")).select(
-            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("rideid"),
-            F.timestamp_add("SECOND", F.col("l_partkey") * 37 % 86400, "o_orderdate").alias(
-                "starttime"
-            ),
-            F.timestamp_add("SECOND", F.col("l_suppkey") * 61 % 86400, "l_shipdate").alias(
-                "endtime"
-            ),
-            F.col("l_suppkey").alias("startlockid"),
-            end_lock.alias("endlockid"),
-            F.col("l_partkey").alias("vehicleid"),
-            (F.col("o_custkey") * 10000 + F.year("o_orderdate")).alias("subscriptionid"),
-            latitude(F.col("l_suppkey")).alias("start_lat"),
-            longitude(F.col("l_suppkey")).alias("start_lon"),
-            latitude(end_lock).alias("end_lat"),
-            longitude(end_lock).alias("end_lon"),
+        end_lock = "(l_suppkey + l_linenumber)"
+        return lines.join(orders, lines["l_orderkey"] == orders["o_orderkey"]).selectExpr(
+            "l_orderkey * 10 + l_linenumber AS rideid",
+            "timestampadd(SECOND, l_partkey * 37 % 86400, o_orderdate) AS starttime",
+            "timestampadd(SECOND, l_suppkey * 61 % 86400, l_shipdate) AS endtime",
+            "l_suppkey AS startlockid",
+            f"{end_lock} AS endlockid",
+            "l_partkey AS vehicleid",
+            "o_custkey * 10000 + year(o_orderdate) AS subscriptionid",
+            "51 + (l_suppkey % 97) / 1000 AS start_lat",
+            "4 + (l_suppkey % 89) / 1000 AS start_lon",
+            f"51 + ({end_lock} % 97) / 1000 AS end_lat",
+            f"4 + ({end_lock} % 89) / 1000 AS end_lon",
         )
 
     @cached_property
     def locks(self) -> DataFrame:
-        return self.table("supplier").select(
-            F.col("s_suppkey").alias("lockid"), F.col("s_nationkey").alias("stationid")
+        return self.table("supplier").selectExpr(
+            "s_suppkey AS lockid", "s_nationkey AS stationid"
         )
 
     @cached_property
     def stations(self) -> DataFrame:
-        nations = self.table("nation").join(
-            self.table("region"), F.col("n_regionkey") == F.col("r_regionkey")
-        )
-        return nations.selectExpr(
-            "n_nationkey as stationid",
-            "concat('S', n_nationkey) as stationnr",
-            "n_name as street",
-            "cast(n_nationkey as string) as number",
-            "cast(1000 + n_regionkey as string) as zipcode",
-            "r_name as district",
-            "concat('(51.', 100 + n_nationkey, ',4.', 200 + n_nationkey, ')') as gpscoord",
+        nations, regions = self.table("nation"), self.table("region")
+        return nations.join(
+            regions, nations["n_regionkey"] == regions["r_regionkey"]
+        ).selectExpr(
+            "n_nationkey AS stationid",
+            "concat('S', n_nationkey) AS stationnr",
+            "n_name AS street",
+            "cast(n_nationkey AS string) AS number",
+            "cast(1000 + n_regionkey AS string) AS zipcode",
+            "r_name AS district",
+            "concat('(51.', 100 + n_nationkey, ',4.', 200 + n_nationkey, ')') AS gpscoord",
         )
 
     @cached_property
     def vehicles(self) -> DataFrame:
         return self.table("part").selectExpr(
-            "p_partkey as vehicleid", "p_name as serialnumber", "p_brand as bikelotid"
+            "p_partkey AS vehicleid", "p_name AS serialnumber", "p_brand AS bikelotid"
         )
 
     @cached_property
     def bikelots(self) -> DataFrame:
-        return (
-            self.table("part")
-            .groupBy(F.col("p_brand").alias("bikelotid"))
-            .agg(F.min("p_type").alias("biketypeid"))
-        )
+        lots = self.table("part").selectExpr("p_brand AS bikelotid", "p_type")
+        return lots.groupBy("bikelotid").agg(F.min("p_type").alias("biketypeid"))
 
     @cached_property
     def bike_types(self) -> DataFrame:
         return (
             self.table("part")
-            .select(F.col("p_type").alias("biketypeid"))
+            .selectExpr("p_type AS biketypeid", "concat('type ', p_type) AS biketypedescription")
             .distinct()
-            .withColumn("biketypedescription", F.concat(F.lit("type "), F.col("biketypeid")))
         )
 
     @cached_property
@@ -173,12 +157,12 @@ class Relations:
     @cached_property
     def users(self) -> DataFrame:
         return self.table("customer").selectExpr(
-            "c_custkey as userid",
-            "c_name as street",
-            "cast(c_nationkey as string) as number",
-            "cast(1000 + c_nationkey as string) as zipcode",
-            "c_mktsegment as city",
-            "concat('C', c_nationkey) as country_code",
+            "c_custkey AS userid",
+            "c_name AS street",
+            "cast(c_nationkey AS string) AS number",
+            "cast(1000 + c_nationkey AS string) AS zipcode",
+            "c_mktsegment AS city",
+            "concat('C', c_nationkey) AS country_code",
         )
 
     @cached_property
@@ -186,13 +170,14 @@ class Relations:
         """A customer renews once a year, on the day of the first order."""
         yearly = (
             self.table("orders")
-            .groupBy("o_custkey", F.year("o_orderdate").cast("long").alias("year"))
-            .agg(F.min(F.to_date("o_orderdate")).alias("validfrom"))
+            .selectExpr("o_custkey", "year(o_orderdate) AS year", "to_date(o_orderdate) AS day")
+            .groupBy("o_custkey", "year")
+            .agg(F.min("day").alias("validfrom"))
         )
-        return yearly.select(
-            (F.col("o_custkey") * 10000 + F.col("year")).alias("subscriptionid"),
-            F.col("o_custkey").alias("userid"),
-            ((F.col("o_custkey") + F.col("year")) % 4).cast("int").alias("subscriptiontypeid"),
+        return yearly.selectExpr(
+            "o_custkey * 10000 + year AS subscriptionid",
+            "o_custkey AS userid",
+            "cast((o_custkey + year) % 4 AS int) AS subscriptiontypeid",
             "validfrom",
         )
 
@@ -221,33 +206,31 @@ class Relations:
         The events are reduced to one row per day and hour before the 24 hours of a day are
         put into one text.
         """
-        moment = F.col("ts")
         by_hour = (
             self.table("events")
-            .groupBy(F.dayofmonth(moment).alias("day"), F.hour(moment).alias("hour"))
-            .agg(
-                F.floor(F.max("value")).cast("double").alias("temperature"),
-                F.when(F.count(F.lit(1)) % 4 == 0, 0.2).otherwise(0.0).alias("rain"),
-                (F.count(F.lit(1)) % 6).cast("int").alias("code"),
+            .selectExpr("dayofmonth(ts) AS day", "hour(ts) AS hour", "value")
+            .groupBy("day", "hour")
+            .agg(F.max("value").alias("highest"), F.count("*").alias("events"))
+            .selectExpr(
+                "day",
+                "hour",
+                "cast(floor(highest) AS double) AS degrees",
+                "if(events % 4 = 0, 0.2D, 0.0D) AS rain",
+                "cast(events % 6 AS int) AS code",
             )
         )
 
-        def hours(field: str):
-            at = [F.max(F.when(F.col("hour") == h, F.col(field))) for h in range(HOURS)]
-            return F.array(*at)
+        def hours(field: str) -> str:
+            return f"array({', '.join(f'max(if(hour = {h}, {field}, NULL))' for h in range(HOURS))})"
 
-        by_day = by_hour.groupBy("day").agg(
-            hours("temperature").alias("temperature_2m"),
-            hours("rain").alias("precipitation"),
-            hours("code").alias("weathercode"),
-        )
-        text = F.to_json(
-            F.struct(F.struct("temperature_2m", "precipitation", "weathercode").alias("hourly")),
-            {"ignoreNullFields": "false"},
+        text = (
+            "to_json(named_struct('hourly', named_struct("
+            f"'temperature_2m', {hours('degrees')}, 'precipitation', {hours('rain')},"
+            f" 'weathercode', {hours('code')})), map('ignoreNullFields', 'false'))"
         )
-        daily = by_day.select("day", text.alias("payload"))
+        daily = by_hour.groupBy("day").agg(F.expr(f"{text} AS payload"))
         asked = self.weather_requests.select("zipcode", "ride_date").distinct()
-        return asked.join(daily, F.dayofmonth("ride_date") == F.col("day")).select(
+        return asked.join(daily, F.expr("dayofmonth(ride_date) = day")).select(
             "zipcode", "ride_date", "payload"
         )
 
@@ -265,12 +248,12 @@ class Relations:
 
     @cached_property
     def transactions(self) -> DataFrame:
-        return self.table("events").select(
-            F.col("event_id").alias("transaction_id"),
-            F.col("user_id").alias("customer_id"),
-            F.to_date("ts").alias("purchase_date"),
-            F.col("event_type").alias("product_name"),
-            F.floor("value").cast("long").alias("quantity"),
+        return self.table("events").selectExpr(
+            "event_id AS transaction_id",
+            "user_id AS customer_id",
+            "to_date(ts) AS purchase_date",
+            "event_type AS product_name",
+            "cast(floor(value) AS bigint) AS quantity",
         )
 
 

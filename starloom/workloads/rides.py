@@ -172,18 +172,18 @@ LEFT JOIN weather w ON CAST(s.zipcode AS INTEGER) = w.zipcode
 def join_left_multi(r: Relations) -> DataFrame:
     """Weather by zip code, day and hour."""
     placed = lookup(
-        r.rides.select("rideid", "starttime", F.col("startlockid").cast("string").alias("lock")),
+        r.rides.selectExpr("rideid", "starttime", "cast(startlockid AS string) AS lock"),
         r.lock_dim,
         {"lock": "lock_id"},
-        {"zipcode": F.col("zipcode").try_cast("int")},
-    ).withColumns({"ride_date": F.to_date("starttime"), "hour": F.hour("starttime")})
+        {"zipcode": "try_cast(zipcode AS int)"},
+    ).selectExpr("*", "to_date(starttime) AS ride_date", "hour(starttime) AS hour")
     found = lookup(
         placed,
         r.weather,
         {"zipcode": "zipcode", "ride_date": "ride_date", "hour": "hour"},
         {"weather_type": "weather_description"},
     )
-    return found.select("rideid", F.coalesce("weather_type", F.lit("Unknown")).alias("weather_type"))
+    return found.selectExpr("rideid", "coalesce(weather_type, 'Unknown') AS weather_type")
 
 
 @query(

@@ -10,6 +10,9 @@ from starloom.operators.joins import detect_changes, lookup, lookup_in_range
 from starloom.operators.scd2 import scd2_initial
 from starloom.plans.calendar import date_dimension_over
 from starloom.plans.sales import (
+    REP_KEY,
+    REP_SURROGATE,
+    REP_TRACKED,
     revenue_by_office,
     revenue_by_weekday,
     sales_fact,
@@ -71,7 +74,7 @@ _VERSIONS_SQL = f"""SELECT salesrep_sk, salesrep_id, name, office, {_sql_moment(
 )
 def scd2_initial_load(r: Relations) -> DataFrame:
     return _versions(
-        scd2_initial(r.salesreps_later, "salesrep_id", ("name", "office"), "salesrep_sk")
+        scd2_initial(r.salesreps_later, REP_KEY, REP_TRACKED, REP_SURROGATE)
     )
 
 
@@ -90,7 +93,7 @@ WHERE a.salesrep_id IS NULL OR a.name <> b.name OR a.office <> b.office""",
     ),
 )
 def detected_changes(r: Relations) -> DataFrame:
-    source = r.salesreps_later.withColumn("md5", row_hash("name", "office"))
+    source = r.salesreps_later.withColumn("md5", row_hash(*REP_TRACKED))
     open_versions = r.salesrep_dim_first.where("current")
     return detect_changes(source, open_versions, "salesrep_id", "md5").select(
         "salesrep_id", "name", "office", F.col("dwh_office").alias("old_office")
@@ -125,7 +128,7 @@ def join_scd2(r: Relations) -> DataFrame:
         r.sales,
         r.salesrep_dim,
         {"salesrep_id": "salesrep_id"},
-        F.col("order_date"),
+        "order_date",
         "scd_start",
         "scd_end",
         {"salesrep_sk": "salesrep_sk", "office": "office"},

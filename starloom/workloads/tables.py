@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from starloom.functions.hashing import row_hash
 from starloom.operators.joins import detect_changes
 from starloom.operators.merge import delete_where, merge, update_where
-from starloom.operators.scd2 import OPEN_END
+from starloom.operators.scd2 import OPEN_END, surrogate_sql
 from starloom.operators.versions import VersionedTable
 from starloom.plans.transactions import run_lifecycle
 from starloom.workloads.registry import query
@@ -34,7 +34,7 @@ _MERGED = f"""SELECT {_COLUMNS}, CASE WHEN customer_id <> {CUSTOMER} THEN 0
 
 def _updated(r: Relations) -> DataFrame:
     return update_where(
-        r.transactions, F.col("product_name") == PRODUCT, {"quantity": F.col("quantity") + 1}
+        r.transactions, f"product_name = '{PRODUCT}'", {"quantity": "quantity + 1"}
     )
 
 
@@ -45,15 +45,15 @@ def updated(r: Relations) -> DataFrame:
 
 @query("delete_where", with_relations("transactions", _DELETED))
 def deleted(r: Relations) -> DataFrame:
-    return _plain(delete_where(_updated(r), F.col("customer_id") == CUSTOMER))
+    return _plain(delete_where(_updated(r), f"customer_id = {CUSTOMER}"))
 
 
 @query("merge_upsert", with_relations("transactions", _MERGED))
 def merge_upsert(r: Relations) -> DataFrame:
     """Matched rows get quantity 0, rows the target lacks are inserted."""
-    target = delete_where(_updated(r), F.col("customer_id") == CUSTOMER)
+    target = delete_where(_updated(r), f"customer_id = {CUSTOMER}")
     return _plain(
-        merge(target, r.transactions, ["transaction_id"], update={"quantity": F.lit(0)})
+        merge(target, r.transactions, ["transaction_id"], update={"quantity": "0"})
     )
 
 
@@ -71,29 +71,29 @@ def merge_scd2(r: Relations) -> DataFrame:
     old = r.salesrep_dim_first
     source = r.salesreps_later.withColumn("md5", row_hash("name", "office"))
     changes = detect_changes(source, old.where("current"), "salesrep_id", "md5")
-    run_at = F.to_timestamp(F.lit(SECOND_LOAD))
-    opening = changes.select(
-        row_hash("salesrep_id", F.date_format(run_at, "yyyy-MM-dd HH:mm:ss.SSSSSS")).alias(
-            "salesrep_sk"
-        ),
+    run_at = f"timestamp'{SECOND_LOAD}'"
+    opening = changes.selectExpr(
+        f"{surrogate_sql('salesrep_id', run_at)} AS salesrep_sk",
         "salesrep_id",
         "name",
         "office",
-        run_at.alias("scd_start"),
-        F.to_timestamp(F.lit(OPEN_END)).alias("scd_end"),
+        f"{run_at} AS scd_start",
+        f"timestamp'{OPEN_END}' AS scd_end",
         "md5",
-        F.lit(True).alias("current"),
+        "true AS current",
+    )
+    closing = changes.where("dwh_current IS NOT NULL").selectExpr(
+        *[f"dwh_{c} AS {c}" for c in old.columns if c not in ("scd_end", "current")],
+        f"{run_at} AS scd_end",
+        "false AS current",
     )
-    closing = changes.where(F.col("dwh_current").isNotNull()).select(
-        *[F.col(f"dwh_{c}").alias(c) for c in old.columns]
-    ).withColumns({"scd_end": run_at, "current": F.lit(False)})
     merged = merge(
         old,
         opening.unionByName(closing).distinct(),
         ["salesrep_id"],
-        update={"scd_end": F.col("source.scd_end"), "current": F.col("source.current")},
-        target_matches=F.col("current"),
-        source_matches=~F.col("current"),
+        update={"scd_end": "source.scd_end", "current": "source.current"},
+        target_matches="current",
+        source_matches="NOT current",
     )
     return merged.withColumns(
         {c: F.date_format(c, "yyyy-MM-dd HH:mm:ss") for c in ("scd_start", "scd_end")}

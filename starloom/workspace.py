@@ -36,20 +36,8 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back, which cuts the lineage.
-
-    Unlike a cached or locally checkpointed frame the result does not depend on any
-    executor staying alive.
-    """
-    path = new_folder(df.sparkSession, purpose)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def fits_broadcast(df: DataFrame) -> bool:
     """True if Catalyst's size estimate of ``df`` is within the session's broadcast limit."""
-    limit = df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    in_bytes = df.sparkSession._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes
+    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
     estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= in_bytes(limit)
+    return int(str(estimate)) <= limit

@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[8]")
+        .appName("tests")
+        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.driver.memory", "8g")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .config("spark.sql.warehouse.dir", str(tmp_path_factory.mktemp("warehouse")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture
+def settings(spark):
+    """Change session settings for one test."""
+    before = {}
+
+    def change(**values):
+        for name, value in values.items():
+            key = "spark.sql." + name.replace("__", ".")
+            before.setdefault(key, spark.conf.get(key))
+            spark.conf.set(key, value)
+
+    yield change
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+@pytest.fixture
+def rows():
+    """The rows of a frame as sorted tuples of text-comparable values."""
+
+    def collect(df, *columns):
+        picked = df.select(*columns) if columns else df
+        return sorted((tuple(row) for row in picked.collect()), key=repr)
+
+    return collect
+
+
+@pytest.fixture
+def executed_plan():
+    """The final physical plan of a frame, after running it."""
+
+    def run(df) -> str:
+        df.collect()
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    return run

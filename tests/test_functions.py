@@ -1,0 +1,90 @@
+from __future__ import annotations
+
+import hashlib
+
+import pytest
+
+from starloom.functions.dates import calendar_attributes, date_int, minutes_between, period_end
+from starloom.functions.geo import haversine_km, point_latitude, point_longitude
+from starloom.functions.hashing import row_hash
+from starloom.functions.weather import weather_category
+
+
+def test_row_hash_separates_fields_and_marks_nulls(spark):
+    df = spark.createDataFrame(
+        [("ab", "c"), ("a", "bc"), (None, "abc"), ("", "abc"), ("abc", None)], "x string, y string"
+    )
+    hashes = [row[0] for row in df.select(row_hash("x", "y")).collect()]
+    assert len(set(hashes)) == 5
+    assert hashes[0] == hashlib.md5(b"ab\x1fc").hexdigest()
+    assert hashes[2] == hashlib.md5(b"\x1e\x1fabc").hexdigest()
+
+
+def test_distance(spark):
+    df = spark.createDataFrame(
+        [(51.2, 4.4, 51.3, 4.5), (51.2, 4.4, 51.2, 4.4), (0.0, 0.0, 0.0, 180.0), (None, 0.0, 1.0, 1.0)],
+        "a double, b double, c double, d double",
+    )
+    km = [row[0] for row in df.select(haversine_km("a", "b", "c", "d")).collect()]
+    assert km[0] == pytest.approx(13.118, abs=1e-3)
+    assert km[1] == 0
+    assert km[2] == pytest.approx(3.141592653589793 * 6371.0088)
+    assert km[3] is None
+
+
+def test_points(spark):
+    texts = ["(51.2,4.4)", " ( -51.2 , 4 ) ", "51.2,4.4", "(a,b)", "(51.2)", "", None]
+    df = spark.createDataFrame([(t,) for t in texts], "p string")
+    got = [tuple(r) for r in df.select(point_latitude("p"), point_longitude("p")).collect()]
+    assert got == [(51.2, 4.4), (-51.2, 4.0)] + [(None, None)] * 5
+
+
+def test_weather_categories(spark):
+    hours = [(16.0, 0.0, 1), (3.0, 0.0, 1), (None, 1.0, 2), (16.0, 0.2, 1), (16.0, 0.0, 4), (15.0, 0.0, 0)]
+    df = spark.createDataFrame(hours, "t double, p double, c int")
+    got = [row[0] for row in df.select(weather_category("t", "p", "c")).collect()]
+    assert got == ["Pleasant", "Neutral", "Unknown", "Unpleasant", "Neutral", "Pleasant"]
+
+
+def test_period_ends(spark):
+    periods = [
+        ("2024-01-31", "DAG"),
+        ("2024-01-31", "MAAND"),
+        ("2024-02-29", "JAAR"),
+        ("2024-12-31", "other"),
+        ("2024-12-31", None),
+    ]
+    df = spark.createDataFrame(periods, "s string, p string").selectExpr("to_date(s) AS s", "p")
+    got = [row[0] for row in df.select(period_end("s", "p").cast("string")).collect()]
+    assert got == ["2024-02-01", "2024-02-29", "2025-02-28", "2025-01-01", "2025-01-01"]
+
+
+def test_durations_count_whole_seconds(spark):
+    df = spark.sql(
+        "SELECT * FROM VALUES (timestamp'2024-01-01 00:00:00.9', timestamp'2024-01-01 00:01:30.1'),"
+        " (timestamp'2024-01-02 00:00:00', timestamp'2024-01-01 23:59:00'),"
+        " (timestamp'2024-01-02 00:00:00', NULL) AS t(a, b)"
+    )
+    assert [row[0] for row in df.select(minutes_between("a", "b")).collect()] == [1.5, -1.0, None]
+
+
+def test_calendar_attributes(spark):
+    df = spark.sql("SELECT date'2024-12-31' AS d").selectExpr(*calendar_attributes("d"))
+    row = df.first().asDict()
+    assert str(row.pop("CalendarDate")) == "2024-12-31"
+    assert row == {
+        "dateInt": 20241231,
+        "CalendarYear": 2024,
+        "CalendarMonth": "December",
+        "MonthOfYear": 12,
+        "CalendarDay": "Tuesday",
+        "DayOfWeek": 3,
+        "DayOfWeekStartMonday": 2,
+        "IsWeekDay": "Y",
+        "DayOfMonth": 31,
+        "IsLastDayOfMonth": "Y",
+        "DayOfYear": 366,
+        "WeekOfYearIso": 1,
+        "QuarterOfYear": 4,
+    }
+    assert spark.sql(f"SELECT {date_int('date_from_unix_date(0)')}").first()[0] == 19700101

@@ -1,0 +1,45 @@
+from __future__ import annotations
+
+import pytest
+
+from starloom.plans import employees as staff
+
+
+@pytest.fixture
+def people(spark):
+    rows = [
+        (1, "ops", 100, "2020-01-10"), (2, "dev", 300, "2020-05-15"), (3, "dev", 200, "2021-02-20"),
+        (4, "ops", None, "2021-03-05"), (None, "dev", 50, None),
+    ]
+    df = spark.createDataFrame(rows, "employee_id int, department string, salary int, d string")
+    return df.selectExpr("*", "to_date(d) AS hire_date").drop("d")
+
+
+@pytest.fixture
+def codes(spark):
+    return spark.createDataFrame(
+        [(1, 2000), (2, 2000), (3, 9000), (7, 9000)], "emp_id int, postal_code int"
+    )
+
+
+def test_answers(people, codes, rows):
+    assert rows(staff.number_of_rows(people)) == [(5,)]
+    assert rows(staff.number_of_employees(people)) == [(4,)]
+    assert rows(staff.mean_salary(people)) == [(162.5,)]
+    assert rows(staff.highest_salary(people)) == [("dev", 300), ("ops", 100)]
+    assert rows(staff.salary_per_hire_year(people)) == [(2020, 400), (2021, 200), (None, 50)]
+    assert rows(staff.employees_per_postal_code(people, codes)) == [(2000, 2), (9000, 1)]
+
+
+def test_sql_gives_the_same(spark, people, codes, rows):
+    people.createOrReplaceTempView("employees")
+    codes.createOrReplaceTempView("postal_codes")
+    pairs = [
+        (staff.COUNT_SQL, staff.number_of_employees(people)),
+        (staff.MEAN_SQL, staff.mean_salary(people)),
+        (staff.HIGHEST_SQL, staff.highest_salary(people)),
+        (staff.PER_YEAR_SQL, staff.salary_per_hire_year(people)),
+        (staff.PER_POSTAL_CODE_SQL, staff.employees_per_postal_code(people, codes)),
+    ]
+    for sql, frame in pairs:
+        assert rows(spark.sql(sql)) == rows(frame)

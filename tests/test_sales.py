@@ -1,0 +1,105 @@
+from __future__ import annotations
+
+from decimal import Decimal
+
+import pytest
+
+from starloom.operators.joins import detect_changes
+from starloom.plans.calendar import date_dimension
+from starloom.plans.sales import (
+    revenue_by_office,
+    revenue_by_weekday,
+    sales_fact,
+    sales_fact_increment,
+    salesrep_dimension,
+    salesrep_increment,
+)
+
+SALES = "order_id int, at string, salesrep_id int, amount decimal(18,2)"
+
+
+def sales_of(spark, *orders):
+    rows = [(i, at, rep, Decimal(amount)) for i, at, rep, amount in orders]
+    return spark.createDataFrame(rows, SALES).selectExpr(
+        "order_id", "to_timestamp(at) AS order_date", "salesrep_id", "amount"
+    )
+
+
+@pytest.fixture
+def star(spark):
+    people = "salesrep_id int, name string, office string"
+    first = spark.createDataFrame([(1, "Jane", "NY"), (2, "Bob", "Berlin")], people)
+    later = spark.createDataFrame([(1, "Jane", "Paris"), (2, "Bob", "Berlin")], people)
+    reps = salesrep_increment(salesrep_dimension(first), later, "2024-06-01 00:00:00")
+    dates = date_dimension(spark, "2024-01-01", "2024-12-31")
+    sales = sales_of(
+        spark,
+        (1, "2024-05-31 10:00:00", 1, "10.00"),
+        (2, "2024-06-01 00:00:00", 1, "20.00"),
+        (3, "2024-06-01 00:00:01", 1, "30.00"),
+        (4, "2024-06-03 00:00:00", 2, "40.00"),
+        (5, "2025-01-01 00:00:00", 2, "50.00"),
+        (6, "2024-06-03 00:00:00", 9, "60.00"),
+    )
+    return sales, dates, reps
+
+
+def test_fact_takes_the_version_of_the_moment(star, rows):
+    sales, dates, reps = star
+    fact = sales_fact(sales, dates, reps)
+    offices = reps.select("salesrep_sk", "office")
+    got = rows(fact.join(offices, "salesrep_sk", "left"), "order_id", "office", "date_sk")
+    assert got == [
+        (1, "NY", 151), (2, "NY", 152), (3, "Paris", 152), (4, "Berlin", 154),
+        (5, "Berlin", None), (6, None, 154),
+    ]
+    assert fact.where("md5 IS NULL OR count_mv <> 1").count() == 0
+
+
+def test_reports(star, rows):
+    sales, dates, reps = star
+    fact = sales_fact(sales, dates, reps)
+    assert rows(revenue_by_office(fact, reps)) == [
+        ("Berlin", Decimal("90.00")), ("NY", Decimal("30.00")), ("Paris", Decimal("30.00")),
+    ]
+    assert rows(revenue_by_weekday(fact, dates)) == [
+        (2, Decimal("100.00")), (6, Decimal("10.00")), (7, Decimal("50.00")),
+    ]
+
+
+def test_reports_equal_their_sql(spark, star, rows):
+    sales, dates, reps = star
+    fact = sales_fact(sales, dates, reps)
+    fact.createOrReplaceTempView("fact")
+    dates.createOrReplaceTempView("dates")
+    reps.createOrReplaceTempView("reps")
+    by_day = spark.sql(
+        "SELECT DayOfWeek, sum(revenue_mv) FROM fact JOIN dates USING (date_sk) GROUP BY DayOfWeek"
+    )
+    by_office = spark.sql(
+        "SELECT office, sum(revenue_mv) FROM fact JOIN reps USING (salesrep_sk) GROUP BY office"
+    )
+    assert rows(revenue_by_weekday(fact, dates)) == rows(by_day)
+    assert rows(revenue_by_office(fact, reps)) == rows(by_office)
+
+
+def test_incremental_load(spark, star, rows):
+    sales, dates, reps = star
+    fact = sales_fact(sales, dates, reps)
+    changed = sales_of(
+        spark, (1, "2024-05-31 10:00:00", 1, "11.00"), (7, "2024-07-01 00:00:00", 2, "70.00")
+    )
+    fresh = sales_fact(sales.where("order_id > 1").unionByName(changed), dates, reps)
+    got = sales_fact_increment(fact, fresh, marked=True)
+    assert rows(got, "order_id", "__action") == [
+        (1, "updated"), *[(i, "kept") for i in range(2, 7)], (7, "inserted"),
+    ]
+    assert rows(got.drop("__action")) == rows(fresh)
+    again = sales_fact_increment(fresh, fresh, marked=True)
+    assert rows(again.select("__action").distinct()) == [("kept",)]
+
+
+def test_changes_of_an_up_to_date_dimension_are_none(spark, star):
+    reps = star[2].where("current")
+    source = reps.select("salesrep_id", "name", "office", "md5")
+    assert detect_changes(source, reps, "salesrep_id", "md5").count() == 0

@@ -1,0 +1,85 @@
+from __future__ import annotations
+
+import pytest
+
+from starloom.operators.versions import VersionedTable
+from starloom.plans.transactions import run_lifecycle
+
+SCHEMA = (
+    "transaction_id int, customer_id int, purchase_date date, product_name string, quantity int"
+)
+PURCHASES = [
+    (1, 101, None, "A", 2), (2, 102, None, "B", 5), (3, 103, None, "A", 3), (4, None, None, "A", 7),
+    (5, 101, None, "C", 1),
+]
+
+
+@pytest.fixture
+def table(spark, tmp_path):
+    return run_lifecycle(spark.createDataFrame(PURCHASES, SCHEMA), str(tmp_path / "t"), "A", 101)
+
+
+def quantities(df):
+    return {r.transaction_id: r.quantity for r in df.collect()}
+
+
+def test_every_version_can_be_read(table):
+    assert quantities(table.read(version=0)) == {1: 2, 2: 5, 3: 3, 4: 7, 5: 1}
+    assert quantities(table.read(version=1)) == {1: 3, 2: 5, 3: 4, 4: 8, 5: 1}
+    assert quantities(table.read(version=2)) == {2: 5, 3: 4, 4: 8}
+    assert quantities(table.read(version=3)) == {1: 2, 2: 0, 3: 0, 4: 0, 5: 1}
+    assert quantities(table.read()) == quantities(table.read(version=3))
+    assert table.read().columns == SCHEMA.replace(",", "").split()[::2]
+
+
+def test_history_counts_rows(table):
+    log = table.history().collect()
+    assert [(r.version, r.operation) for r in log] == [
+        (3, "MERGE"), (2, "DELETE"), (1, "UPDATE"), (0, "WRITE"),
+    ]
+    assert [(r.num_rows, r.inserted, r.updated, r.deleted) for r in log] == [
+        (5, 2, 3, 0), (3, 0, 0, 2), (5, 0, 3, 0), (5, 5, 0, 0),
+    ]
+    assert log[2].condition == "product_name = 'A'"
+    assert all(a.committed_at >= b.committed_at for a, b in zip(log, log[1:]))
+
+
+def test_read_as_of_a_time(table):
+    times = [str(r.committed_at) for r in table.history().orderBy("version").collect()]
+    assert quantities(table.read(as_of=times[1])) == quantities(table.read(version=1))
+    with pytest.raises(ValueError):
+        table.read(as_of="2000-01-01 00:00:00")
+    with pytest.raises(ValueError):
+        table.read(version=9)
+
+
+def test_detail(table):
+    row = table.detail().first()
+    assert (row.num_versions, row.latest_version, row.num_rows) == (4, 3, 5)
+    assert row.num_files >= 1
+
+
+def test_a_failed_write_leaves_no_version(spark, table):
+    twice = spark.createDataFrame([PURCHASES[0], PURCHASES[0]], SCHEMA)
+    with pytest.raises(Exception, match="two source rows match"):
+        table.merge(twice, ["transaction_id"], update={"quantity": "9"})
+    assert table.latest_version() == 3
+    table.delete_where("true")
+    assert table.read().count() == 0
+    assert table.read().columns == table.read(version=3).columns
+
+
+def test_overwrite_keeps_older_versions(spark, table):
+    table.overwrite(spark.createDataFrame(PURCHASES[:1], SCHEMA))
+    assert quantities(table.read()) == {1: 2}
+    assert len(quantities(table.read(version=3))) == 5
+
+
+def test_counts_survive_a_shuffle_before_the_write(spark, tmp_path, settings):
+    settings(autoBroadcastJoinThreshold="-1")
+    table = VersionedTable(spark, str(tmp_path / "wide"))
+    table.create(spark.range(0, 5000, 1, 6).selectExpr("id", "0 AS n"))
+    source = spark.range(4000, 6000, 1, 5).selectExpr("id", "1 AS n")
+    table.merge(source, ["id"])
+    last = table.history().first()
+    assert (last.num_rows, last.inserted, last.updated, last.deleted) == (6000, 1000, 1000, 0)

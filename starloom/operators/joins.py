@@ -1,9 +1,9 @@
 """Lookup joins of facts with dimensions.
 
-No function forces a broadcast. Catalyst and AQE broadcast a dimension whose measured size
-is within ``spark.sql.autoBroadcastJoinThreshold``; beyond that the join is a sort-merge
-join, and AQE splits the partition of a hot fact key, which it can because the facts are
-always the left side of an inner or left join.
+Only a calendar is always broadcast, see ``lookup_day``. Otherwise Catalyst and AQE broadcast
+a dimension whose measured size is within ``spark.sql.autoBroadcastJoinThreshold``; beyond
+that the join is a sort-merge join, and AQE splits the partition of a hot fact key, which it
+can because the facts are always the left side of an inner or left join.
 """
 
 from __future__ import annotations
@@ -49,6 +49,18 @@ def lookup(
     return joined.selectExpr("f.*", *[quoted("d", n) for n in take])
 
 
+def lookup_day(
+    facts: DataFrame, calendar: DataFrame, day: str, calendar_day: str, take: Mapping[str, str]
+) -> DataFrame:
+    """``lookup`` in a calendar, by day.
+
+    A calendar has one row per day: 366 per year however many facts there are, and 3.7
+    million if it had every day a date can be. So it is broadcast even when Catalyst cannot
+    tell its size in advance, and a day with very many facts needs no shuffle.
+    """
+    return lookup(facts, F.broadcast(calendar), {day: calendar_day}, take)
+
+
 def lookup_in_range(
     facts: DataFrame,
     dimension: DataFrame,

@@ -8,6 +8,7 @@ startlockid, endlockid, vehicleid, subscriptionid, start_lat, start_lon, end_lat
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -16,7 +17,7 @@ from starloom.functions.dates import minutes_between, period_end
 from starloom.functions.geo import haversine_km
 from starloom.functions.hashing import row_hash_sql
 from starloom.functions.weather import UNKNOWN
-from starloom.operators.joins import lookup, lookup_in_range
+from starloom.operators.joins import lookup, lookup_day, lookup_in_range
 from starloom.plans.calendar import ride_date_dimension
 from starloom.sources.files import rows_with_schema
 
@@ -176,7 +177,7 @@ def ride_fact(rides: DataFrame, dims: RideDimensions) -> DataFrame:
     placed = with_weather(with_locks(measured, dims.locks), dims.weather, dims.weather_types)
     owned = with_user(placed, dims.subscriptions, dims.users)
     typed = lookup(owned, dims.vehicles, {"vehicleid": "vehicleid"}, {"vehicle_id": "vehicle_id"})
-    dated = lookup(typed, dims.dates, {"ride_date": "date"}, {"date_sk": "date_sk"})
+    dated = lookup_day(typed, dims.dates, "ride_date", "date", {"date_sk": "date_sk"})
     return dated.selectExpr(
         "rideid AS ride_id",
         "user_sk",
@@ -190,20 +191,41 @@ def ride_fact(rides: DataFrame, dims: RideDimensions) -> DataFrame:
     )
 
 
-def ride_fact_of(tables: dict[str, DataFrame]) -> DataFrame:
-    """The fact straight from the operational tables, with all dimensions built on the way."""
-    vehicle_dim = vehicle_dimension(tables["bike_types"])
-    dims = RideDimensions(
-        locks=lock_dimension(tables["locks"], tables["stations"]),
-        users=user_dimension(
-            tables["users"], tables["subscriptions"], tables["subscription_types"]
+def _as_it_is(name: str, df: DataFrame) -> DataFrame:
+    return df
+
+
+def ride_dimensions(
+    tables: Mapping[str, DataFrame], store: Callable[[str, DataFrame], DataFrame] = _as_it_is
+) -> RideDimensions:
+    """All dimensions from the operational tables.
+
+    ``store`` gets the name and the rows of each dimension and returns what the fact shall
+    read. A warehouse writes the rows and reads them back (``stored_in``): then the sizes
+    are known when the fact is planned, and only dimensions that are too large to broadcast
+    cost a shuffle of the fact.
+    """
+    vehicle_dim = store("VehicleDim", vehicle_dimension(tables["bike_types"]))
+    return RideDimensions(
+        locks=store("LockDim", lock_dimension(tables["locks"], tables["stations"])),
+        users=store(
+            "UserDim",
+            user_dimension(
+                tables["users"], tables["subscriptions"], tables["subscription_types"]
+            ),
         ),
-        dates=ride_date_dimension(tables["rides"]),
-        weather_types=weather_dimension(tables["weather_types"]),
+        dates=store("DateDim", ride_date_dimension(tables["rides"])),
+        weather_types=store("WeatherDim", weather_dimension(tables["weather_types"])),
         vehicles=vehicle_lookup(
             tables["vehicles"], tables["bikelots"], tables["bike_types"], vehicle_dim
         ),
         subscriptions=tables["subscriptions"],
         weather=tables["weather"],
     )
-    return ride_fact(tables["rides"], dims)
+
+
+def load_ride_star(
+    tables: Mapping[str, DataFrame], store: Callable[[str, DataFrame], DataFrame]
+) -> DataFrame:
+    """Load all dimensions and then the fact; returns the stored fact."""
+    return store("RidesFact", ride_fact(tables["rides"], ride_dimensions(tables, store)))

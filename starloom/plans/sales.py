@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import row_hash_sql
-from starloom.operators.joins import lookup, lookup_in_range
+from starloom.operators.joins import lookup_day, lookup_in_range
 from starloom.operators.merge import merge
 from starloom.operators.scd2 import FIRST_START, scd2_apply, scd2_initial
 
@@ -35,10 +35,11 @@ def sales_fact(sales: DataFrame, dates: DataFrame, salesreps: DataFrame) -> Data
     A version holds after its start and up to and including its end. Orders without a
     calendar day or a version keep a null key.
     """
-    dated = lookup(
+    dated = lookup_day(
         sales.selectExpr("*", "to_date(order_date) AS order_day"),
         dates,
-        {"order_day": "CalendarDate"},
+        "order_day",
+        "CalendarDate",
         {"date_sk": "date_sk"},
     )
     with_rep = lookup_in_range(

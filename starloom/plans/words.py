@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.sinks.files import write_text
@@ -19,16 +19,15 @@ def word_count(text: DataFrame, column: str = "value", keep_empty: bool = True)
     return words(text, column, keep_empty).groupBy("word").agg(F.count(F.lit(1)).alias("amount"))
 
 
-def folded(word: Column) -> Column:
-    return F.lower(F.trim(word))
-
-
 def top_words(text: DataFrame, column: str = "value", limit: int = 20) -> DataFrame:
-    """The most frequent words regardless of case; equal counts in the order of the words."""
+    """The most frequent words regardless of case; equal counts in the order of the words.
+
+    Lines are folded as a whole, which costs less than folding word by word. What lies
+    between spaces has none to trim.
+    """
+    lowered = text.select(F.lower(column).alias("value"))
     return (
-        words(text, column)
-        .select(folded(F.col("word")).alias("word"))
-        .where(F.col("word") != "")
+        words(lowered, keep_empty=False)
         .groupBy("word")
         .agg(F.count(F.lit(1)).alias("amount"))
         .orderBy(F.desc("amount"), "word")

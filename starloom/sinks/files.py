@@ -38,6 +38,17 @@ def write_table(
     writer.saveAsTable(name)
 
 
+def stored_in(base: str) -> Callable[[str, DataFrame], DataFrame]:
+    """A store for named tables: writes them as Parquet below ``base`` and reads them back."""
+
+    def store(name: str, df: DataFrame) -> DataFrame:
+        folder = f"{base.rstrip('/')}/{name}"
+        write_parquet(df, folder)
+        return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+    return store
+
+
 def export_tables(
     names: Iterable[str], read: Callable[[str], DataFrame], base: str
 ) -> dict[str, str]:

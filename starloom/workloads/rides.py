@@ -9,12 +9,15 @@ from starloom.operators.joins import lookup
 from starloom.plans.calendar import ride_date_dimension, ride_dates
 from starloom.plans.graph import ride_edges, ride_edges_via_locks
 from starloom.plans.rides import (
-    ride_fact_of,
+    load_ride_star,
+    ride_dimensions,
+    ride_fact,
     vehicle_dimension,
     vehicle_types,
     weather_dimension,
     with_user,
 )
+from starloom.sinks.files import stored_in
 from starloom.sources.files import scan_csv
 from starloom.workloads.registry import query
 from starloom.workloads.relations import EDGE_DAYS, Relations, with_relations
@@ -251,23 +254,34 @@ LEFT JOIN bikelots bl ON v.bikelotid = bl.bikelotid
 WHERE {_MINUTES} >= 0"""
 
 
-def fact_rides_frame(r: Relations) -> DataFrame:
-    names = (
-        "rides locks stations vehicles bikelots bike_types users subscriptions "
-        "subscription_types weather weather_types"
-    )
-    return ride_fact_of({name: getattr(r, name) for name in names.split()})
+_TABLES = (
+    "rides locks stations vehicles bikelots bike_types users subscriptions "
+    "subscription_types weather weather_types"
+).split()
+_FACT = with_relations(
+    "rides locks stations subscriptions user_dim weather weather_types vehicles bikelots",
+    _FACT_SQL,
+)
 
 
-@query(
-    "fact_rides",
-    with_relations(
-        "rides locks stations subscriptions user_dim weather weather_types vehicles bikelots",
-        _FACT_SQL,
-    ),
-)
+def _rounded(fact: DataFrame) -> DataFrame:
+    return fact.withColumn("ride_distance", F.round("ride_distance", 3))
+
+
+@query("fact_rides", _FACT)
 def fact_rides(r: Relations) -> DataFrame:
-    return fact_rides_frame(r).withColumn("ride_distance", F.round("ride_distance", 3))
+    """The fact straight from the operational tables."""
+    tables = {name: getattr(r, name) for name in _TABLES}
+    return _rounded(ride_fact(tables["rides"], ride_dimensions(tables)))
+
+
+@query("ride_star_load", _FACT)
+def ride_star_load(r: Relations) -> DataFrame:
+    """Weather and dimensions stored, the fact built over what was stored, and stored itself."""
+    store = stored_in(new_folder(r.spark, "ride-star"))
+    tables = {name: getattr(r, name) for name in _TABLES}
+    tables["weather"] = store("weather", tables["weather"])
+    return _rounded(load_ride_star(tables, store))
 
 
 _EDGE_WHERE = f"""CAST(r.starttime AS DATE) BETWEEN DATE '{EDGE_DAYS[0]}' AND DATE '{EDGE_DAYS[1]}'

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import row_hash
-from starloom.operators.joins import detect_changes, lookup, lookup_in_range
+from starloom.operators.joins import detect_changes, lookup_day, lookup_in_range
 from starloom.operators.scd2 import scd2_initial
 from starloom.plans.calendar import date_dimension_over
 from starloom.plans.sales import (
@@ -146,8 +146,8 @@ LEFT JOIN dates ON CAST(order_date AS DATE) = CalendarDate""",
 )
 def join_date_key(r: Relations) -> DataFrame:
     dated = r.sales.select("order_id", F.to_date("order_date").alias("order_day"))
-    return lookup(
-        dated, r.dates, {"order_day": "CalendarDate"}, {"date_sk": "date_sk"}
+    return lookup_day(
+        dated, r.dates, "order_day", "CalendarDate", {"date_sk": "date_sk"}
     ).drop("order_day")
 
 

@@ -7,12 +7,15 @@ import pytest
 from starloom.plans.graph import ride_edges, ride_edges_via_locks
 from starloom.plans.rides import (
     lock_dimension,
-    ride_fact_of,
+    load_ride_star,
+    ride_dimensions,
+    ride_fact,
     user_dimension,
     vehicle_lookup,
     vehicle_types,
 )
 from starloom.plans.weather import hourly_weather, weather_requests
+from starloom.sinks.files import stored_in
 
 TYPES = [(0, "DAG"), (1, "MAAND"), (2, "JAAR")]
 
@@ -112,8 +115,16 @@ def test_vehicles(spark, tables, rows):
     assert rows(vehicle_lookup(*parts, dimension)) == [(70, 1), (71, None), (72, None)]
 
 
+def test_stored_star_equals_the_direct_one(tables, rows, tmp_path):
+    stored = load_ride_star(tables, stored_in(str(tmp_path / "star")))
+    direct = ride_fact(tables["rides"], ride_dimensions(tables))
+    assert rows(stored) == rows(direct)
+    names = {p.name for p in (tmp_path / "star").iterdir()}
+    assert names == {"LockDim", "UserDim", "DateDim", "VehicleDim", "WeatherDim", "RidesFact"}
+
+
 def test_ride_fact(tables, rows):
-    fact = ride_fact_of(tables)
+    fact = ride_fact(tables["rides"], ride_dimensions(tables))
     got = rows(
         fact, "ride_id", "start_lock_id", "end_lock_id", "date_sk", "weather_id", "vehicle_id",
         "ride_duration",

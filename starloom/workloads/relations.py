@@ -22,6 +22,35 @@ from starloom.plans.sales import salesrep_dimension, salesrep_increment, sales_f
 from starloom.plans.weather import HOURS, hourly_weather, weather_requests
 from starloom.sources.files import rows_with_schema, scan_parquet
 
+# Explicit schemas spare a job per table to look into its files.
+SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": (
+        "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string"
+    ),
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int, s_acctbal double",
+    "part": (
+        "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+        "p_retailprice double"
+    ),
+    "orders": (
+        "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_totalprice double, "
+        "o_orderdate timestamp_ntz, o_orderpriority string"
+    ),
+    "lineitem": (
+        "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+        "l_quantity double, l_extendedprice double, l_discount double, l_tax double, "
+        "l_returnflag string, l_linestatus string, l_shipdate timestamp_ntz"
+    ),
+    "events": (
+        "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, value double, "
+        "props string"
+    ),
+    "documents": "doc_id bigint, text string, lang string, source string, n_chars bigint",
+    "labels": "doc_id bigint, quality int, toxic int",
+}
+
 MONEY = "decimal(18,2)"
 SECOND_LOAD = "2000-07-01 00:00:00"
 CALENDAR = ("1995-01-01", "2001-12-31")
@@ -40,7 +69,7 @@ class Relations:
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
             path = f"{self.folder}/{name}.parquet"
-            self._tables[name] = scan_parquet(self.spark, path)
+            self._tables[name] = scan_parquet(self.spark, path, SCHEMAS[name])
         return self._tables[name]
 
     # sales

@@ -15,7 +15,7 @@ from starloom.streaming.word_sum import (
     write_updates,
 )
 from starloom.workloads.registry import query
-from starloom.workloads.relations import Relations
+from starloom.workloads.relations import SCHEMAS, Relations
 from starloom.workspace import new_folder
 
 
@@ -25,7 +25,7 @@ def _messages(r: Relations) -> DataFrame:
     The pattern finds the table whether it is one file or a folder of files, which a plain
     path of a file stream does not.
     """
-    events = file_messages(r.spark, f"{r.folder}/events.parquet*", r.table("events").schema)
+    events = file_messages(r.spark, f"{r.folder}/events.parquet*", SCHEMAS["events"])
     value = F.to_json(
         F.struct(
             F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),

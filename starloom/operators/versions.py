@@ -9,18 +9,29 @@ the session has a transactional table format, prefer that.
 from __future__ import annotations
 
 import datetime
+import json
 import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from starloom.operators import merge as changes
 
-COMMIT_SCHEMA = (
-    "version bigint, committed_at timestamp, operation string, condition string, "
-    "folder string, num_rows bigint, inserted bigint, updated bigint, deleted bigint"
-)
+COMMIT_COLUMNS = {
+    "version": "bigint",
+    "committed_at": "timestamp",
+    "operation": "string",
+    "condition": "string",
+    "folder": "string",
+    "columns": "string",
+    "num_rows": "bigint",
+    "inserted": "bigint",
+    "updated": "bigint",
+    "deleted": "bigint",
+}
+COMMIT_SCHEMA = ", ".join(f"{name} {kind}" for name, kind in COMMIT_COLUMNS.items())
 
 
 class VersionedTable:
@@ -37,9 +48,9 @@ class VersionedTable:
 
     def history(self) -> DataFrame:
         """One row per version, the latest first."""
-        return self._commits().drop("folder").orderBy(F.desc("version"))
+        return self._commits().drop("folder", "columns").orderBy(F.desc("version"))
 
-    def _commit(self, version: int | None, as_of: str | None):
+    def _commit(self, version: int | None = None, as_of: str | None = None) -> Row:
         commits = self._commits()
         if version is not None:
             commits = commits.where(F.col("version") == version)
@@ -52,10 +63,14 @@ class VersionedTable:
 
     def read(self, version: int | None = None, as_of: str | None = None) -> DataFrame:
         """The table as of a version number or a timestamp, by default the latest."""
-        return self.spark.read.parquet(self._commit(version, as_of)["folder"])
+        return self._rows(self._commit(version, as_of))
+
+    def _rows(self, commit: Row) -> DataFrame:
+        schema = StructType.fromJson(json.loads(commit["columns"]))
+        return self.spark.read.schema(schema).parquet(commit["folder"])
 
     def latest_version(self) -> int:
-        return self._commit(None, None)["version"]
+        return self._commit()["version"]
 
     def detail(self) -> DataFrame:
         """One row: path, number of versions, latest version, its rows and its files."""
@@ -78,6 +93,7 @@ class VersionedTable:
     def _write(self, rows: DataFrame, operation: str, condition: str | None, version: int) -> None:
         """Write marked rows as a version; the marks are counted during the same job."""
         action = F.col(changes.ACTION)
+        columns = rows.drop(changes.ACTION).schema
         counted = Observation()
         marks = {
             name: F.count(F.when(action == name, 1)).alias(name)
@@ -91,18 +107,22 @@ class VersionedTable:
             .write.parquet(folder)
         )
         counts = counted.get
-        commit = (
+        values = (
             version,
             datetime.datetime.now(datetime.timezone.utc),
             operation,
             condition,
             folder,
+            columns.json(),
             counts["seen"] - counts[changes.DELETED],
             *[counts[name] for name in marks],
         )
-        self.spark.createDataFrame([commit], COMMIT_SCHEMA).coalesce(1).write.mode(
-            "append"
-        ).parquet(f"{self.path}/commits")
+        commit = [
+            F.lit(value).cast(kind).alias(name)
+            for value, (name, kind) in zip(values, COMMIT_COLUMNS.items())
+        ]
+        one_row = self.spark.range(0, 1, 1, 1).select(*commit)
+        one_row.write.mode("append").parquet(f"{self.path}/commits")
 
     def create(self, df: DataFrame) -> VersionedTable:
         """Version 0 of a new table."""
@@ -116,23 +136,21 @@ class VersionedTable:
         return self
 
     def update_where(self, condition: str, assignments: Mapping[str, str]) -> VersionedTable:
-        base = self._commit(None, None)
-        rows = changes.update_where(
-            self.read(base["version"]), condition, assignments, marked=True
-        )
+        base = self._commit()
+        rows = changes.update_where(self._rows(base), condition, assignments, marked=True)
         self._write(rows, "UPDATE", condition, base["version"] + 1)
         return self
 
     def delete_where(self, condition: str) -> VersionedTable:
-        base = self._commit(None, None)
-        rows = changes.delete_where(self.read(base["version"]), condition, marked=True)
+        base = self._commit()
+        rows = changes.delete_where(self._rows(base), condition, marked=True)
         self._write(rows, "DELETE", condition, base["version"] + 1)
         return self
 
     def merge(self, source: DataFrame, on: Sequence[str], **how) -> VersionedTable:
         """See ``starloom.operators.merge.merge`` for the options."""
-        base = self._commit(None, None)
-        rows = changes.merge(self.read(base["version"]), source, on, marked=True, **how)
+        base = self._commit()
+        rows = changes.merge(self._rows(base), source, on, marked=True, **how)
         condition = " AND ".join(f"target.{k} = source.{k}" for k in on)
         self._write(rows, "MERGE", condition, base["version"] + 1)
         return self

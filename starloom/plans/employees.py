@@ -16,8 +16,8 @@ PER_YEAR_SQL = (
     "GROUP BY year(hire_date)"
 )
 PER_POSTAL_CODE_SQL = (
-    "SELECT p.postal_code, count(e.employee_id) AS employees FROM employees e "
-    "JOIN postal_codes p ON e.employee_id = p.emp_id GROUP BY p.postal_code"
+    "SELECT postal_code, count(*) AS employees FROM postal_codes "
+    "JOIN employees ON emp_id = employee_id GROUP BY postal_code"
 )
 
 
@@ -44,8 +44,7 @@ def salary_per_hire_year(employees: DataFrame) -> DataFrame:
 
 
 def employees_per_postal_code(employees: DataFrame, postal_codes: DataFrame) -> DataFrame:
-    return (
-        employees.join(postal_codes, employees["employee_id"] == postal_codes["emp_id"])
-        .groupBy("postal_code")
-        .agg(F.count("employee_id").alias("employees"))
+    placed = postal_codes.withColumnRenamed("emp_id", "employee_id").join(
+        employees, "employee_id"
     )
+    return placed.groupBy("postal_code").agg(F.count("*").alias("employees"))

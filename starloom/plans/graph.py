@@ -8,6 +8,7 @@ from starloom.functions.dates import minutes_between
 from starloom.operators.joins import lookup
 from starloom.plans.rides import with_user
 
+# Size of an export and columns of an edge.
 EDGE_LIMIT = 10_000
 EDGE_COLUMNS = [
     "rideid",

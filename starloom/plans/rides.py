@@ -21,6 +21,7 @@ from starloom.operators.joins import lookup, lookup_day, lookup_in_range
 from starloom.plans.calendar import ride_date_dimension
 from starloom.sources.files import rows_with_schema
 
+# Columns of the lock dimension and its row for rides without a lock.
 LOCK_SCHEMA = (
     "lock_id string, station_id string, station_nr string, street string, number string, "
     "zipcode string, district string, gps_coord string"

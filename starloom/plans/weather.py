@@ -14,6 +14,7 @@ from starloom.functions.geo import point_latitude, point_longitude
 from starloom.functions.weather import weather_category
 from starloom.operators.joins import lookup
 
+# Hours of a day and the shape of a payload.
 HOURS = 24
 PAYLOAD_SCHEMA = (
     "hourly struct<temperature_2m: array<double>, precipitation: array<double>, "

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
+# Messages, events, and the lengths of a window and of the watermark.
 MESSAGE_SCHEMA = "key string, value string"
 EVENT_SCHEMA = "event_time string, word string, count string"
 WINDOW = "10 seconds"

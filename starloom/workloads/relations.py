@@ -250,7 +250,8 @@ class Relations:
         )
 
         def hours(field: str) -> str:
-            return f"array({', '.join(f'max(if(hour = {h}, {field}, NULL))' for h in range(HOURS))})"
+            at = [f"max(if(hour = {h}, {field}, NULL))" for h in range(HOURS)]
+            return f"array({', '.join(at)})"
 
         text = (
             "to_json(named_struct('hourly', named_struct("

@@ -28,8 +28,8 @@ def test_key_follows_the_date(spark):
 
 def test_bounds_from_data(spark):
     df = spark.sql(
-        "SELECT explode(array(timestamp'2024-02-28 10:00:00', timestamp'2024-03-01 00:00:00', NULL))"
-        " AS at"
+        "SELECT explode(array(timestamp'2024-02-28 10:00:00', timestamp'2024-03-01 00:00:00',"
+        " NULL)) AS at"
     )
     dates = date_dimension_over(df, "at").orderBy("date_sk").collect()
     assert [str(row.CalendarDate) for row in dates] == ["2024-02-28", "2024-02-29", "2024-03-01"]

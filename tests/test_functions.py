@@ -22,7 +22,12 @@ def test_row_hash_separates_fields_and_marks_nulls(spark):
 
 def test_distance(spark):
     df = spark.createDataFrame(
-        [(51.2, 4.4, 51.3, 4.5), (51.2, 4.4, 51.2, 4.4), (0.0, 0.0, 0.0, 180.0), (None, 0.0, 1.0, 1.0)],
+        [
+            (51.2, 4.4, 51.3, 4.5),
+            (51.2, 4.4, 51.2, 4.4),
+            (0.0, 0.0, 0.0, 180.0),
+            (None, 0.0, 1.0, 1.0),
+        ],
         "a double, b double, c double, d double",
     )
     km = [row[0] for row in df.select(haversine_km("a", "b", "c", "d")).collect()]
@@ -40,7 +45,8 @@ def test_points(spark):
 
 
 def test_weather_categories(spark):
-    hours = [(16.0, 0.0, 1), (3.0, 0.0, 1), (None, 1.0, 2), (16.0, 0.2, 1), (16.0, 0.0, 4), (15.0, 0.0, 0)]
+    hours = [(16.0, 0.0, 1), (3.0, 0.0, 1), (None, 1.0, 2), (16.0, 0.2, 1)]
+    hours += [(16.0, 0.0, 4), (15.0, 0.0, 0)]
     df = spark.createDataFrame(hours, "t double, p double, c int")
     got = [row[0] for row in df.select(weather_category("t", "p", "c")).collect()]
     assert got == ["Pleasant", "Neutral", "Unknown", "Unpleasant", "Neutral", "Pleasant"]

@@ -102,7 +102,8 @@ def test_user_dimension(tables, rows):
     dimension = user_dimension(
         tables["users"], tables["subscriptions"], tables["subscription_types"]
     )
-    assert [(r[0], str(r[1]), str(r[2])) for r in rows(dimension, "user_id", "start_date", "end_date")] == [
+    got = rows(dimension, "user_id", "start_date", "end_date")
+    assert [(user, str(start), str(end)) for user, start, end in got] == [
         (900, "2024-05-01", "2024-06-01"), (900, "2024-05-31", "2025-05-31"),
     ]
     assert dimension.select("user_sk").distinct().count() == 2

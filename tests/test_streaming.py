@@ -93,7 +93,8 @@ def test_unreadable_messages_become_nulls(spark):
         "value binary",
     )
     got = [(str(r.eventtime), r.key, r.value) for r in typed_events(messages).collect()]
-    assert got == [("2024-01-01 00:00:01", "a", 3), ("None", "b", None)] + [("None", None, None)] * 2
+    nothing = ("None", None, None)
+    assert got == [("2024-01-01 00:00:01", "a", 3), ("None", "b", None), nothing, nothing]
     fields = [tuple(r) for r in json_fields(messages).collect()]
     assert fields[:2] == [("2024-01-01 00:00:01", "a", "3"), ("soon", "b", "x")]
 

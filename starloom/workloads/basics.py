@@ -10,12 +10,12 @@ from starloom.functions.geo import haversine_km, point_latitude, point_longitude
 from starloom.functions.hashing import row_hash
 from starloom.functions.weather import weather_category
 from starloom.operators.joins import lookup
-from starloom.plans import employees as staff
+from starloom.plans import employees
 from starloom.workloads.registry import query
 from starloom.workloads.relations import MONEY, Relations
 
 
-def _staff(r: Relations) -> DataFrame:
+def staff(r: Relations) -> DataFrame:
     return r.table("customer").select(
         F.col("c_custkey").alias("employee_id"),
         F.col("c_name").alias("name"),
@@ -32,7 +32,7 @@ def _hires(r: Relations) -> DataFrame:
     )
 
 
-def _postal_codes(r: Relations) -> DataFrame:
+def postal_codes(r: Relations) -> DataFrame:
     return r.table("customer").select(
         F.col("c_custkey").alias("emp_id"), (F.col("c_nationkey") + 1000).alias("postal_code")
     )
@@ -43,13 +43,13 @@ def _postal_codes(r: Relations) -> DataFrame:
 
 @query("employees_count_all", "SELECT count(*) AS employees FROM customer")
 def employees_count_all(r: Relations) -> DataFrame:
-    return staff.number_of_rows(_staff(r))
+    return employees.number_of_rows(staff(r))
 
 
 @query("employees_count", "SELECT count(c_custkey) AS employees FROM customer")
 def employees_count(r: Relations) -> DataFrame:
-    _staff(r).createOrReplaceTempView("employees")
-    return r.spark.sql(staff.COUNT_SQL)
+    staff(r).createOrReplaceTempView("employees")
+    return r.spark.sql(employees.COUNT_SQL)
 
 
 @query(
@@ -58,7 +58,7 @@ def employees_count(r: Relations) -> DataFrame:
     " AS mean_salary FROM customer",
 )
 def employees_avg(r: Relations) -> DataFrame:
-    return staff.mean_salary(_staff(r)).select(
+    return employees.mean_salary(staff(r)).select(
         F.round(F.col("mean_salary").cast("double"), 4).alias("mean_salary")
     )
 
@@ -70,7 +70,7 @@ def employees_avg(r: Relations) -> DataFrame:
 FROM customer GROUP BY c_mktsegment""",
 )
 def max_by_group(r: Relations) -> DataFrame:
-    return staff.highest_salary(_staff(r)).withColumn(
+    return employees.highest_salary(staff(r)).withColumn(
         "highest_salary", F.col("highest_salary").cast("double")
     )
 
@@ -82,7 +82,7 @@ def max_by_group(r: Relations) -> DataFrame:
 FROM orders GROUP BY 1""",
 )
 def sum_by_year(r: Relations) -> DataFrame:
-    return staff.salary_per_hire_year(_hires(r)).withColumn(
+    return employees.salary_per_hire_year(_hires(r)).withColumn(
         "total_salary", F.col("total_salary").cast("double")
     )
 
@@ -93,7 +93,7 @@ def sum_by_year(r: Relations) -> DataFrame:
 FROM customer GROUP BY 1""",
 )
 def count_by_code(r: Relations) -> DataFrame:
-    return staff.employees_per_postal_code(_staff(r), _postal_codes(r))
+    return employees.employees_per_postal_code(staff(r), postal_codes(r))
 
 
 @query("distinct_rows", "SELECT DISTINCT o_orderstatus, o_orderpriority FROM orders")

@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from starloom.plans.employees import employees_per_postal_code
 from starloom.sinks.files import export_tables, write_json, write_parquet, write_table, write_text
 from starloom.sources.files import scan_csv, scan_csv_strings, scan_parquet, scan_text
+from starloom.workloads.basics import postal_codes, staff
 from starloom.workloads.registry import query
 from starloom.workloads.relations import Relations
 from starloom.workloads.rides import EDGES_VIA_LOCKS_SQL, edges_via_locks
@@ -66,11 +68,8 @@ def sink_text(r: Relations) -> DataFrame:
     """SELECT c_nationkey + 1000 AS postal_code, count(*) AS employees FROM customer GROUP BY 1""",
 )
 def sink_table(r: Relations) -> DataFrame:
-    counts = (
-        r.table("customer")
-        .groupBy((F.col("c_nationkey") + 1000).alias("postal_code"))
-        .agg(F.count(F.lit(1)).alias("employees"))
-    )
+    """Employees per postal code, saved as a catalog table."""
+    counts = employees_per_postal_code(staff(r), postal_codes(r))
     folder = new_folder(r.spark, "employees_per_postal_code")
     name = folder.rsplit("/", 1)[1].replace("-", "_")
     write_table(counts, name, path=folder)

@@ -136,7 +136,7 @@ def time_travel(r: Relations) -> DataFrame:
     "history",
     with_relations(
         "transactions",
-        f"""SELECT 0 AS version, 'WRITE' AS operation, count(*) AS num_rows, count(*) AS inserted,
+        f"""SELECT CAST(0 AS BIGINT) AS version, 'WRITE' AS operation, count(*) AS num_rows, count(*) AS inserted,
        0 AS updated, 0 AS deleted FROM transactions
 UNION ALL SELECT 1, 'UPDATE', count(*), 0, count(*) FILTER (product_name = '{PRODUCT}'), 0
 FROM transactions
@@ -156,7 +156,8 @@ def history(r: Relations) -> DataFrame:
 
 @query(
     "detail",
-    "SELECT 4 AS num_versions, 3 AS latest_version, count(*) AS num_rows FROM events",
+    """SELECT CAST(4 AS BIGINT) AS num_versions, CAST(3 AS BIGINT) AS latest_version,
+       count(*) AS num_rows FROM events""",
 )
 def detail(r: Relations) -> DataFrame:
     return _lifecycle(r).detail().select("num_versions", "latest_version", "num_rows")

@@ -67,7 +67,8 @@ def flat_map_words(r: Relations) -> DataFrame:
 
 @query(
     "map_pairs",
-    f"""SELECT substring(word, 1, 1) AS letter, length(word) AS length, count(*) AS pairs
+    f"""SELECT substring(word, 1, 1) AS letter, CAST(length(word) AS INTEGER) AS length,
+       count(*) AS pairs
 FROM ({_WORDS}) WHERE length(word) > 0 GROUP BY ALL""",
 )
 def map_pairs(r: Relations) -> DataFrame:

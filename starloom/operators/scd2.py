@@ -72,11 +72,11 @@ def scd2_apply(
 ) -> DataFrame:
     """The dimension after a load: changed versions closed at ``run_at``, new ones opened.
 
-    History never takes part in the join: only open versions do, and both they and the
-    source have one row per key, so a key with a very long history is no hot spot. One
-    full outer join decides everything; a matched pair gives the version as it was, or the
-    closed and the new version. A source row without a key is always new. The job fails if
-    the source has a key twice.
+    Only open versions with a key take part in the join, and both they and the source have
+    one row per key: neither a key with a very long history nor many rows without a key are
+    a hot spot. One full outer join decides everything; a matched pair gives the version as
+    it was, or the closed and the new version. A source row without a key is always new. The
+    job fails if the source has a key twice.
     """
     moment = f"timestamp'{run_at}'"
     columns = [(f.name, f.dataType.simpleString()) for f in dimension.schema.fields]
@@ -109,7 +109,8 @@ def scd2_apply(
         f"{row_hash_sql(*map(quoted, tracked))} AS __md5",
         "true AS __new",
     )
-    old = dimension.where("current").selectExpr("*", "true AS __old").alias("old")
+    joins = f"current AND {quoted(key)} IS NOT NULL"
+    old = dimension.where(joins).selectExpr("*", "true AS __old").alias("old")
     new = unique_by(source, key).selectExpr(*new_columns).alias("new")
     live = old.join(
         new, F.expr(f"{quoted('old', key)} = {quoted('new', key)}"), "full"
@@ -120,4 +121,4 @@ def scd2_apply(
         .alias("new")
         .selectExpr(f"inline(array({opened}))")
     )
-    return dimension.where("NOT current").unionByName(live).unionByName(keyless)
+    return dimension.where(f"NOT ({joins})").unionByName(live).unionByName(keyless)

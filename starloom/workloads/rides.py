@@ -277,8 +277,9 @@ def fact_rides(r: Relations) -> DataFrame:
 
 @query("ride_star_load", _FACT)
 def ride_star_load(r: Relations) -> DataFrame:
-    """Weather and dimensions stored, the fact built over what was stored, and stored itself."""
+    """Rides, weather and dimensions stored, the fact built over them and stored as well."""
     store = stored_in(new_folder(r.spark, "ride-star"))
+    r.rides = store("rides", r.rides)
     tables = {name: getattr(r, name) for name in _TABLES}
     tables["weather"] = store("weather", tables["weather"])
     return _rounded(load_ride_star(tables, store))

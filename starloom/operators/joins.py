@@ -84,7 +84,8 @@ def lookup_in_range(
     is right while a key has a handful of ranges. If one key may have very many, pass a
     ``bucket`` unit near the usual length of a range: every range is then listed once per
     day, month or year it touches, and a fact only meets the ranges of its own bucket. A
-    fact has exactly one bucket, so the result is the same.
+    fact has exactly one bucket, so the result is the same. Open ranges are listed up to
+    their end too, so take a unit that is not too short for them.
     """
     taken = {**take, "__start": start, "__end": end}
     conditions = [f"{quoted('f', c)} = d.__key_{i}" for i, c in enumerate(on)]

@@ -20,7 +20,12 @@ def jdbc_writer(
 def append_table(
     df: DataFrame, table: str, connection: Mapping[str, str], connections: int | None = None
 ) -> None:
-    """Append all rows."""
+    """Append all rows.
+
+    Every task commits its own rows. If a task is repeated after it has committed, its rows
+    are there twice; where that matters, load with ``append_new_rows`` into a table with a
+    unique key, or overwrite.
+    """
     jdbc_writer(df, table, connection, connections).mode("append").save()
 
 

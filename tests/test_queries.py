@@ -8,13 +8,16 @@ import pytest
 
 import __spark_entry__ as entry
 from check_oracle import comparable, oracle_rows
+from starloom.workloads.registry import ORACLES, QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
 needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="tables are not there")
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLES) <= set(entry.oracle_sql())
 
 
 @needs_data
@@ -25,7 +28,7 @@ def test_flagship(spark):
 
 
 @needs_data
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, name):
     frame = entry.queries()[name](spark, FOLDER)
     got = [tuple(row) for row in frame.collect()]

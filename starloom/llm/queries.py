@@ -1,9 +1,12 @@
 """All queries of this package by name, and their twins in SQL."""
 
 from starloom.llm import (  # noqa: F401
+    decontaminate,
     exact_dedup,
+    license_scan,
     packing,
     personal_data,
     token_counts,
+    toxicity,
 )
 from starloom.llm.common import ORACLES, QUERIES  # noqa: F401

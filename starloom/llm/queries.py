@@ -3,9 +3,11 @@
 from starloom.llm import (  # noqa: F401
     decontaminate,
     exact_dedup,
+    jaccard_join,
     license_scan,
     packing,
     personal_data,
+    substring_dedup,
     token_counts,
     toxicity,
 )

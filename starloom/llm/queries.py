@@ -7,6 +7,7 @@ from starloom.llm import (  # noqa: F401
     license_scan,
     packing,
     personal_data,
+    quality,
     substring_dedup,
     token_counts,
     toxicity,

@@ -9,7 +9,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.llm.common import stored, table
+from starloom.llm.common import on_workers, stored, table
 from starloom.llm.decontaminate import drop_leaks
 from starloom.llm.exact_dedup import drop_exact_duplicates
 from starloom.llm.jaccard_join import one_of_each_group
@@ -56,6 +56,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The result of the last stage over ``documents``."""
+    on_workers(spark)
     docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name}")

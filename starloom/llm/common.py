@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import functools
+import os
 from collections.abc import Callable, Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +21,12 @@ def query(name: str, sql: str | None = None):
     """Register a function of the session and the folder of the tables under ``name``."""
 
     def register(function: Callable[[SparkSession, str], DataFrame]):
-        QUERIES[name] = function
+        @functools.wraps(function)
+        def run(spark: SparkSession, folder: str) -> DataFrame:
+            on_workers(spark)
+            return function(spark, folder)
+
+        QUERIES[name] = run
         if sql is not None:
             ORACLES[name] = sql
         return function
@@ -26,6 +34,15 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+def on_workers(spark: SparkSession) -> None:
+    """Lets Python workers import this package from where the driver has it, for sessions that run
+    elsewhere; a cluster gets it by --py-files or has it installed."""
+    root, environment = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    known = environment.get("PYTHONPATH", "").split(os.pathsep)
+    if root not in known:
+        environment["PYTHONPATH"] = os.pathsep.join(filter(None, [root, *known]))
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 

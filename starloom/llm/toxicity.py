@@ -209,7 +209,15 @@ def learn(
         .limit(max_entries)
         .collect()
     )
-    found = {row["entry"]: row["weight"] for row in strong}
+    seen_in = {row["entry"]: row["toxic"] for row in strong}
+    # A stem is too short if one letter more, or the end of the word, finds almost as much.
+    too_short = {
+        entry[:n]
+        for entry, toxic in seen_in.items()
+        for n in STEMS
+        if n < len(entry) and toxic >= 0.97 * seen_in.get(entry[:n], math.inf)
+    }
+    found = {row["entry"]: row["weight"] for row in strong if row["entry"] not in too_short}
     # A longer entry that is no stronger than a stem of itself finds nothing more.
     weights = {
         entry: weight

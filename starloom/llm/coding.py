@@ -21,33 +21,23 @@ def tokenizer(path: str):
 
 
 class WordCache:
-    """What ``make`` gives for each word. At most ``limit`` words are kept; others are made anew."""
+    """What ``make`` gives for each word. A word is kept from its second time on, as long as there
+    are less than ``limit``; others are made anew. First times are noted in a table of fixed size,
+    in which a collision only keeps a word too early."""
 
-    def __init__(self, make, limit: int = 1_000_000):
+    def __init__(self, make, limit: int = 300_000):
         self.make, self.limit, self.known = make, limit, {}
+        self.seen = bytearray(1 << 22)
 
     def of(self, lists: list[list[str]]) -> list[list]:
         """The values of the words of each list."""
-        known = self.known
+        known, seen = self.known, self.seen
         missing = list({word for words in lists for word in words if word not in known})
-        made = dict(zip(missing, self.make(missing))) if missing else {}
-        if made:
-            room = self.limit - len(known)
-            if room >= len(made):
-                known.update(made)
-            else:
-                known.update((word, made[word]) for word in missing[: max(0, room)])
-                both = ChainedLookup(made, known)
-                return [[both[word] for word in words] for words in lists]
-        return [list(map(known.__getitem__, words)) for words in lists]
-
-
-class ChainedLookup(dict):
-    """A dict that asks another one for what it lacks."""
-
-    def __init__(self, first: dict, then: dict):
-        super().__init__(first)
-        self.then = then
-
-    def __missing__(self, key):
-        return self.then[key]
+        known.update(zip(missing, self.make(missing) if missing else ()))
+        found = [list(map(known.__getitem__, words)) for words in lists]
+        for word in missing:
+            place = hash(word) & 0x3FFFFF
+            if not seen[place] or len(known) > self.limit:
+                seen[place] = 1
+                del known[word]
+        return found

@@ -1,6 +1,6 @@
 """Lookup joins of facts with dimensions.
 
-Only a calendar is always broadcast, see ``lookup_day``. Otherwise Catalyst and AQE broadcast
+Nothing is broadcast by order. Catalyst and AQE broadcast
 a dimension whose measured size is within ``spark.sql.autoBroadcastJoinThreshold``; beyond
 that the join is a sort-merge join, and AQE splits the partition of a hot fact key, which it
 can because the facts are always the left side of an inner or left join.
@@ -54,11 +54,9 @@ def lookup_day(
 ) -> DataFrame:
     """``lookup`` in a calendar, by day.
 
-    A calendar has one row per day: 366 per year however many facts there are, and 3.7
-    million if it had every day a date can be. So it is broadcast even when Catalyst cannot
-    tell its size in advance, and a day with very many facts needs no shuffle.
+    Catalyst broadcasts it if it is small; a stored calendar has a size that it can tell.
     """
-    return lookup(facts, F.broadcast(calendar), {day: calendar_day}, take)
+    return lookup(facts, calendar, {day: calendar_day}, take)
 
 
 def lookup_in_range(

@@ -1,8 +1,7 @@
 """Update, delete and merge as functions from the old table to the new one.
 
 Conditions and values are SQL text, as in the statements they stand for. Each function can
-mark what happened to a row in the column ``ACTION``; the version store counts these marks
-while it writes.
+mark what happened to a row in the column ``ACTION``.
 """
 
 from __future__ import annotations
@@ -13,7 +12,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.names import quoted
-from starloom.workspace import fits_broadcast
 
 ACTION = "__action"
 KEPT, UPDATED, INSERTED, DELETED = "kept", "updated", "inserted", "deleted"
@@ -59,14 +57,10 @@ def rows_not_in(rows: DataFrame, existing: DataFrame, keys: Sequence[str]) -> Da
     """Rows whose key ``existing`` lacks; a key with a null is never found.
 
     The keys of ``existing`` are made distinct first, so copies of one key collapse ahead
-    of the shuffle. If the rows are few enough to be broadcast, a large ``existing`` is
-    reduced to their keys before that and is not shuffled at all.
+    of the shuffle, and nothing but keys is shuffled.
     """
-    known = existing.select(*keys).dropna()
-    asked = rows.select(*keys)
-    if fits_broadcast(asked):
-        known = known.join(asked, list(keys), "left_semi")
-    return rows.join(known.distinct(), list(keys), "left_anti").select(*rows.columns)
+    known = existing.select(*keys).dropna().distinct()
+    return rows.join(known, list(keys), "left_anti").select(*rows.columns)
 
 
 def merge(
@@ -92,29 +86,25 @@ def merge(
 
     The job fails if two source rows match one target row.
 
-    The update is a left join with the target on the left, so AQE can split a hot target
-    key, and the source is grouped by the key first, which also finds the duplicates at no
-    extra shuffle. Target rows that cannot match skip the join.
+    Each side is used twice: the target for the update and, as distinct keys, for the insert,
+    the source likewise. The update is a left join with the target on the left, so AQE can
+    split a hot target key; copies of a source key are counted over the partitioning that the join
+    needs anyway. Rows without a key or barred by a condition stay in the joins, whose
+    conditions they fail.
     """
     keys = list(on)
     types = _types(target)
-    has_key = " AND ".join(f"{quoted(k)} IS NOT NULL" for k in keys)
-    may_match = f"({has_key} AND {_holds(target_matches)})"
-    can_match = f"({has_key} AND {_holds(source_matches)})"
-    candidates = target.where(may_match)
-    bystanders = target.where(f"NOT {may_match}").selectExpr("*", f"'{KEPT}' AS {ACTION}")
-
-    values = [
-        F.expr(f"first({quoted(c)}) AS {quoted(c)}") for c in source.columns if c not in keys
-    ]
-    grouped = (
-        source.where(can_match).groupBy(*keys).agg(F.expr("count(1) AS __copies"), *values)
-    )
+
+    of_target = target.selectExpr("*", f"{_holds(target_matches)} AS __may_match")
+    of_source = source.selectExpr("*", f"{_holds(source_matches)} AS __can_match")
+    same_key = ", ".join([*map(quoted, keys), "__can_match"])
+    counted = of_source.selectExpr("*", f"count(1) OVER (PARTITION BY {same_key}) AS __copies")
     equal = " AND ".join(f"{quoted('target', k)} = {quoted('source', k)}" for k in keys)
+    both = f"{equal} AND target.__may_match AND source.__can_match"
     several = "cast(raise_error('two source rows match one target row') AS boolean)"
     joined = (
-        candidates.alias("target")
-        .join(grouped.alias("source"), F.expr(equal), "left")
+        of_target.alias("target")
+        .join(counted.where("__can_match").alias("source"), F.expr(both), "left")
         .where(f"CASE WHEN source.__copies > 1 THEN {several} ELSE true END")
     )
     hit = f"source.__copies IS NOT NULL AND {_holds(when)}"
@@ -129,10 +119,12 @@ def merge(
             for c, kind in types.items()
         ],
         f"if({hit}, '{UPDATED}', '{KEPT}') AS {ACTION}",
-    ).unionByName(bystanders)
+    )
     if insert:
-        able = rows_not_in(source.where(can_match), candidates, keys)
-        fresh = able.unionByName(source.where(f"NOT {can_match}"))
+        known = of_target.where("__may_match").select(*keys).dropna().distinct()
+        fresh = of_source.alias("source").join(
+            known.alias("target"), F.expr(f"{equal} AND source.__can_match"), "left_anti"
+        )
         result = result.unionByName(
             fresh.selectExpr(
                 *[

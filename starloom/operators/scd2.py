@@ -47,15 +47,13 @@ def scd2_initial(
 def unique_by(df: DataFrame, key: str) -> DataFrame:
     """The rows of ``df`` that have a key; its job fails if two rows share one.
 
-    The check is a grouping by the key, whose shuffle a following join on the key reuses.
+    Copies are counted over the partitioning by the key, which a following join on it reuses.
     """
     name = quoted(key)
-    values = [f"first({quoted(c)}) AS {quoted(c)}" for c in df.columns if c != key]
     several = f"raise_error(concat('{key} occurs twice: ', cast({name} AS string)))"
     return (
         df.where(f"{name} IS NOT NULL")
-        .groupBy(key)
-        .agg(F.expr("count(1) AS __copies"), *map(F.expr, values))
+        .selectExpr("*", f"count(1) OVER (PARTITION BY {name}) AS __copies")
         .where(f"CASE WHEN __copies > 1 THEN cast({several} AS boolean) ELSE true END")
         .select(*df.columns)
     )
@@ -76,7 +74,8 @@ def scd2_apply(
     one row per key: neither a key with a very long history nor many rows without a key are
     a hot spot. One full outer join decides everything; a matched pair gives the version as
     it was, or the closed and the new version. A source row without a key is always new. The
-    job fails if the source has a key twice.
+    job fails if the source or the open versions have a key twice, or if a version that is to be closed
+    starts after ``run_at``.
     """
     moment = f"timestamp'{run_at}'"
     columns = [(f.name, f.dataType.simpleString()) for f in dimension.schema.fields]
@@ -98,7 +97,9 @@ def scd2_apply(
         "new",
     )
     same = version({}, "old")
-    closed = version({"scd_end": moment, "current": "false"}, "old")
+    too_early = f"raise_error(concat('a version starts after the run: ', cast({quoted('old', key)} AS string)))"
+    ends = f"if(old.scd_start > {moment}, cast({too_early} AS timestamp), {moment})"
+    closed = version({"scd_end": ends, "current": "false"}, "old")
     versions = (
         f"CASE WHEN old.__old IS NULL THEN array({opened})"
         f" WHEN new.__new IS NULL OR old.md5 <=> new.__md5 THEN array({same})"
@@ -110,7 +111,7 @@ def scd2_apply(
         "true AS __new",
     )
     joins = f"current AND {quoted(key)} IS NOT NULL"
-    old = dimension.where(joins).selectExpr("*", "true AS __old").alias("old")
+    old = unique_by(dimension.where(joins), key).selectExpr("*", "true AS __old").alias("old")
     new = unique_by(source, key).selectExpr(*new_columns).alias("new")
     live = old.join(
         new, F.expr(f"{quoted('old', key)} = {quoted('new', key)}"), "full"

@@ -1,24 +1,12 @@
-"""Questions about employees (employee_id, department, salary, hire_date), each one as
-DataFrame operations and as SQL over the view ``employees`` (and ``postal_codes``)."""
+"""Questions about employees (employee_id, department, salary, hire_date), as DataFrame
+operations, and the first one as SQL over the frame ``employees`` too."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-COUNT_SQL = "SELECT count(employee_id) AS employees FROM employees"
-MEAN_SQL = "SELECT avg(salary) AS mean_salary FROM employees"
-HIGHEST_SQL = (
-    "SELECT department, max(salary) AS highest_salary FROM employees GROUP BY department"
-)
-PER_YEAR_SQL = (
-    "SELECT year(hire_date) AS year, sum(salary) AS total_salary FROM employees "
-    "GROUP BY year(hire_date)"
-)
-PER_POSTAL_CODE_SQL = (
-    "SELECT postal_code, count(*) AS employees FROM postal_codes "
-    "JOIN employees ON emp_id = employee_id GROUP BY postal_code"
-)
+COUNT_SQL = "SELECT count(employee_id) AS employees FROM {employees}"
 
 
 def number_of_rows(df: DataFrame) -> DataFrame:

@@ -8,8 +8,7 @@ from starloom.functions.dates import minutes_between
 from starloom.operators.joins import lookup
 from starloom.plans.rides import with_user
 
-# Size of an export and columns of an edge.
-EDGE_LIMIT = 10_000
+# Columns of an edge.
 EDGE_COLUMNS = [
     "rideid",
     "user_sk",
@@ -62,11 +61,12 @@ def ride_edges_via_locks(
     users: DataFrame,
     first_day: str,
     last_day: str,
-    limit: int = EDGE_LIMIT,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Edges between the stations of the locks; only complete ones, at most ``limit``.
+    """Edges between the stations of the locks; only those with a vehicle, a user and stations.
 
-    The first edges in the order of all columns are kept, so a repeated export is the same.
+    With a ``limit`` the first edges in the order of all columns are kept, so a repeated export
+    is the same.
     """
     edges = rides_between(rides, first_day, last_day)
     for role in ("start", "end"):
@@ -77,7 +77,8 @@ def ride_edges_via_locks(
     complete = _finish(edges, subscriptions, users).dropna(
         subset=["vehicleid", "user_sk", "start_station_id", "end_station_id"]
     )
-    return complete.select(*EDGE_COLUMNS).orderBy(*EDGE_COLUMNS).limit(limit)
+    edges = complete.select(*EDGE_COLUMNS)
+    return edges if limit is None else edges.orderBy(*EDGE_COLUMNS).limit(limit)
 
 
 def _finish(edges: DataFrame, subscriptions: DataFrame, users: DataFrame) -> DataFrame:

@@ -47,14 +47,15 @@ def lock_dimension(locks: DataFrame, stations: DataFrame) -> DataFrame:
 def user_dimension(
     users: DataFrame, subscriptions: DataFrame, subscription_types: DataFrame
 ) -> DataFrame:
-    """One row per user and subscription period; the key is a hash and survives a reload."""
+    """One row per subscription of a user; the key is a hash, survives a reload and tells two
+    subscriptions of the same days apart."""
     periods = (
         subscriptions.join(subscription_types, "subscriptiontypeid")
         .join(users, "userid")
         .withColumn("end_date", period_end("validfrom", "description"))
     )
     return periods.selectExpr(
-        f"{row_hash_sql('userid', 'validfrom', 'end_date')} AS user_sk",
+        f"{row_hash_sql('userid', 'subscriptionid', 'validfrom', 'end_date')} AS user_sk",
         "userid AS user_id",
         "street",
         "number",
@@ -131,7 +132,8 @@ def with_user(rides: DataFrame, subscriptions: DataFrame, users: DataFrame) -> D
     """Add ``user_sk``: the ride's subscription names the user, the ride's day the period.
 
     Periods are closed on both ends. A day that two periods of a user share gives the ride
-    once per period.
+    once per period. Periods are listed per month, so a ride of a user with thousands of day
+    tickets meets those of its month only.
     """
     known = lookup(
         rides, subscriptions, {"subscriptionid": "subscriptionid"}, {"userid": "userid"}
@@ -145,6 +147,7 @@ def with_user(rides: DataFrame, subscriptions: DataFrame, users: DataFrame) -> D
         "end_date",
         {"user_sk": "user_sk"},
         start_included=True,
+        bucket="month",
     )
 
 

@@ -14,8 +14,7 @@ from starloom.functions.geo import point_latitude, point_longitude
 from starloom.functions.weather import weather_category
 from starloom.operators.joins import lookup
 
-# Hours of a day and the shape of a payload.
-HOURS = 24
+# The shape of a payload.
 PAYLOAD_SCHEMA = (
     "hourly struct<temperature_2m: array<double>, precipitation: array<double>, "
     "weathercode: array<int>>"
@@ -46,21 +45,21 @@ def weather_requests(rides: DataFrame, locks: DataFrame, stations: DataFrame) ->
 
 
 def hourly_weather(payloads: DataFrame) -> DataFrame:
-    """(zipcode, ride_date, hour, temperature, weather_description), 24 rows per payload.
+    """(zipcode, ride_date, hour, temperature, weather_description), a row per hour of a payload.
 
-    Incomplete payloads give no row. A missing measurement makes the hour 'Unknown' and
-    leaves the other hours of the day alone.
+    A day has as many hours as its payload has values, be it 23 or 25. A missing measurement
+    makes the hour 'Unknown' and leaves the other hours of the day alone. What is no payload
+    gives no row.
     """
     hourly = payloads.withColumn("hourly", F.from_json("payload", PAYLOAD_SCHEMA)["hourly"])
-    complete = hourly.where(
-        f"size(hourly.temperature_2m) >= {HOURS} AND size(hourly.precipitation) > 0"
-        " AND size(hourly.weathercode) > 0"
-    )
-    measured = complete.selectExpr(
+    fields = ("temperature_2m", "precipitation", "weathercode")
+    present = [f"coalesce(hourly.{name}, array())" for name in fields]
+    measured = hourly.selectExpr(
         "try_cast(zipcode AS int) AS zipcode",
         "ride_date",
-        "posexplode(slice(arrays_zip(hourly.temperature_2m, hourly.precipitation,"
-        f" hourly.weathercode), 1, {HOURS})) AS (hour, at)",
+        *[f"{value} AS {name}" for value, name in zip(present, fields)],
+    ).selectExpr(
+        "zipcode", "ride_date", f"posexplode(arrays_zip({', '.join(fields)})) AS (hour, at)"
     )
     category = weather_category("at.temperature_2m", "at.precipitation", "at.weathercode")
     return measured.select(

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
+from starloom.functions.names import literal, quoted
+
 
 def scan_text(spark: SparkSession, path: str) -> DataFrame:
     """One row per line in the column ``value``."""
@@ -37,8 +39,25 @@ def scan_parquet(
 def rows_with_schema(
     spark: SparkSession, rows: Sequence[tuple], schema: StructType | str
 ) -> DataFrame:
-    """A few literal rows with an explicit schema."""
-    return spark.createDataFrame(list(rows), schema)
+    """A few literal rows with an explicit schema.
+
+    They are part of the plan, so the planner knows how few they are; it takes rows from
+    Python to be as large as can be and would shuffle a fact for them.
+    """
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    fields = [(quoted(f.name), f.dataType.simpleString()) for f in kind]
+
+    def written(value: object, of: str) -> str:
+        text = "NULL" if value is None else literal(value) if isinstance(value, str) else str(value)
+        return f"cast({text} AS {of})"
+
+    if not rows:
+        return spark.range(0).selectExpr(*[f"cast(NULL AS {of}) AS {n}" for n, of in fields])
+    lines = [
+        "(" + ", ".join(written(v, of) for v, (_, of) in zip(row, fields)) + ")" for row in rows
+    ]
+    names = ", ".join(name for name, _ in fields)
+    return spark.sql(f"SELECT * FROM VALUES {', '.join(lines)} AS literals({names})")
 
 
 def generate_dates(spark: SparkSession, begin: str, end: str) -> DataFrame:

@@ -8,11 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructField, StructType
 
 # Messages, events, and the lengths of a window and of the watermark.
 MESSAGE_SCHEMA = "key string, value string"
-EVENT_SCHEMA = "event_time string, word string, count string"
+EVENT_FIELDS = ("event_time", "word", "count")
 WINDOW = "10 seconds"
 WATERMARK = "10 seconds"
 
@@ -44,20 +44,20 @@ def file_messages(
     return reader.parquet(path)
 
 
-def json_fields(messages: DataFrame) -> DataFrame:
+def json_fields(messages: DataFrame, fields: tuple[str, str, str] = EVENT_FIELDS) -> DataFrame:
     """The JSON fields of the value as text columns c0, c1, c2."""
-    return messages.select(
-        F.json_tuple(F.col("value").cast("string"), "event_time", "word", "count")
-    )
+    return messages.select(F.json_tuple(F.col("value").cast("string"), *fields))
 
 
-def typed_events(messages: DataFrame) -> DataFrame:
-    """(eventtime, key, value); what cannot be read as its type is null."""
-    event = F.from_json(F.col("value").cast("string"), EVENT_SCHEMA)
+def typed_events(messages: DataFrame, fields: tuple[str, str, str] = EVENT_FIELDS) -> DataFrame:
+    """(eventtime, key, value) from the JSON fields named; what cannot be read as its type is null."""
+    schema = StructType([StructField(name, StringType()) for name in fields])
+    event = F.from_json(F.col("value").cast("string"), schema)
+    at, key, value = (F.col("event").getField(name) for name in fields)
     return messages.select(event.alias("event")).select(
-        F.col("event.event_time").try_cast("timestamp").alias("eventtime"),
-        F.col("event.word").alias("key"),
-        F.col("event.count").try_cast("int").alias("value"),
+        at.try_cast("timestamp").alias("eventtime"),
+        key.alias("key"),
+        value.try_cast("int").alias("value"),
     )
 
 
@@ -76,15 +76,22 @@ def window_sums(
 
 
 def append_to_files(
-    stream: DataFrame, path: str, checkpoint: str, available_now: bool = False
+    stream: DataFrame,
+    path: str,
+    checkpoint: str,
+    available_now: bool = False,
+    file_format: str = "parquet",
 ) -> StreamingQuery:
-    """Append finished rows to a Parquet folder.
+    """Append finished rows to a folder of a format, or a table format whose jar the session has.
+
+    Windows stay in the state store until the watermark has passed them; for many keys the session should
+    set the RocksDB state store, which keeps them off the heap.
 
     With ``available_now`` the query takes what is there and ends, otherwise it runs until
     it is stopped.
     """
     writer = (
-        stream.writeStream.format("parquet")
+        stream.writeStream.format(file_format)
         .outputMode("append")
         .option("checkpointLocation", checkpoint)
         .option("path", path)

@@ -48,8 +48,7 @@ def employees_count_all(r: Relations) -> DataFrame:
 
 @query("employees_count", "SELECT count(c_custkey) AS employees FROM customer")
 def employees_count(r: Relations) -> DataFrame:
-    staff(r).createOrReplaceTempView("employees")
-    return r.spark.sql(employees.COUNT_SQL)
+    return r.spark.sql(employees.COUNT_SQL, employees=staff(r))
 
 
 @query(
@@ -109,10 +108,11 @@ def distinct_rows(r: Relations) -> DataFrame:
     "SELECT s_suppkey AS lock_id, s_nationkey AS station_id, s_name AS station_nr FROM supplier",
 )
 def project_sql(r: Relations) -> DataFrame:
-    r.table("supplier").createOrReplaceTempView("project_source")
+    """SQL over a registered view, under a name that is nobody else's."""
+    r.table("supplier").createOrReplaceTempView("starloom_project_source")
     return r.spark.sql(
         "SELECT s_suppkey AS lock_id, s_nationkey AS station_id, s_name AS station_nr "
-        "FROM project_source"
+        "FROM starloom_project_source"
     )
 
 
@@ -138,11 +138,18 @@ def project_expr(r: Relations) -> DataFrame:
 
 @query(
     "qualified_star",
-    """SELECT r.o_orderkey, r.o_custkey, r.o_orderstatus, r.o_orderpriority, s.c_name
+    """SELECT r.o_orderkey, r.o_custkey, r.o_orderstatus,
+       CAST(CAST(r.o_totalprice AS DECIMAL(18, 2)) AS VARCHAR) AS o_totalprice,
+       CAST(CAST(r.o_orderdate AS DATE) AS VARCHAR) AS o_orderdate, r.o_orderpriority, s.c_name
 FROM orders r LEFT JOIN customer s ON r.o_custkey = s.c_custkey""",
 )
 def qualified_star(r: Relations) -> DataFrame:
-    orders = r.table("orders").drop("o_totalprice", "o_orderdate")
+    orders = r.table("orders").withColumns(
+        {
+            "o_totalprice": F.col("o_totalprice").cast("decimal(18,2)").cast("string"),
+            "o_orderdate": F.to_date("o_orderdate").cast("string"),
+        }
+    )
     return (
         orders.alias("r")
         .join(r.table("customer").alias("s"), F.expr("r.o_custkey = s.c_custkey"), "left")
@@ -294,12 +301,11 @@ def join_inner(r: Relations) -> DataFrame:
 JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey""",
 )
 def join_inner_chain(r: Relations) -> DataFrame:
-    for name in ("supplier", "nation", "region"):
-        r.table(name).createOrReplaceTempView(f"chain_{name}")
     return r.spark.sql(
-        "SELECT s_suppkey, n_name, r_name FROM chain_supplier "
-        "JOIN chain_nation ON s_nationkey = n_nationkey "
-        "JOIN chain_region ON n_regionkey = r_regionkey"
+        "SELECT s_suppkey, n_name, r_name FROM {supplier} "
+        "JOIN {nation} ON s_nationkey = n_nationkey "
+        "JOIN {region} ON n_regionkey = r_regionkey",
+        **{name: r.table(name) for name in ("supplier", "nation", "region")},
     )
 
 
@@ -398,11 +404,11 @@ def limit_n(r: Relations) -> DataFrame:
 WHERE c_acctbal < 0""",
 )
 def union_distinct(r: Relations) -> DataFrame:
-    r.table("orders").createOrReplaceTempView("union_orders")
-    r.table("customer").createOrReplaceTempView("union_customer")
     return r.spark.sql(
-        "SELECT o_custkey AS key FROM union_orders "
-        "UNION SELECT c_custkey FROM union_customer WHERE c_acctbal < 0"
+        "SELECT o_custkey AS key FROM {orders} "
+        "UNION SELECT c_custkey FROM {customer} WHERE c_acctbal < 0",
+        orders=r.table("orders"),
+        customer=r.table("customer"),
     )
 
 

@@ -34,10 +34,14 @@ def scan_csv_infer(r: Relations) -> DataFrame:
 @query(
     "scan_csv_string",
     """SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name,
-       CAST(c_nationkey AS VARCHAR) AS c_nationkey, c_mktsegment FROM customer""",
+       CAST(c_nationkey AS VARCHAR) AS c_nationkey,
+       CAST(CAST(c_acctbal AS DECIMAL(18, 2)) AS VARCHAR) AS c_acctbal, c_mktsegment
+FROM customer""",
 )
 def scan_csv_string(r: Relations) -> DataFrame:
-    return scan_csv_strings(r.spark, _customer_csv(r)).drop("c_acctbal")
+    """All columns as text; doubles are written in many ways, so that one is made uniform."""
+    back = scan_csv_strings(r.spark, _customer_csv(r))
+    return back.withColumn("c_acctbal", F.col("c_acctbal").cast("decimal(18,2)").cast("string"))
 
 
 @query(

@@ -19,7 +19,7 @@ from starloom.plans.rides import (
     vehicle_lookup,
 )
 from starloom.plans.sales import salesrep_dimension, salesrep_increment, sales_fact
-from starloom.plans.weather import HOURS, hourly_weather, weather_requests
+from starloom.plans.weather import hourly_weather, weather_requests
 from starloom.sources.files import rows_with_schema, scan_parquet
 
 # Explicit schemas spare a job per table to look into its files.
@@ -56,6 +56,7 @@ SECOND_LOAD = "2000-07-01 00:00:00"
 CALENDAR = ("1995-01-01", "2001-12-31")
 EDGE_DAYS = ("1997-03-01", "1997-03-02")
 SUBSCRIPTION_TYPES = [(0, "DAG"), (1, "MAAND"), (2, "JAAR"), (3, "WEEK")]
+HOURS = 24
 WEATHER_TYPES = [(1, "Unknown"), (2, "Unpleasant"), (3, "Pleasant"), (4, "Neutral")]
 
 
@@ -64,7 +65,6 @@ class Relations:
         self.spark = spark
         self.folder = folder
         self._tables: dict[str, DataFrame] = {}
-        spark.conf.set("spark.sql.session.timeZone", "UTC")
 
     def table(self, name: str) -> DataFrame:
         if name not in self._tables:
@@ -381,7 +381,7 @@ SQL: dict[str, str] = {
                       ELSE validfrom + INTERVAL 1 DAY END AS DATE) AS end_date
   FROM subscriptions""",
     "user_dim": f"""
-  SELECT {_hash("userid", "validfrom", "end_date")} AS user_sk, userid AS user_id, street,
+  SELECT {_hash("userid", "subscriptionid", "validfrom", "end_date")} AS user_sk, userid AS user_id, street,
          number, zipcode, city, country_code, validfrom AS start_date, end_date
   FROM periods JOIN users USING (userid)""",
     "payload_hours": """

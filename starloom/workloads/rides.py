@@ -120,16 +120,21 @@ def join_snowflake(r: Relations) -> DataFrame:
     "weather_dim",
     with_relations(
         "weather weather_types",
-        """SELECT DISTINCT weather_id, weather_type
-FROM weather JOIN weather_types ON weather_description = weather_type""",
+        """SELECT t.weather_id, t.weather_type, count(w.hour) AS hours
+FROM weather_types t LEFT JOIN weather w ON w.weather_description = t.weather_type
+GROUP BY t.weather_id, t.weather_type""",
     ),
 )
 def weather_dim(r: Relations) -> DataFrame:
-    """The weather types that occur, through a CSV file with inferred types."""
+    """All weather types, through a CSV file with inferred types, and the hours of each."""
     folder = new_folder(r.spark, "weather-types")
-    seen = r.weather.select(F.col("weather_description").alias("weather_type")).distinct()
-    seen.join(r.weather_types, "weather_type").write.option("header", True).csv(folder)
-    return weather_dimension(scan_csv(r.spark, folder))
+    r.weather_types.write.option("header", True).csv(folder)
+    types = weather_dimension(scan_csv(r.spark, folder))
+    hours = r.weather.groupBy(F.col("weather_description").alias("weather_type")).agg(
+        F.count("*").alias("hours")
+    )
+    found = lookup(types, hours, {"weather_type": "weather_type"}, {"hours": "hours"})
+    return found.selectExpr("weather_id", "weather_type", "coalesce(hours, 0L) AS hours")
 
 
 @query(
@@ -323,8 +328,7 @@ LEFT JOIN locks lb ON r.endlockid = lb.lockid
 LEFT JOIN stations b ON lb.stationid = b.stationid
 {_EDGE_USER}
 WHERE {_EDGE_WHERE} AND r.vehicleid IS NOT NULL AND u.user_sk IS NOT NULL
-  AND la.stationid IS NOT NULL AND lb.stationid IS NOT NULL
-ORDER BY ALL LIMIT 10000""",
+  AND la.stationid IS NOT NULL AND lb.stationid IS NOT NULL""",
 )
 
 

@@ -25,7 +25,7 @@ def _messages(r: Relations) -> DataFrame:
     The pattern finds the table whether it is one file or a folder of files, which a plain
     path of a file stream does not.
     """
-    events = file_messages(r.spark, f"{r.folder}/events.parquet*", SCHEMAS["events"])
+    events = file_messages(r.spark, f"{r.folder}/events.parquet*", SCHEMAS["events"], 1)
     value = F.to_json(
         F.struct(
             F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
@@ -75,11 +75,12 @@ def stream_updates(r: Relations) -> DataFrame:
 
 @query(
     "stream_json_fields",
-    """SELECT event_type AS c1, CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) AS c2 FROM events""",
+    """SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS c0, event_type AS c1,
+       CAST(CAST(floor(value) AS INTEGER) AS VARCHAR) AS c2 FROM events""",
 )
 def stream_json_fields(r: Relations) -> DataFrame:
     """The JSON fields of the messages as text."""
     folder = new_folder(r.spark, "json-fields")
-    fields = json_fields(_messages(r)).select("c1", "c2")
+    fields = json_fields(_messages(r)).withColumn("c0", F.left("c0", F.lit(19)))
     append_to_files(fields, folder, new_folder(r.spark, "checkpoint"), True).awaitTermination()
     return scan_parquet(r.spark, folder, fields.schema)

@@ -1,4 +1,4 @@
-"""Updates, deletes, merges and versions of a table of transactions."""
+"""Updates, deletes and merges of a table of transactions, and its states in between."""
 
 from __future__ import annotations
 
@@ -9,11 +9,9 @@ from starloom.functions.hashing import row_hash
 from starloom.operators.joins import detect_changes
 from starloom.operators.merge import delete_where, merge, update_where
 from starloom.operators.scd2 import OPEN_END, surrogate_sql
-from starloom.operators.versions import VersionedTable
-from starloom.plans.transactions import run_lifecycle
+from starloom.plans import transactions
 from starloom.workloads.registry import query
 from starloom.workloads.relations import SECOND_LOAD, Relations, with_relations
-from starloom.workspace import new_folder
 
 PRODUCT = "purchase"
 CUSTOMER = 7
@@ -100,14 +98,13 @@ def merge_scd2(r: Relations) -> DataFrame:
     )
 
 
-def _lifecycle(r: Relations) -> VersionedTable:
-    path = new_folder(r.spark, "transactions")
-    return run_lifecycle(r.transactions, path, PRODUCT, CUSTOMER)
+def _lifecycle(r: Relations) -> list[tuple[str, DataFrame, DataFrame]]:
+    return transactions.lifecycle(r.transactions, PRODUCT, CUSTOMER)
 
 
 @query("transactions_latest", with_relations("transactions", _MERGED))
 def transactions_latest(r: Relations) -> DataFrame:
-    return _plain(_lifecycle(r).read())
+    return _plain(_lifecycle(r)[-1][1])
 
 
 @query(
@@ -121,10 +118,10 @@ UNION ALL SELECT 3, * FROM ({_MERGED})""",
     ),
 )
 def time_travel(r: Relations) -> DataFrame:
-    """All four versions of the table, each one read by its number."""
-    table = _lifecycle(r)
+    """All four states of the table under their numbers."""
     versions = [
-        table.read(version=n).select(F.lit(n).alias("version"), "*") for n in range(4)
+        state.select(F.lit(n).alias("version"), "*")
+        for n, (_, state, _) in enumerate(_lifecycle(r))
     ]
     everything = versions[0]
     for version in versions[1:]:
@@ -147,11 +144,7 @@ UNION ALL SELECT 3, 'MERGE', count(*), count(*) FILTER (customer_id = {CUSTOMER}
     ),
 )
 def history(r: Relations) -> DataFrame:
-    return (
-        _lifecycle(r)
-        .history()
-        .select("version", "operation", "num_rows", "inserted", "updated", "deleted")
-    )
+    return transactions.history(_lifecycle(r))
 
 
 @query(
@@ -160,4 +153,8 @@ def history(r: Relations) -> DataFrame:
        count(*) AS num_rows FROM events""",
 )
 def detail(r: Relations) -> DataFrame:
-    return _lifecycle(r).detail().select("num_versions", "latest_version", "num_rows")
+    """How many states there are, and the rows of the latest."""
+    steps = _lifecycle(r)
+    return steps[-1][1].agg(F.count("*").alias("num_rows")).selectExpr(
+        f"{len(steps)}L AS num_versions", f"{len(steps) - 1}L AS latest_version", "num_rows"
+    )

@@ -2,42 +2,21 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 _SETTING = "spark.checkpoint.dir"
-
-
-@functools.cache
-def _local_folder(application: str) -> str:
-    return tempfile.mkdtemp(prefix="starloom-")
+_WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``.
-
-    Only a local session may go without the setting and then gets one temporary folder.
-    On a cluster a machine-local folder would be invisible to the other machines, so a
-    missing setting is an error there.
-    """
-    folder = spark.conf.get(_SETTING, None)
-    if not folder:
-        if not spark.sparkContext.master.startswith("local"):
-            raise ValueError(f"set {_SETTING} to a folder that all machines share")
-        folder = _local_folder(spark.sparkContext.applicationId)
+    """The folder named by ``spark.checkpoint.dir``, else one in the session's warehouse, which
+    all machines of a cluster share as well."""
+    folder = spark.conf.get(_SETTING, None) or f"{spark.conf.get(_WAREHOUSE)}/starloom-work"
     return folder.rstrip("/")
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
     """A path below the shared folder that nothing else uses (it is not created)."""
     return f"{shared_folder(spark)}/{purpose}-{uuid.uuid4().hex}"
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """True if Catalyst's size estimate of ``df`` is within the session's broadcast limit."""
-    limit = df.sparkSession._jsparkSession.sessionState().conf().autoBroadcastJoinThreshold()
-    estimate = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
-    return int(str(estimate)) <= limit

@@ -1,7 +1,5 @@
 from __future__ import annotations
 
-import pytest
-
 from starloom import workspace
 from starloom.sinks.files import export_tables, write_json, write_table, write_text
 from starloom.sources.files import (
@@ -70,24 +68,22 @@ def test_shared_folder(spark):
 
 
 class FakeSession:
-    """A session on a cluster without the setting."""
+    """A session without the setting."""
 
     class conf:
         @staticmethod
-        def get(key, default):
-            return default
-
-    class sparkContext:
-        master = "yarn"
+        def get(key, default=None):
+            return {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}.get(key, default)
 
 
-def test_a_cluster_needs_the_setting():
-    with pytest.raises(ValueError, match="spark.checkpoint.dir"):
-        workspace.shared_folder(FakeSession)
+def test_folder_without_a_setting():
+    assert workspace.shared_folder(FakeSession) == "hdfs://shared/warehouse/starloom-work"
 
 
-def test_size_estimate(spark, settings):
-    assert workspace.fits_broadcast(spark.range(10))
-    assert not workspace.fits_broadcast(spark.range(10_000_000))
-    settings(autoBroadcastJoinThreshold="-1")
-    assert not workspace.fits_broadcast(spark.range(10))
+def test_literal_rows_have_a_size(spark, rows):
+    df = rows_with_schema(spark, [(1, "O'Neil", None), (2, None, 2.5)], "a int, b string, c double")
+    assert df.dtypes == [("a", "int"), ("b", "string"), ("c", "double")]
+    assert rows(df) == [(1, "O'Neil", None), (2, None, 2.5)]
+    assert rows_with_schema(spark, [], "a int").collect() == []
+    size = df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()
+    assert int(str(size)) < 1000

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 
 from starloom.sinks import jdbc as sink
@@ -83,6 +85,14 @@ def test_split_asks_for_missing_bounds():
     assert asked == ["SELECT MIN(a) AS lo, MAX(a) AS hi FROM (select a from t) s"]
 
 
+def test_bounds_are_whole_numbers():
+    bounds = (Decimal("5.500000"), Decimal("76.20"))
+    calls = source.read_table(
+        Session(bounds=bounds), "t", CONNECTION, source.Split("amount", parts=2)
+    ).calls
+    assert (calls["lowerBound"], calls["upperBound"]) == ("5", "77")
+
+
 def test_split_of_an_empty_table_reads_it_plainly():
     calls = source.read_table(
         Session(bounds=(None, None)), "t", CONNECTION, source.Split("a")

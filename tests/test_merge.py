@@ -108,11 +108,28 @@ def test_rows_not_in(spark, rows, settings, threshold):
     assert rows(rows_not_in(fresh, known, ["id"])) == [(2, "b", 2), (2, "c", 2), (None, "d", 3)]
 
 
-def test_a_small_source_leaves_the_target_unshuffled(spark, executed_plan):
-    target = spark.range(0, 100_000, 1, 8).selectExpr("id", "id AS n")
-    source = spark.createDataFrame([(5, 1), (200_000, 2)], "id bigint, n bigint")
-    plan = executed_plan(merge(target, source, ["id"]))
-    assert "SortMergeJoin" not in plan.split("Initial Plan")[0]
+def test_a_small_source_shuffles_nothing_but_keys_of_the_target(spark, tmp_path, executed_plan):
+    folder = str(tmp_path / "target")
+    spark.range(0, 100_000, 1, 8).selectExpr("id", "id AS wide").write.parquet(folder)
+    target = spark.read.parquet(folder)
+    source = spark.sql("SELECT * FROM VALUES (5L, 1L), (200000L, 2L) AS s(id, wide)")
+    updated = merge(target, source, ["id"], insert=False)
+    plan = executed_plan(updated).split("Initial Plan")[0]
+    above_the_target = plan[: plan.index("FileScan")].splitlines()
+    joined = next(i for i, line in enumerate(above_the_target) if "BroadcastHashJoin" in line)
+    assert not any("Exchange hashpartitioning" in line for line in above_the_target[:joined])
+    assert "SortMergeJoin" not in plan and "SortAggregate" not in plan
+    whole = executed_plan(merge(target, source, ["id"])).split("Initial Plan")[0]
+    assert whole.count("FileScan") == 2 and "SortAggregate" not in whole
+    assert sum("Exchange hashpartitioning(id" in line for line in whole.splitlines()) <= 3
+
+
+def test_each_side_is_read_twice(spark, tmp_path, executed_plan):
+    for name in ("target", "source"):
+        spark.range(50).selectExpr("id", f"'{name}' AS name").write.parquet(str(tmp_path / name))
+    sides = [spark.read.parquet(str(tmp_path / name)) for name in ("target", "source")]
+    plan = merge(*sides, ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation") == 4
 
 
 def test_a_hot_target_key_is_split(spark, settings, executed_plan):

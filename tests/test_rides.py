@@ -3,6 +3,7 @@ from __future__ import annotations
 import json
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.plans.graph import ride_edges, ride_edges_via_locks
 from starloom.plans.rides import (
@@ -13,6 +14,7 @@ from starloom.plans.rides import (
     user_dimension,
     vehicle_lookup,
     vehicle_types,
+    with_user,
 )
 from starloom.plans.weather import hourly_weather, weather_requests
 from starloom.sinks.files import stored_in
@@ -150,6 +152,18 @@ def test_ride_fact(tables, rows):
     assert distances[2] == 0 and distances[6] is None
 
 
+def many_rides(rides, n):
+    """The first ride ``n`` times under other numbers."""
+    numbers = rides.sparkSession.range(n).withColumnRenamed("id", "copy")
+    first = rides.where("rideid = 1")
+    return first.join(numbers).withColumn("rideid", F.col("rideid") * 1_000_000 + F.col("copy"))
+
+
+def hours_of_a_day(n):
+    """The payload of a day on which the clock changes."""
+    return payload(temperature_2m=[1.0] * n, precipitation=[0.0] * n, weathercode=[0] * n)
+
+
 def test_edges(tables, rows):
     users = user_dimension(tables["users"], tables["subscriptions"], tables["subscription_types"])
     shared = (tables["subscriptions"], users, "2024-05-01", "2024-05-02")
@@ -162,6 +176,9 @@ def test_edges(tables, rows):
     assert rows(via, "rideid", "start_station_id", "end_station_id", "start_district") == [
         (1, 10, 20, "North"), (7, 20, 10, "South"),
     ]
+    assert ride_edges_via_locks(
+        many_rides(tables["rides"], 10_500), tables["locks"], tables["stations"], *shared
+    ).count() > 10_000
     few = ride_edges_via_locks(
         tables["rides"], tables["locks"], tables["stations"], *shared, limit=1
     )
@@ -183,6 +200,8 @@ def test_hourly_weather(spark, rows):
         ("2005", "no json"),
         ("2006", None),
         ("2007", payload(temperature_2m=[16.0] * 30)),
+        ("2008", hours_of_a_day(23)),
+        ("2009", hours_of_a_day(25)),
         ("x", payload(weathercode=[9] * 24)),
     ]
     payloads = spark.createDataFrame(texts, "zipcode string, payload string").selectExpr(
@@ -190,7 +209,12 @@ def test_hourly_weather(spark, rows):
     )
     weather = hourly_weather(payloads)
     counts = dict(map(tuple, weather.groupBy("zipcode").count().collect()))
-    assert counts == {2000: 24, 2001: 24, 2002: 24, 2007: 24, None: 24}
+    assert counts == {
+        2000: 24, 2001: 24, 2002: 24, 2003: 24, 2004: 24, 2007: 30, 2008: 23, 2009: 25, None: 24,
+    }
+    assert rows(weather.where("zipcode = 2004").select("weather_description").distinct()) == [
+        ("Unknown",)
+    ]
 
     def category(zipcode, hour):
         return weather.where(f"zipcode = {zipcode} AND hour = {hour}").first().weather_description
@@ -201,3 +225,23 @@ def test_hourly_weather(spark, rows):
     assert rows(weather.where("zipcode IS NULL").select("weather_description").distinct()) == [
         ("Neutral",)
     ]
+
+
+def test_a_user_with_thousands_of_day_tickets(spark):
+    n = 4_000
+    days = spark.range(n).selectExpr("id", "date_add(date'2010-01-01', cast(id AS int)) AS day")
+    tickets = days.selectExpr(
+        "id AS subscriptionid", "7L AS userid", "0 AS subscriptiontypeid", "day AS validfrom"
+    )
+    users = spark.sql("SELECT 7L AS userid, 's' AS street, '1' AS number, '2' AS zipcode, 'c' AS city, 'B' AS country_code")
+    types = spark.createDataFrame([(0, "DAG")], "subscriptiontypeid int, description string")
+    dimension = user_dimension(users, tickets, types)
+    assert dimension.select("user_sk").distinct().count() == n
+    rides = days.selectExpr(
+        "id AS rideid", "cast(day AS timestamp) AS starttime", "id AS subscriptionid"
+    )
+    got = with_user(rides, tickets, dimension)
+    # The ticket of the day and the one of the day before, which holds until then.
+    assert got.groupBy("rideid").count().groupBy("count").count().orderBy("count").collect() == [
+        (1, 1), (2, n - 1),
+    ]

@@ -92,6 +92,23 @@ def test_uniqueness_check_adds_no_shuffle(spark, settings, executed_plan):
     assert executed_plan(joined).count("Exchange hashpartitioning") == 2
 
 
+def test_two_open_versions_fail(spark):
+    dimension = start(spark, [(1, "Jane", "NY"), (1, "Jane", "LA")])
+    with pytest.raises(Exception, match="occurs twice"):
+        load(spark, dimension, [(1, "Jane", "Rome")], "2024-01-01 00:00:00").collect()
+
+
+def test_a_run_before_the_open_version_fails(spark):
+    dimension = load(
+        spark, start(spark, [(1, "Jane", "NY")]), [(1, "Jane", "LA")], "2024-06-01 00:00:00"
+    )
+    dimension = spark.createDataFrame(dimension.collect(), dimension.schema)
+    with pytest.raises(Exception, match="starts after the run"):
+        load(spark, dimension, [(1, "Jane", "Rome")], "2024-01-01 00:00:00").collect()
+    same = load(spark, dimension, [(1, "Jane", "LA")], "2024-01-01 00:00:00")
+    assert spans(same) == spans(dimension)
+
+
 def test_many_loads_keep_the_invariants(spark):
     rng = random.Random(3)
     people = {i: (f"n{i}", "A") for i in range(30)}

@@ -146,3 +146,17 @@ def test_kafka_options():
         "format": "kafka", "kafka.bootstrap.servers": "host:1", "subscribe": "demo",
         "startingOffsets": "earliest",
     }
+
+
+def test_other_field_names_and_formats(spark, tmp_path, topic):
+    text = json.dumps({"timestamp": at(1), "key": "a", "value": 3})
+    frame = spark.createDataFrame([("k", text.encode())], "key string, value binary")
+    names = ("timestamp", "key", "value")
+    event = typed_events(frame, names).first()
+    assert (str(event.eventtime), event.key, event.value) == (at(1), "a", 3)
+    assert tuple(json_fields(frame, names).first()) == (at(1), "a", "3")
+    topic.send((at(1), "a", 1))
+    out = str(tmp_path / "json")
+    events = typed_events(topic.read())
+    append_to_files(events, out, str(tmp_path / "c"), True, "json").awaitTermination()
+    assert [r.key for r in spark.read.json(out).collect()] == ["a"]

@@ -50,21 +50,23 @@ def directory(entries: DataFrame, capacity: int, max_depth: int) -> DataFrame:
     )
 
 
-def keyed(docs: DataFrame, digest: Callable[[Column], Column]) -> DataFrame:
-    return texts(docs).select(
-        "doc_id", "text", F.xxhash64("text").alias("key"), digest(F.col("text")).alias("digest")
-    )
+def keyed(
+    docs: DataFrame, key: Callable[[Column], Column], digest: Callable[[Column], Column]
+) -> DataFrame:
+    text = F.col("text")
+    return texts(docs).select("doc_id", "text", key(text).alias("key"), digest(text).alias("digest"))
 
 
 def build_index(
     docs: DataFrame,
     capacity: int = 4096,
     max_depth: int = 16,
+    key: Callable[[Column], Column] = F.xxhash64,
     digest: Callable[[Column], Column] = sha256,
 ) -> DataFrame:
     """The stored index: bucket, depth, key, digest, chain, keep_id, group_size."""
     entries = stored(
-        keyed(docs, digest)
+        keyed(docs, key, digest)
         .groupBy("key", "digest")
         .agg(F.max("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
         .withColumn("slot", F.shiftrightunsigned("key", 64 - max_depth)),
@@ -88,14 +90,15 @@ def exact_duplicates(
     docs: DataFrame,
     capacity: int = 4096,
     max_depth: int = 16,
+    key: Callable[[Column], Column] = F.xxhash64,
     digest: Callable[[Column], Column] = sha256,
 ) -> DataFrame:
     """Per row of ``docs``: doc_id, keep_id, group_size, kept and text_sha256.
 
-    ``digest`` is only given to test what happens when digests collide.
+    ``key`` and ``digest`` are only given to test what happens when they collide.
     """
-    index = build_index(docs, capacity, max_depth, digest)
-    rows = keyed(docs, digest)
+    index = build_index(docs, capacity, max_depth, key, digest)
+    rows = keyed(docs, key, digest)
     repeated = index.where("group_size > 1").select("key", "digest", "keep_id")
     members = stored(rows.join(repeated, ["key", "digest"]), "dedup-members")
     heads = (

@@ -1,0 +1,68 @@
+from __future__ import annotations
+
+import hashlib
+from collections import defaultdict
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.llm.exact_dedup import build_index, directory, drop_exact_duplicates, exact_duplicates
+
+
+def expected(rows):
+    groups = defaultdict(list)
+    for doc, text in rows:
+        groups[text or ""].append(doc)
+    out = []
+    for doc, text in rows:
+        ids = groups[text or ""]
+        keep = max((i for i in ids if i is not None), default=None)
+        digest = hashlib.sha256((text or "").encode()).hexdigest()
+        out.append((doc, keep, len(ids), doc == keep, digest))
+    return sorted(out, key=repr)
+
+
+COLLIDING = {
+    "as it is": {},
+    "one key": {"key": lambda t: F.lit(5).cast("bigint")},
+    "one digest": {"key": lambda t: F.length(t).cast("bigint"), "digest": lambda t: F.lit("x")},
+}
+
+
+@pytest.mark.parametrize("how", COLLIDING)
+def test_against_brute_force(odd, how, collected):
+    rows = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    got = exact_duplicates(odd, capacity=3, max_depth=4, **COLLIDING[how])
+    assert collected(got) == expected(rows)
+
+
+def test_no_rows(documents):
+    assert exact_duplicates(documents([])).collect() == []
+
+
+def test_kept_rows_have_all_columns(odd):
+    kept = drop_exact_duplicates(odd)
+    assert kept.columns == odd.columns
+    assert kept.select("text").distinct().count() == kept.count() - 1  # (4, one) is there twice
+
+
+def test_directory_splits_full_buckets(spark):
+    slots = spark.range(256).selectExpr("if(id < 200, id % 16, id) AS slot")
+    rows = directory(slots, capacity=20, max_depth=8).collect()
+    load = {}
+    for r in slots.groupBy("slot").count().collect():
+        bucket = next(x for x in rows if x.slot == r.slot)
+        assert bucket.bucket >> bucket.depth == 1
+        load.setdefault((bucket.depth, bucket.bucket), 0)
+        load[bucket.depth, bucket.bucket] += r["count"]
+    assert all(n <= 20 for n in load.values())
+    # No bucket's bits begin with those of another one.
+    names = [format(b - (1 << d) + (1 << d), "b")[1:] for d, b in load]
+    assert not any(a != b and b.startswith(a) for a in names for b in names)
+
+
+def test_different_texts_of_one_key_are_chained(documents):
+    docs = documents([(i, f"text {i % 4}") for i in range(20)])
+    index = build_index(docs, key=lambda t: F.lit(1).cast("bigint")).collect()
+    assert sorted(r.chain for r in index) == [0, 1, 2, 3]
+    assert all(r.group_size == 5 for r in index)

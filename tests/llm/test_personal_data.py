@@ -1,0 +1,66 @@
+from __future__ import annotations
+
+import hashlib
+import random
+import re
+
+from starloom.llm.personal_data import BASE, KINDS, luhn, personal_data, spans_of, written
+
+# The patterns of the task, here read by the regular expression engine.
+EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
+IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
+CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
+PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
+
+
+def by_pattern(text):
+    digits = lambda m: re.sub("[^0-9]", "", m.group())
+    return {
+        "email": [m.span() for m in EMAIL.finditer(text)],
+        "ip": [m.span() for m in IP.finditer(text) if max(map(int, m.group().split("."))) < 256],
+        "card": [
+            m.span() for m in CARD.finditer(text) if 13 <= len(digits(m)) <= 19 and luhn(digits(m))
+        ],
+        "phone": [m.span() for m in PHONE.finditer(text) if 9 <= len(digits(m)) <= 15],
+    }
+
+
+def test_base_spans_are_those_of_the_patterns():
+    rng = random.Random(11)
+    for alphabet in ("a@@..0123456789  --+()é2", "@a.-_%", "0123456789 -", "+0 ().-12"):
+        for _ in range(4000):
+            text = "".join(rng.choices(alphabet, k=rng.randint(0, 45)))
+            found, wanted = spans_of(text), by_pattern(text)
+            assert all(found[kind] == wanted[kind] for kind in BASE), text
+
+
+def test_added_kinds():
+    text = 'See https://user@host.example:8080/a?b=1. token = "1eb9c654e7" and Account: 12-345678, tokens 123456'
+    found = spans_of(text)
+    assert [text[b:e] for b, e in found["address"]] == ["https://user@host.example:8080/a?b=1"]
+    assert [text[b:e] for b, e in found["account"]] == ["1eb9c654e7", "12-345678"]
+    assert found["email"] == by_pattern(text)["email"]
+
+
+def test_linear_in_long_texts():
+    for part in ("1", "a@", "+1 ", "1.", "é", "://", "a."):
+        spans_of(part * 300_000)
+
+
+def test_odd_documents(odd):
+    rows = sorted(((r.doc_id, r.text or "") for r in odd.collect()), key=repr)
+    got = personal_data(odd).collect()
+    assert len(got) == len(rows)
+    made = {}
+    for doc, text in rows:
+        found = spans_of(text)
+        base = written(by_pattern(text), BASE)
+        made.setdefault(doc, set()).add((hashlib.sha256(base.encode()).hexdigest(), written(found, KINDS)))
+    for r in got:
+        assert (r.base_sha256, r.spans) in made[r.doc_id]
+    one = next(r for r in got if r.doc_id == 13)
+    assert (one.n_email, one.n_ip, one.n_card, one.n_phone) == (1, 1, 1, 1)
+
+
+def test_no_rows(documents):
+    assert personal_data(documents([])).collect() == []

@@ -1,0 +1,58 @@
+from __future__ import annotations
+
+import random
+
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+from starloom.llm.coding import WordCache
+from starloom.llm.token_counts import count_each, token_counts
+
+PATH = public_tokenizers.path("byte_bpe_50k.json")
+PARTS = ["a", "B ", " ", "  ", "\n", "\t", "<|endoftext|>", "'ll", "'", "é", "日本", "12", "\xa0",
+         "\x1c", "\x85", "Σ", "́", "!?"]
+
+
+def plain(text):
+    return len(Tokenizer.from_file(PATH).encode(text or "", add_special_tokens=False))
+
+
+def expected(rows):
+    counted = [(doc, len((t or "").encode()), plain(t)) for doc, t in rows]
+    return sorted(((*row, row[2] > 1024) for row in counted), key=repr)
+
+
+def test_words_one_by_one():
+    rng = random.Random(5)
+    texts = ["".join(rng.choices(PARTS, k=rng.randint(0, 60))) for _ in range(2000)]
+    coder = Tokenizer.from_file(PATH)
+    whole = [len(x) for x in coder.encode_batch(texts, add_special_tokens=False)]
+    assert count_each(PATH, texts) == whole
+
+
+@pytest.mark.parametrize("sizes", [(32_768, 1_024), (400, 80)])
+def test_odd_documents(odd, sizes, collected):
+    rows = [tuple(r) for r in odd.select("doc_id", "text").collect()]
+    assert collected(token_counts(odd, PATH, 1024, *sizes)) == expected(rows)
+
+
+def test_chunks_are_spliced_and_overlaps_widened(documents, collected):
+    rng = random.Random(7)
+    rows = [(1, "x" * 5000), (2, "ab" * 900 + " " * 700 + "c" * 900), (3, "<|endoftext|>" * 200)]
+    rows += [
+        (4 + i, "".join(rng.choices(PARTS, k=rng.randint(300, 900)))) for i in range(12)
+    ]
+    assert collected(token_counts(documents(rows), PATH, 1024, 200, 70)) == expected(rows)
+
+
+def test_no_rows(documents):
+    assert token_counts(documents([]), PATH).collect() == []
+
+
+def test_cache_keeps_repeated_words_up_to_its_limit():
+    asked = []
+    cache = WordCache(lambda words: asked.extend(words) or [len(w) for w in words], limit=2)
+    for _ in range(3):
+        assert cache.of([["a", "bb"], ["ccc", "a"]]) == [[1, 2], [3, 1]]
+    assert len(cache.known) <= 2 and len(asked) < 9

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from starloom.llm.common import query, stored, table, texts
 
 #: No spacing against short items, and spacings that step over every fifth and every third word.
+#: A mask begins with two ones.
 MASKS = ("11111", "1111011", "1101101011")
 #: Rows up to which a side is broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 500_000
@@ -34,28 +35,53 @@ def words(text: Column) -> Column:
     return F.regexp_extract_all(F.lower(text), F.lit("[\\p{L}\\p{N}]+"), F.lit(0))
 
 
-def seeds(df: DataFrame, ident: str, place: str) -> DataFrame:
-    """ident, place and seed: a row per mask and word of ``text``."""
-    n = len(MASKS)
-    cases = " ".join(
-        f"WHEN {k} THEN if(i div {n} + {len(mask)} <= size(hashed_words), xxhash64({k}, "
-        + ", ".join(f"hashed_words[i div {n} + {o}]" for o, bit in enumerate(mask) if bit == "1")
-        + "), null)"
-        for k, mask in enumerate(MASKS)
-    )
-    made = (
-        f"if(size(hashed_words) < {min(map(len, MASKS))}, cast(array() as array<bigint>), transform("
-        f"sequence(0, size(hashed_words) * {n} - 1), i -> CASE cast(i % {n} as int) {cases} END))"
-    ).replace("i div", "cast(i div").replace(f"div {n} ", f"div {n} as int) ")
+def _laid(number: int, mask: str) -> str:
+    """The seeds of a mask at all words, built from hashes of neighbouring words in ``pairs`` and
+    of single ones. Arrays are zipped, since reading them by index costs several times as much; what
+    the zips make of the missing words behind the last place is cut off."""
+    parts, at = [], 0
+    while at < len(mask):
+        pair = mask[at : at + 2] == "11"
+        if pair or mask[at] == "1":
+            parts.append(("pairs" if pair else "hashed_words", at))
+        at += 1 + pair
+    made = parts[0][0]
+    for column, offset in parts[1:]:
+        made = f"zip_with({made}, slice({column}, {offset + 1}, 2147483647), (a, b) -> xxhash64(a, b, {number}))"
+    return f"slice({made}, 1, greatest(0, size(hashed_words) - {len(mask) - 1}))"
+
+
+def seeds(df: DataFrame, ident: str) -> DataFrame:
+    """ident, seed, and ``at`` and ``size`` that tell its place: a row per mask and word of ``text``
+    at which the mask fits, mask by mask."""
+    hashed = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
+    laid = ", ".join(_laid(number, mask) for number, mask in enumerate(MASKS))
     return (
-        df.select(ident, F.transform(words(F.col("text")), lambda w: F.xxhash64(w)).alias("hashed_words"))
+        df.select(ident, hashed.alias("hashed_words"))
+        .withColumn(
+            "pairs",
+            F.expr("zip_with(hashed_words, slice(hashed_words, 2, 2147483647), (a, b) -> xxhash64(a, b))"),
+        )
         # The outer form keeps the optimizer from computing all seeds again in a filter.
-        .select(ident, F.posexplode_outer(F.expr(made)).alias("at", "seed"))
+        .select(
+            ident,
+            F.size("hashed_words").alias("size"),
+            F.posexplode_outer(F.expr(f"concat({laid})")).alias("at", "seed"),
+        )
         .where("seed is not null")
-        .select(ident, F.expr(f"cast(at div {n} as int)").alias(place), "seed")
     )
 
 
+def _place() -> Column:
+    """The word at which the mask of a seed was laid: masks follow each other in ``at``."""
+    place, before = "", "0"
+    for mask in MASKS:
+        after = f"{before} + greatest(0, size - {len(mask) - 1})"
+        place += f" WHEN at < {after} THEN at - ({before})"
+        before = after
+    return F.expr(f"CASE{place} END")
+
+
 def _best_stretch() -> Column:
     """Over ``same`` (array of booleans): the matches of the stretch with the best score."""
     step = "if(x, 1, -3)"
@@ -77,10 +103,13 @@ def leaks(
     items = texts(benchmark.select(F.col("item_id").alias("doc_id"), "text")).select(
         F.col("doc_id").alias("item_id"), "text"
     )
-    item_seeds = stored(seeds(items, "item_id", "item_at").distinct(), "item-seeds")
+    item_seeds = stored(
+        seeds(items, "item_id").select("item_id", "seed", _place().alias("item_at")), "item-seeds"
+    )
     candidates = stored(
-        seeds(texts(docs), "doc_id", "doc_at")
+        seeds(texts(docs), "doc_id")
         .join(_checked_broadcast(item_seeds), "seed")
+        .withColumn("doc_at", _place())
         .select(
             F.col("doc_id").alias("hit_id"),
             "item_id",

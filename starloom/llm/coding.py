@@ -21,23 +21,33 @@ def tokenizer(path: str):
 
 
 class WordCache:
-    """What ``make`` gives for each word. A word is kept from its second time on, as long as there
-    are less than ``limit``; others are made anew. First times are noted in a table of fixed size,
-    in which a collision only keeps a word too early."""
+    """What ``make`` gives for each word. The first ``limit`` / 2 words are kept as they come, others
+    from their second time on while there are less than ``limit``; the rest is made anew. First
+    times are noted in a table of fixed size, in which a collision only keeps a word too early."""
 
-    def __init__(self, make, limit: int = 300_000):
+    def __init__(self, make, limit: int = 600_000):
         self.make, self.limit, self.known = make, limit, {}
         self.seen = bytearray(1 << 22)
 
+    def stays(self, word: str, size: int) -> bool:
+        """Whether a word is kept when there are ``size`` others."""
+        if size < self.limit // 2:
+            return True
+        place = hash(word) & 0x3FFFFF
+        again, self.seen[place] = self.seen[place], 1
+        return bool(again) and size < self.limit
+
     def of(self, lists: list[list[str]]) -> list[list]:
         """The values of the words of each list."""
-        known, seen = self.known, self.seen
+        known = self.known
         missing = list({word for words in lists for word in words if word not in known})
-        known.update(zip(missing, self.make(missing) if missing else ()))
+        made = self.make(missing) if missing else ()
+        size = len(known)
+        known.update(zip(missing, made))
         found = [list(map(known.__getitem__, words)) for words in lists]
         for word in missing:
-            place = hash(word) & 0x3FFFFF
-            if not seen[place] or len(known) > self.limit:
-                seen[place] = 1
+            if self.stays(word, size):
+                size += 1
+            else:
                 del known[word]
         return found

@@ -15,6 +15,7 @@ doc_id stays null. An empty table gives no rows.
 
 from __future__ import annotations
 
+import string
 from collections.abc import Iterator
 from functools import cache
 
@@ -35,17 +36,46 @@ Pattern = tuple[tuple[int, ...], int]
 @cache
 def _ids(path: str) -> WordCache:
     def make(words: list[str]) -> list[bytes]:
-        coded = tokenizer(path).encode_batch_fast(words, add_special_tokens=False)
-        return [np.array(x.ids, "<u4").tobytes() for x in coded]
+        # Letters and the punctuation behind them are different tokens, so words that differ in
+        # punctuation only need their letters encoded once.
+        cut = []
+        for word in words:
+            head = word.rstrip(string.punctuation)
+            plain = head.isalpha() and max(head) < "\u0100"
+            cut.append((head, word[len(head) :]) if plain else (word, ""))
+        known = words_known.known
+        new = list({part for both in cut for part in both if part and part not in known})
+        coded = tokenizer(path).encode_batch_fast(new, add_special_tokens=False)
+        made = {part: np.array(x.ids, "<u4").tobytes() for part, x in zip(new, coded)}
+        values = [
+            (made[h] if h in made else known[h]) + (made[t] if t in made else known[t] if t else b"")
+            for h, t in cut
+        ]
+        whole = set(words)
+        for part, value in made.items():
+            if part not in whole and words_known.stays(part, len(known)):
+                known[part] = value
+        return values
+
+    words_known = WordCache(make)
+    return words_known
+
 
-    return WordCache(make)
+def _lower(body: str) -> str:
+    """The tokenizer lower-cases, so words may be lower-cased first to be found in the cache. That is
+    left out beyond Latin-1, where cases are not simple, and beside special strings."""
+    try:
+        body.encode("latin-1")
+    except UnicodeEncodeError:
+        return body
+    return body if "<|" in body else body.lower()
 
 
 def ids_of(path: str, bodies: list[str]) -> list[bytes]:
     """The ids of each text as little-endian unsigned 32-bit numbers. This tokenizer drops white
     space and never joins over it, so texts are encoded word by word."""
     usual = [not UNUSUAL.search(body) for body in bodies]
-    words = [body.split() if ok else [] for body, ok in zip(bodies, usual)]
+    words = [_lower(body).split() if ok else [] for body, ok in zip(bodies, usual)]
     return [
         b"".join(parts)
         if ok

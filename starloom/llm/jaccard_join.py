@@ -1,14 +1,14 @@
 """Documents linked by the Jaccard similarity of their sets of word shingles, and the groups that
 the links make.
 
-Documents with equal sets are one node. Shingles are put in one order for all documents, those of
-crowded slots of a sketch over all documents last, the others by hash; two sets can only be similar
-enough if they share one of their first (1 - t) * size + 1 shingles. Nodes that share such a shingle meet in
-its tile; tiles are banded by size, as sets whose sizes differ by more than t cannot be linked. Nobody
-writes out the pairs of a tile:
-
-1. In star rounds each node is compared with one leader of its tile, of another component. That links
-   most of a large group of near copies with as many comparisons as it has nodes.
+Documents with equal sets are one node. Shingles are put in one order for all documents, by the
+load of their slot in a sketch that counts the shingles of all documents, rare ones first; two sets
+can only be similar enough if they share one of their first (1 - t) * size + 1 shingles. Nodes that
+share such a shingle meet in its tile; tiles are banded by size, as sets whose sizes differ by more
+than t cannot be linked. Nobody writes out the pairs of a tile:
+
+1. In star rounds each node is compared with one leader, of another component, whom it meets in its
+   tiles. That links most of a large group of near copies with as many comparisons as it has nodes.
 2. Then only pairs of different components are left to compare; in a tile these are the nodes
    outside its largest component against the others. Tiles of one component need nothing.
 
@@ -115,11 +115,11 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_pylist([row], schema=_PROFILES)
 
 
-def _crowded(profiles: DataFrame) -> np.ndarray:
-    """A bit per slot of the sketch (512 kB): whether far more shingles fall into it than on
-    average. Each part is summed up where its rows are, one row at a time."""
+def _levels(profiles: DataFrame) -> tuple[np.ndarray, int]:
+    """The load of each slot of the sketch on a logarithmic scale, a byte each (4 MB), and the
+    level up to which a slot is not crowded. Each part is summed up where its rows are, one row at a
+    time."""
     total = profiles.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    limit = 64 + 2 * total / (1 << SKETCH_BITS)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -133,7 +133,7 @@ def _crowded(profiles: DataFrame) -> np.ndarray:
         yield pa.RecordBatch.from_pydict(
             {
                 "part": pa.array(list(sums), pa.int32()),
-                "bits": pa.array([np.packbits(v > limit).tobytes() for v in sums.values()], pa.binary()),
+                "levels": pa.array([_level(v).tobytes() for v in sums.values()], pa.binary()),
             }
         )
 
@@ -141,24 +141,28 @@ def _crowded(profiles: DataFrame) -> np.ndarray:
         profiles.where("part is not null")
         .select("part", "counts")
         .repartition(SKETCH_PARTS, "part")
-        .mapInArrow(run, "part int, bits binary")
+        .mapInArrow(run, "part int, levels binary")
         .collect()
     )
-    bits = np.zeros(1 << SKETCH_BITS, bool)
+    levels = np.zeros(1 << SKETCH_BITS, np.uint8)
     for row in parts:
         width = (1 << SKETCH_BITS) // SKETCH_PARTS
-        bits[row["part"] * width : (row["part"] + 1) * width] = np.unpackbits(
-            np.frombuffer(row["bits"], np.uint8)
+        levels[row["part"] * width : (row["part"] + 1) * width] = np.frombuffer(
+            row["levels"], np.uint8
         )
-    return bits
+    return levels, int(_level(np.array([64 + 2 * total / (1 << SKETCH_BITS)]))[0])
 
 
-def _prefixes(docs: DataFrame, crowded: np.ndarray) -> DataFrame:
+def _level(load: np.ndarray) -> np.ndarray:
+    return np.minimum(255, 16 * np.log2(1 + load)).astype(np.uint8)
+
+
+def _prefixes(docs: DataFrame, levels: np.ndarray, crowded: int) -> DataFrame:
     """token, node, n and rare (shingles that are not crowded) for the first shingles of each set."""
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(crowded))
+    shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = np.unpackbits(shared.value).astype(bool)
+        level_of = shared.value
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
                 tokens, nodes, sizes, rares = [], [], [], []
@@ -167,15 +171,11 @@ def _prefixes(docs: DataFrame, crowded: np.ndarray) -> DataFrame:
                     if not n:
                         continue
                     length = n - -(-PERCENT * n // 100) + 1
-                    late = last[_slot(members)]
-                    early = members[~late]
-                    chosen = early[:length]
-                    if len(chosen) < length:
-                        chosen = np.concatenate([chosen, members[late][: length - len(chosen)]])
-                    tokens.append(chosen)
+                    own = level_of[_slot(members)]
+                    tokens.append(members[np.argsort(own, kind="stable")[:length]])
                     nodes.append(_node(members))
                     sizes.append(n)
-                    rares.append(len(early))
+                    rares.append(np.count_nonzero(own <= crowded))
                 lengths = [len(t) for t in tokens]
                 flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
                 columns = [flat.view(np.int64)]
@@ -189,7 +189,8 @@ def _prefixes(docs: DataFrame, crowded: np.ndarray) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """node and members (sorted) of the documents of ``wanted`` (doc_id, stored)."""
+    """node and members (sorted) of the documents of ``wanted`` (doc_id, stored). Rows that repeat a
+    doc_id each give a set."""
     ids = wanted.select(F.col("doc_id").alias("wanted_id"))
     ids = F.broadcast(ids) if ids.count() <= BROADCAST_ROWS else ids
     rows = texts(docs)
@@ -207,7 +208,7 @@ def _sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
                     schema=_SETS,
                 )
 
-    return rows.mapInArrow(run, from_arrow_schema(_SETS)).dropDuplicates(["node"])
+    return rows.mapInArrow(run, from_arrow_schema(_SETS))
 
 
 def _within_bound(pairs: DataFrame) -> DataFrame:
@@ -229,13 +230,14 @@ def _within_bound(pairs: DataFrame) -> DataFrame:
                 nb - np.bitwise_count(two & ~one).sum(axis=1, dtype=np.int64),
             )
             keep = 100 * most >= PERCENT * (na + nb - most)
-            yield batch.filter(pa.array(keep)).select(["a", "b", "na", "nb"])
+            yield batch.filter(pa.array(keep)).select(["a", "b", "rank", "na", "nb"])
 
-    return pairs.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
+    return pairs.mapInArrow(run, "a bigint, b bigint, rank bigint, na bigint, nb bigint")
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) that are similar enough, stored."""
+def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, one_each: bool) -> DataFrame:
+    """The pairs (a, b) that are similar enough, stored. With ``one_each`` only the pair of each a
+    with the smallest ``rank`` is looked at, of those that the bitmaps allow."""
 
     def side(name: str) -> DataFrame:
         return nodes.select(
@@ -244,8 +246,15 @@ def _links(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
             F.col("bitmap").alias(f"bits_{name}"),
         )
 
-    bounded = stored(
-        _within_bound(pairs.join(side("a"), "a").join(side("b"), "b")), "bounded-pairs"
+    bounded = _within_bound(pairs.join(side("a"), "a").join(side("b"), "b"))
+    if one_each:
+        bounded = bounded.groupBy("a").agg(
+            F.min(F.struct("rank", "b", "na", "nb")).alias("best")
+        ).select("a", "best.*")
+    bounded = stored(bounded, "bounded-pairs")
+    seen = bounded.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    sets = stored(
+        _sets(docs, stored(nodes.join(seen, "node", "left_semi").select("doc_id"), "wanted")), "sets"
     )
     shared = F.size(F.array_intersect("set_a", "set_b"))
     return stored(
@@ -285,10 +294,10 @@ def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def linked_nodes(docs: DataFrame, nodes: DataFrame, crowded: np.ndarray) -> DataFrame:
+def linked_nodes(docs: DataFrame, nodes: DataFrame, levels: np.ndarray, crowded: int) -> DataFrame:
     """(node, component) of the nodes that meet another one; ``nodes`` has node, n, bitmap and a
     doc_id of each."""
-    prefixes = _prefixes(docs, crowded)
+    prefixes = _prefixes(docs, levels, crowded)
     repeated = prefixes.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").drop("rows")
     members = stored(
         prefixes.join(repeated, "token").groupBy("token", "node", "n", "rare").agg(F.lit(1).alias("x")).drop("x"),
@@ -304,7 +313,6 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, crowded: np.ndarray) -> Data
     members = stored(members.join(mixed, "token"), "tiles")
     met = stored(members.select("node").distinct(), "met")
     nodes = stored(nodes.join(met, "node", "left_semi"), "met-nodes")
-    sets = stored(_sets(docs, nodes.select("doc_id")), "sets")
     components = met.withColumn("component", F.col("node"))
 
     # A node belongs to the tile of its band and, as the smaller partner, to the next one.
@@ -312,7 +320,7 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, crowded: np.ndarray) -> Data
     for turn in range(STAR_ROUNDS):
         own = tiles.join(components, "node")
         # The first leaders are those with the fewest shingles of their own.
-        rank = F.col("rare") if turn == 0 else F.xxhash64("node", F.lit(turn))
+        rank = F.col("rare").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
         leaders = (
             own.groupBy("token", "tile")
             .agg(
@@ -326,13 +334,10 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, crowded: np.ndarray) -> Data
         pairs = (
             own.join(leaders, ["token", "tile"])
             .where(f"component != leader.component and {_similar_sizes('n', 'leader.n')}")
-            .select(
-                F.least("node", "leader.node").alias("a"),
-                F.greatest("node", "leader.node").alias("b"),
-            )
+            .select(F.col("node").alias("a"), F.col("leader.node").alias("b"), "leader.rank")
             .distinct()
         )
-        links = _links(pairs, nodes, sets)
+        links = _links(docs, pairs, nodes, True)
         if links.isEmpty():
             break
         components = _merged(components, links)
@@ -363,10 +368,14 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, crowded: np.ndarray) -> Data
         outside.join(open_rows, ["token", "band"])
         .where(f"ca != component and {_similar_sizes('na', 'n')}")
         .where("component = main or a < node")
-        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        .select(
+            F.least("a", "node").alias("a"),
+            F.greatest("a", "node").alias("b"),
+            F.lit(0).cast("bigint").alias("rank"),
+        )
         .distinct()
     )
-    links = _links(pairs, nodes, sets)
+    links = _links(docs, pairs, nodes, False)
     return components if links.isEmpty() else _merged(components, links)
 
 
@@ -384,7 +393,7 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         ),
         "nodes",
     )
-    components = linked_nodes(docs, nodes, _crowded(profiles))
+    components = linked_nodes(docs, nodes, *_levels(profiles))
     placed = nodes.select("node", "doc_id").join(components, "node", "left").select(
         "node", F.col("doc_id").alias("first_id"), F.coalesce("component", "node").alias("component")
     )

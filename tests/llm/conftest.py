@@ -12,6 +12,11 @@ os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("P
 CLASHING = "digest string, key string, node string, n string, part string, words string, text_hash string, keep_id string"
 
 
+@pytest.fixture(autouse=True)
+def few_partitions(settings):
+    settings(shuffle__partitions="3")
+
+
 @pytest.fixture
 def documents(spark):
     """Documents from (doc_id, text) or (doc_id, text, lang), with extra columns of clashing names."""

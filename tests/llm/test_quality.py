@@ -133,7 +133,7 @@ def test_rejects_noise_and_keeps_the_rest(spark, documents, case):
 def test_odd_documents(spark, odd, documents, case):
     rows, labels = case
     marks = spark.createDataFrame(labels, "doc_id bigint, quality int")
-    docs = odd.unionByName(documents(rows)).unionByName(documents([(2000, "No language here.", None)]))
+    docs = odd.unionByName(documents(rows)).unionByName(documents([(2000, "People walk near the river every morning.", None)]))
     got = quality(docs, marks).collect()
     assert {r.kept for r in got if not r.chars} == {False}
     assert all(r.perplexity is None for r in got if not r.chars)

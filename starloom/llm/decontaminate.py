@@ -47,7 +47,8 @@ def _laid(number: int, mask: str) -> str:
         at += 1 + pair
     made = parts[0][0]
     for column, offset in parts[1:]:
-        made = f"zip_with({made}, slice({column}, {offset + 1}, 2147483647), (a, b) -> xxhash64(a, b, {number}))"
+        later = f"slice({column}, {offset + 1}, size(hashed_words))"
+        made = f"zip_with({made}, {later}, (a, b) -> xxhash64(a, b, {number}))"
     return f"slice({made}, 1, greatest(0, size(hashed_words) - {len(mask) - 1}))"
 
 
@@ -56,11 +57,12 @@ def seeds(df: DataFrame, ident: str) -> DataFrame:
     at which the mask fits, mask by mask."""
     hashed = F.transform(words(F.col("text")), lambda w: F.xxhash64(w))
     laid = ", ".join(_laid(number, mask) for number, mask in enumerate(MASKS))
+    following = "slice(hashed_words, 2, size(hashed_words))"
     return (
         df.select(ident, hashed.alias("hashed_words"))
         .withColumn(
             "pairs",
-            F.expr("zip_with(hashed_words, slice(hashed_words, 2, 2147483647), (a, b) -> xxhash64(a, b))"),
+            F.expr(f"zip_with(hashed_words, {following}, (a, b) -> xxhash64(a, b))"),
         )
         # The outer form keeps the optimizer from computing all seeds again in a filter.
         .select(
@@ -120,13 +122,13 @@ def leaks(
     )
     own_words = texts(docs)
     small = _checked_broadcast(candidates)
+    item_words = stored(items.withColumn("item", words(F.col("text"))).drop("text"), "items")
     compared = (
         own_words.join(small, F.col("doc_id").eqNullSafe(F.col("hit_id")))
         .withColumn("words", words(F.col("text")))
         .drop("text")
         .join(
-            _checked_broadcast(stored(items.withColumn("item", words(F.col("text"))).drop("text"), "items"))
-            .withColumnRenamed("item_id", "own_id"),
+            _checked_broadcast(item_words).withColumnRenamed("item_id", "own_id"),
             F.col("item_id").eqNullSafe(F.col("own_id")),
         )
         .withColumn(

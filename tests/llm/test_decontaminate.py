@@ -4,7 +4,7 @@ import random
 
 import pytest
 
-from starloom.llm.decontaminate import drop_leaks, leaks
+from starloom.llm.decontaminate import MASKS, drop_leaks, leaks, seeds
 
 WORDS = [f"{a}{b}" for a in "ba be bi bo bu da de di do du".split() for b in "n m l r s t".split()]
 
@@ -43,6 +43,18 @@ def test_leaks_with_substitutions(spark, documents, case):
             assert r.matched == r.item_words == r.stretch
 
 
+def test_seeds_depend_on_the_words_under_the_ones(documents):
+    words = [f"w{i}" for i in range(40)]
+    at = 12
+    changed = [*words[:at], "other", *words[at + 1 :]]
+    rows = seeds(documents([(1, " ".join(words)), (2, " ".join(changed)), (3, "w0 w1")]), "doc_id")
+    found = {i: [r.seed for r in rows.collect() if r.doc_id == i] for i in (1, 2, 3)}
+    per_mask = [40 - len(mask) + 1 for mask in MASKS]
+    assert len(set(found[1])) == len(found[1]) == sum(per_mask) and not found[3]
+    ones = sum(mask.count("1") for mask in MASKS)
+    assert len(set(found[1]) - set(found[2])) == ones
+
+
 def test_a_long_part_of_an_item_is_a_leak(spark, documents):
     item = [f"word{i}" for i in range(60)]
     rows = [(1, " ".join(item[20:40])), (2, " ".join(item[20:30])), (3, " ".join(item[:13]))]

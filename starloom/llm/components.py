@@ -16,10 +16,13 @@ def _state(edges: DataFrame) -> tuple:
 
 
 def connected_components(edges: DataFrame) -> DataFrame:
-    """(node, component) for each node of the edges (a, b); a component is named by its smallest
-    node. Large stars link each node's larger neighbours to its smallest one, small stars its
-    smaller ones, in turn, until nothing changes: a number of rounds logarithmic in the size of a component. Each
-    round is stored."""
+    """(node, component) for each node of the edges (a, b) but for those with no edge to another
+    node; a component is named by its smallest node.
+
+    Large stars link each node's larger neighbours to its smallest one, small stars its smaller
+    ones, in turn, until nothing changes: a number of rounds logarithmic in the size of a
+    component. Each round is stored.
+    """
     ordered = edges.where("a != b").select(
         F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")
     )
@@ -29,11 +32,16 @@ def connected_components(edges: DataFrame) -> DataFrame:
         both = current.unionByName(current.select(F.col("b").alias("a"), F.col("a").alias("b")))
         lowest = both.groupBy("a").agg(F.least(F.min("b"), F.col("a")).alias("low"))
         large = (
-            both.join(lowest, "a").where("b > a").select(F.col("b").alias("a"), F.col("low").alias("b"))
-        ).distinct()
-        small = large.join(
-            large.groupBy("a").agg(F.min("b").alias("low")), "a"
-        ).select(F.explode(F.array(F.struct("a", F.col("low").alias("b")), F.struct(F.col("b").alias("a"), F.col("low").alias("b")))).alias("edge")).select("edge.*")
+            both.join(lowest, "a")
+            .where("b > a")
+            .select(F.col("b").alias("a"), F.col("low").alias("b"))
+            .distinct()
+        )
+        lowest = large.groupBy("a").agg(F.min("b").alias("low"))
+        to_lowest = [F.struct(F.col(end).alias("a"), F.col("low").alias("b")) for end in "ab"]
+        small = (
+            large.join(lowest, "a").select(F.explode(F.array(*to_lowest)).alias("e")).select("e.*")
+        )
         current = stored(small.where("a != b").distinct(), "edges")
         after = _state(current)
         if after == state:

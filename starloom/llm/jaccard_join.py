@@ -282,8 +282,10 @@ def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
     def name(side: str) -> DataFrame:
         return components.select(F.col("node").alias(side), F.col("component").alias(f"of_{side}"))
 
-    edges = links.join(name("a"), "a").join(name("b"), "b").select(
-        F.col("of_a").alias("a"), F.col("of_b").alias("b")
+    edges = (
+        links.join(name("a"), "a")
+        .join(name("b"), "b")
+        .select(F.col("of_a").alias("a"), F.col("of_b").alias("b"))
     )
     moved = connected_components(edges).withColumnRenamed("component", "into")
     return stored(
@@ -298,11 +300,10 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, levels: np.ndarray, crowded:
     """(node, component) of the nodes that meet another one; ``nodes`` has node, n, bitmap and a
     doc_id of each."""
     prefixes = _prefixes(docs, levels, crowded)
-    repeated = prefixes.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").drop("rows")
-    members = stored(
-        prefixes.join(repeated, "token").groupBy("token", "node", "n", "rare").agg(F.lit(1).alias("x")).drop("x"),
-        "tiles",
+    repeated = (
+        prefixes.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").drop("rows")
     )
+    members = stored(prefixes.join(repeated, "token").distinct(), "tiles")
     mixed = stored(
         members.groupBy("token")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"))

@@ -6,9 +6,10 @@ whole, and any longer one has windows of its own inside. A window's shingles of
 dealt by one hash into ``BANDS`` bins, and the smallest hash of each bin is a band (one-permutation
 MinHash). A shingle of a template loses its bin to another of the at most WINDOW - 5 shingles
 beside it with a chance of at most (WINDOW - 5) / (2 * BANDS), 0.6 % with the settings here, and
-most shingles lie in two windows; the retrieval of a template with one shingle only thus fails for
-1 in 10,000 at most, and others practically never. Retrieved templates are verified by the exact share of their shingles
-that the text contains. All is done in the task that reads the text: nothing but matches is shuffled.
+most shingles lie in two windows; the retrieval of a template with one shingle only thus fails
+for 1 in 10,000 at most, and others practically never. Retrieved templates are verified by the
+exact share of their shingles that the text contains. All is done in the task that reads the text:
+nothing but matches is shuffled.
 
 Null and empty texts contain no license. Templates of less than five words are one shingle as
 a whole and would match nothing: they are refused. Rows that repeat a doc_id count as one
@@ -40,11 +41,13 @@ TEMPLATES = {
     "the terms of the GNU General Public License as published by the Free Software Foundation.",
     "LGPL-notice": "This library is free software; you can redistribute it and/or modify it under "
     "the terms of the GNU Lesser General Public License.",
-    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0.",
+    "MPL-2.0": "This Source Code Form is subject to the terms of the Mozilla Public License, "
+    "v. 2.0.",
     "BSD-notice": "Redistribution and use in source and binary forms, with or without "
     "modification, are permitted provided that the following conditions are met.",
     "CC-BY-NC-4.0": "Licensed under CC BY-NC 4.0.",
-    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International License.",
+    "CC-BY-4.0": "This work is licensed under a Creative Commons Attribution 4.0 International "
+    "License.",
 }
 
 
@@ -117,7 +120,7 @@ def license_matches(
         raise ValueError(f"templates of less than {SHINGLE} words: {short}")
 
     def longs(values) -> Column:
-        return F.expr(f"array({', '.join(f'{v}L' if v > -(2**63) else f'({v + 1}L - 1L)' for v in values)})")
+        return F.array(*(F.lit(value).cast("bigint") for value in values))
 
     every_band = sorted({band for row in known for band in row["template_bands"]})
     table_of = F.array(

@@ -32,8 +32,15 @@ _SCHEME = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456
 _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DIGITS = re.compile(r"[0-9]+")
 _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+")
-_HOST = re.compile(r"(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*|\[[0-9A-Fa-f:.]+\])(?::[0-9]{1,5})?[^\s\"'<>()\[\]{}|\\^`]*")
-_IDENTIFIER = re.compile(r"[ \t]{0,2}(?:number|no\.?|id)?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?([A-Za-z0-9_-]{6,64})(?![A-Za-z0-9_-])", re.I)
+_HOST = re.compile(
+    r"(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*|\[[0-9A-Fa-f:.]+\])"  # a name or a bracketed address
+    r"(?::[0-9]{1,5})?[^\s\"'<>()\[\]{}|\\^`]*"  # a port and the rest
+)
+_IDENTIFIER = re.compile(
+    r"[ \t]{0,2}(?:number|no\.?|id)?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?"  # what stands behind a cue
+    r"([A-Za-z0-9_-]{6,64})(?![A-Za-z0-9_-])",
+    re.I,
+)
 
 Span = tuple[int, int]
 
@@ -101,6 +108,11 @@ def luhn(digits: str) -> bool:
     return (sum(values[::2]) + sum(v * 2 - 9 * (v > 4) for v in values[1::2])) % 10 == 0
 
 
+def _at_most_255(digits: str) -> bool:
+    """Whatever zeros it begins with."""
+    return not digits[:-3].strip("0") and int(digits[-3:]) < 256
+
+
 def _by_digits(text: str) -> tuple[list[Span], list[Span]]:
     """Network addresses and card numbers, both chains of digit runs."""
     ips, cards = [], []
@@ -121,7 +133,7 @@ def _by_digits(text: str) -> tuple[list[Span], list[Span]]:
             dotted.clear()
         dotted.append(run)
         if len(dotted) == 4:
-            if all(e - b < 4 and int(text[b:e]) < 256 or not text[b : e - 3].strip("0") and int(text[e - 3 : e]) < 256 for b, e in dotted):
+            if all(_at_most_255(text[b:e]) for b, e in dotted):
                 ips.append((dotted[0][0], run[1]))
             dotted.clear()
         if carded and not (run[0] == carded[-1][1] + 1 and text[run[0] - 1] in " -"):

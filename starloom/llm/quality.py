@@ -127,7 +127,8 @@ def corpus_grams(rows: DataFrame) -> DataFrame:
 
 def _discounts(counts: DataFrame) -> list[float]:
     """The three discounts of modified Kneser-Ney from the numbers of counts 1 to 4."""
-    row = counts.agg(*(F.sum((F.col("count") == k).cast("long")).alias(f"n{k}") for k in (1, 2, 3, 4))).first()
+    numbers = [F.count_if(F.col("count") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
+    row = counts.agg(*numbers).first()
     n = [0, *(row[f"n{k}"] or 0 for k in (1, 2, 3, 4))]
     if not n[1]:
         return [0.5, 0.5, 0.5]
@@ -334,7 +335,8 @@ def quality(
     )
     corpus = stored(corpus_grams(full), "corpus-grams")
     if corpus.where("count > 0").isEmpty():
-        plain = full.select("doc_id", "lang", "text_hash", F.length("text").cast("bigint").alias("chars"))
+        size = F.length("text").cast("bigint").alias("chars")
+        plain = full.select("doc_id", "lang", "text_hash", size)
         plain = plain.distinct().withColumns(
             {
                 "perplexity": F.lit(None).cast("double"),
@@ -368,7 +370,8 @@ def quality(
     return (
         scored.join(
             own,
-            F.col("lang").eqNullSafe(F.col("lang_size_lang")) & (F.col("size") == F.col("lang_size_size")),
+            F.col("lang").eqNullSafe(F.col("lang_size_lang"))
+            & (F.col("size") == F.col("lang_size_size")),
             "left",
         )
         .join(common, F.col("size") == F.col("size_size"), "left")

@@ -33,7 +33,8 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from starloom.llm.common import by_batch, query, stored, table, texts
 
-# Letters of other scripts that look like Latin ones, and digits that stand for letters.
+# Letters of other scripts that look like Latin ones, and digits that stand for
+# letters.
 HOMOGLYPHS = dict(zip("авеёкмнорстухіјѕԁɡαβεικνορτυχ", "abeekmhopctyxijsdgabeikvoptux"))
 DIGITS = dict(zip("0134578", "oieastb"))
 _SIGNS = re.compile(r"[@$](?=[^\W\d_])")
@@ -195,7 +196,7 @@ def learn(
         docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id"),
         "labelled",
     )
-    sizes = {row["label"]: row["n"] for row in rows.groupBy("label").agg(F.count("*").alias("n")).collect()}
+    sizes = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
     clean, toxic = sizes.get(0, 0), sizes.get(1, 0)
     if not clean or not toxic:
         return Lexicon()

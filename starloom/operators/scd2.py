@@ -97,8 +97,8 @@ def scd2_apply(
         "new",
     )
     same = version({}, "old")
-    too_early = f"raise_error(concat('a version starts after the run: ', cast({quoted('old', key)} AS string)))"
-    ends = f"if(old.scd_start > {moment}, cast({too_early} AS timestamp), {moment})"
+    late = f"concat('a version starts after the run: ', cast({quoted('old', key)} AS string))"
+    ends = f"if(old.scd_start > {moment}, cast(raise_error({late}) AS timestamp), {moment})"
     closed = version({"scd_end": ends, "current": "false"}, "old")
     versions = (
         f"CASE WHEN old.__old IS NULL THEN array({opened})"

@@ -11,7 +11,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.names import literal
-from starloom.operators.merge import ACTION, DELETED, INSERTED, UPDATED, delete_where, merge, update_where
+from starloom.operators.merge import (
+    ACTION,
+    DELETED,
+    INSERTED,
+    UPDATED,
+    delete_where,
+    merge,
+    update_where,
+)
 
 
 def lifecycle(

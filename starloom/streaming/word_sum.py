@@ -84,8 +84,8 @@ def append_to_files(
 ) -> StreamingQuery:
     """Append finished rows to a folder of a format, or a table format whose jar the session has.
 
-    Windows stay in the state store until the watermark has passed them; for many keys the session should
-    set the RocksDB state store, which keeps them off the heap.
+    Windows stay in the state store until the watermark has passed them; for many keys the session
+    should set the RocksDB state store, which keeps them off the heap.
 
     With ``available_now`` the query takes what is there and ends, otherwise it runs until
     it is stopped.

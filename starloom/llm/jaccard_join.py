@@ -12,7 +12,7 @@ than t cannot be linked. Nobody writes out the pairs of a tile:
 2. Then only pairs of different components are left to compare; in a tile these are the nodes
    outside its largest component against the others. Tiles of one component need nothing.
 
-The bits of two hashed bitmaps that differ bound the intersection from above; pairs within the
+Sizes and the numbers of rare shingles rule pairs out first. The bits of two hashed bitmaps that differ bound the intersection from above; pairs within the
 bound are decided by the intersection of the sorted sets. So no link between different components
 is lost, and the components are exact, whatever the sketch says: it only orders the shingles.
 
@@ -39,7 +39,6 @@ from starloom.llm.components import connected_components
 PERCENT = 80
 SKETCH_BITS = 22
 SKETCH_PARTS = 64
-BITMAP_BITS = 2048
 STAR_ROUNDS = 3
 #: Rows up to which ids are broadcast; more are shuffled.
 BROADCAST_ROWS = 300_000
@@ -55,7 +54,13 @@ _PROFILES = pa.schema(
     }
 )
 _PREFIXES = pa.schema(
-    {"token": pa.int64(), "node": pa.int64(), "n": pa.int32(), "rare": pa.int32()}
+    {
+        "token": pa.int64(),
+        "crowded": pa.bool_(),
+        "node": pa.int64(),
+        "n": pa.int32(),
+        "rare": pa.int32(),
+    }
 )
 _SETS = pa.schema({"node": pa.int64(), "members": pa.list_(pa.int64())})
 
@@ -71,11 +76,19 @@ def _slot(members: np.ndarray) -> np.ndarray:
 
 
 def _bitmap(members: np.ndarray) -> bytes:
-    bits = np.zeros(BITMAP_BITS, bool)
-    bits[(members & np.uint64(BITMAP_BITS - 1)).astype(np.int64)] = True
+    """A bit for each member, in two to four times as many bits as there are members, 512 at least."""
+    size = max(512, 1 << (2 * len(members) - 1).bit_length())
+    bits = np.zeros(size, bool)
+    bits[(members & np.uint64(size - 1)).astype(np.int64)] = True
     return np.packbits(bits).tobytes()
 
 
+def _folded(bitmap: bytes, size: int) -> np.ndarray:
+    """A bitmap as it would be with ``size`` bytes: halves are laid on each other."""
+    words = np.frombuffer(bitmap, np.uint64)
+    return np.bitwise_or.reduce(words.reshape(-1, size // 8), axis=0)
+
+
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per text, and behind the last one the task's part of the sketch."""
     counts, pending, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
@@ -158,27 +171,31 @@ def _level(load: np.ndarray) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, levels: np.ndarray, crowded: int) -> DataFrame:
-    """token, node, n and rare (shingles that are not crowded) for the first shingles of each set."""
+    """token, whether it is crowded, node, n and rare (shingles that are not crowded) for the first
+    shingles of each set."""
     shared = docs.sparkSession.sparkContext.broadcast(levels)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         level_of = shared.value
         for batch in batches:
             for part in (batch.slice(i, 1000) for i in range(0, batch.num_rows, 1000)):
-                tokens, nodes, sizes, rares = [], [], [], []
+                tokens, flags, nodes, sizes, rares = [], [], [], [], []
                 for members in hashing.shingle_sets(part.column("text")):
                     n = len(members)
                     if not n:
                         continue
                     length = n - -(-PERCENT * n // 100) + 1
                     own = level_of[_slot(members)]
-                    tokens.append(members[np.argsort(own, kind="stable")[:length]])
+                    first = np.argsort(own, kind="stable")[:length]
+                    tokens.append(members[first])
+                    flags.append(own[first] > crowded)
                     nodes.append(_node(members))
                     sizes.append(n)
                     rares.append(np.count_nonzero(own <= crowded))
                 lengths = [len(t) for t in tokens]
                 flat = np.concatenate(tokens) if tokens else np.zeros(0, np.uint64)
-                columns = [flat.view(np.int64)]
+                flat_flags = np.concatenate(flags) if flags else np.zeros(0, bool)
+                columns = [flat.view(np.int64), flat_flags]
                 columns += [
                     np.repeat(np.array(values, kind), lengths)
                     for values, kind in ((nodes, np.int64), (sizes, np.int32), (rares, np.int32))
@@ -220,24 +237,21 @@ def _within_bound(pairs: DataFrame) -> DataFrame:
             if not batch.num_rows:
                 continue
             na, nb = batch.column("na").to_numpy(), batch.column("nb").to_numpy()
-            width = BITMAP_BITS // 64
-            one, two = (
-                np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(-1, width)
-                for c in ("bits_a", "bits_b")
-            )
-            most = np.minimum(
-                na - np.bitwise_count(one & ~two).sum(axis=1, dtype=np.int64),
-                nb - np.bitwise_count(two & ~one).sum(axis=1, dtype=np.int64),
-            )
+            lacking = np.zeros((2, len(na)), np.int64)
+            both = zip(batch.column("bits_a").to_pylist(), batch.column("bits_b").to_pylist())
+            for at, (one, two) in enumerate(both):
+                size = min(len(one), len(two))
+                one, two = _folded(one, size), _folded(two, size)
+                lacking[:, at] = np.bitwise_count(one & ~two).sum(), np.bitwise_count(two & ~one).sum()
+            most = np.minimum(na - lacking[0], nb - lacking[1])
             keep = 100 * most >= PERCENT * (na + nb - most)
-            yield batch.filter(pa.array(keep)).select(["a", "b", "rank", "na", "nb"])
+            yield batch.filter(pa.array(keep)).select(["a", "b", "na", "nb"])
 
-    return pairs.mapInArrow(run, "a bigint, b bigint, rank bigint, na bigint, nb bigint")
+    return pairs.mapInArrow(run, "a bigint, b bigint, na bigint, nb bigint")
 
 
-def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, one_each: bool) -> DataFrame:
-    """The pairs (a, b) that are similar enough, stored. With ``one_each`` only the pair of each a
-    with the smallest ``rank`` is looked at, of those that the bitmaps allow."""
+def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame) -> DataFrame:
+    """The pairs (a, b) that are similar enough, stored."""
 
     def side(name: str) -> DataFrame:
         return nodes.select(
@@ -246,12 +260,9 @@ def _links(docs: DataFrame, pairs: DataFrame, nodes: DataFrame, one_each: bool)
             F.col("bitmap").alias(f"bits_{name}"),
         )
 
-    bounded = _within_bound(pairs.join(side("a"), "a").join(side("b"), "b"))
-    if one_each:
-        bounded = bounded.groupBy("a").agg(
-            F.min(F.struct("rank", "b", "na", "nb")).alias("best")
-        ).select("a", "best.*")
-    bounded = stored(bounded, "bounded-pairs")
+    bounded = stored(
+        _within_bound(pairs.join(side("a"), "a").join(side("b"), "b")), "bounded-pairs"
+    )
     seen = bounded.select(F.explode(F.array("a", "b")).alias("node")).distinct()
     sets = stored(
         _sets(docs, stored(nodes.join(seen, "node", "left_semi").select("doc_id"), "wanted")), "sets"
@@ -271,6 +282,20 @@ def _similar_sizes(one: str, two: str) -> str:
     return f"100 * least({one}, {two}) >= {PERCENT} * greatest({one}, {two})"
 
 
+def _possible(one: str, two: str) -> str:
+    """Whether two nodes that meet in a tile can be linked, as far as sizes tell.
+
+    Crowded shingles come last in the order, so a node that has one of them among its first
+    shingles has all its rare ones there too: two nodes that meet by a crowded shingle either meet
+    by a rare one as well, or share none but crowded ones.
+    """
+    shared = f"least({one}n - {one}rare, {two}n - {two}rare)"
+    return (
+        f"{_similar_sizes(f'{one}n', f'{two}n')} AND (NOT crowded OR "
+        f"100 * {shared} >= {PERCENT} * ({one}n + {two}n - {shared}))"
+    )
+
+
 def _band(n: str = "n") -> str:
     """Sizes that may be linked differ by a factor of 1.25 at most, so their bands by 1 at most."""
     return f"cast(floor(ln({n}) / ln(1.26)) as int)"
@@ -316,34 +341,47 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, levels: np.ndarray, crowded:
     nodes = stored(nodes.join(met, "node", "left_semi"), "met-nodes")
     components = met.withColumn("component", F.col("node"))
 
-    # A node belongs to the tile of its band and, as the smaller partner, to the next one.
-    tiles = members.withColumn("tile", F.explode(F.expr(f"array({_band()}, {_band()} + 1)")))
+    members = members.withColumn("tile", F.expr(_band()))
     for turn in range(STAR_ROUNDS):
-        own = tiles.join(components, "node")
+        own = members.join(components, "node")
         # The first leaders are those with the fewest shingles of their own.
         rank = F.col("rare").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
         leaders = (
             own.groupBy("token", "tile")
             .agg(
-                F.min(F.struct(rank.alias("rank"), "node", "n", "component")).alias("leader"),
+                F.min(F.struct(rank.alias("rank"), "node", "n", "rare", "component")).alias("leader"),
                 F.min("component").alias("low"),
                 F.max("component").alias("high"),
             )
             .where("low < high")
             .select("token", "tile", "leader")
         )
+        # Of the leaders of its tiles a node takes the one with whom it shares most shingles.
         pairs = (
             own.join(leaders, ["token", "tile"])
-            .where(f"component != leader.component and {_similar_sizes('n', 'leader.n')}")
-            .select(F.col("node").alias("a"), F.col("leader.node").alias("b"), "leader.rank")
-            .distinct()
+            .where(f"component != leader.component AND {_possible('', 'leader.')}")
+            .groupBy(F.col("node").alias("a"), F.col("leader.node").alias("b"))
+            .agg(F.count("*").alias("shared"))
+            .groupBy("a")
+            .agg(F.max(F.struct("shared", "b")).alias("best"))
+            .select("a", "best.b")
         )
-        links = _links(docs, pairs, nodes, True)
+        links = _links(docs, pairs, nodes)
         if links.isEmpty():
             break
         components = _merged(components, links)
+        # Shingles whose nodes are of one component by now need no further look.
+        own = members.join(components, "node")
+        still_mixed = (
+            own.groupBy("token")
+            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
+            .where("low < high")
+            .select("token")
+        )
+        members = stored(members.join(still_mixed, "token"), "tiles")
 
-    # All that is left: pairs of different components, with one of them outside the tile's largest.
+    # All that is left: pairs of different components, with one of them outside the largest of their
+    # shingle.
     own = members.join(components, "node")
     largest = (
         own.groupBy("token", "component")
@@ -357,26 +395,22 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, levels: np.ndarray, crowded:
         .where("low < high")
         .select("token", F.col("most.component").alias("main"))
     )
-    open_rows = stored(own.join(largest, "token").withColumn("band", F.expr(_band())), "open-rows")
+    open_rows = stored(own.join(largest, "token"), "open-rows")
     outside = open_rows.where("component != main").select(
         "token",
-        F.explode(F.expr("array(band - 1, band, band + 1)")).alias("band"),
+        F.explode(F.expr("array(tile - 1, tile, tile + 1)")).alias("tile"),
         F.col("node").alias("a"),
-        F.col("n").alias("na"),
+        F.struct("n", "rare").alias("other"),
         F.col("component").alias("ca"),
     )
     pairs = (
-        outside.join(open_rows, ["token", "band"])
-        .where(f"ca != component and {_similar_sizes('na', 'n')}")
+        outside.join(open_rows, ["token", "tile"])
+        .where(f"ca != component AND {_possible('', 'other.')}")
         .where("component = main or a < node")
-        .select(
-            F.least("a", "node").alias("a"),
-            F.greatest("a", "node").alias("b"),
-            F.lit(0).cast("bigint").alias("rank"),
-        )
+        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
-    links = _links(docs, pairs, nodes, False)
+    links = _links(docs, pairs, nodes)
     return components if links.isEmpty() else _merged(components, links)
 
 

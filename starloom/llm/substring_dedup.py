@@ -2,8 +2,10 @@
 
 Texts are cut where a rolling gear hash says so, so an insertion moves only the borders beside it
 and equal passages are cut alike wherever they stand. Chunks with a digest that occurs in several
-documents are repeated; consecutive ones form a span, and spans of at least ``min_bytes`` are
-reported. The chunks of a passage leave out what lies before its first and after its last border,
+documents are repeated; consecutive ones form a run, and runs of at least ``min_bytes`` are
+reported, cut into spans where chunks to drop meet chunks to keep. A chunk is dropped where an
+earlier place has it, whatever stands beside it, so each chunk stays at its first place. The chunks
+of a passage leave out what lies before its first and after its last border,
 about 40 bytes together: 150 bytes find a passage of 50 words practically always, and single lines
 of a dozen words never.
 
@@ -54,8 +56,11 @@ def document_chunks(docs: DataFrame) -> DataFrame:
 
 def repeated_spans(docs: DataFrame, min_bytes: int = 150) -> DataFrame:
     """doc_id, start, end (bytes), chunks and first_doc_id of each span of chunks that occur in
-    several documents. ``first_doc_id`` is the smallest doc_id with any of the chunks; the span is
-    the one to keep where it is the document's own."""
+    several documents. Runs of such chunks have ``min_bytes`` at least; a run is cut into spans
+    where chunks that the document is the first to hold meet others. ``first_doc_id`` is the smallest
+    doc_id with any of the chunks; the span is one to keep where it is the document's own. Spans to
+    drop can be short beside others; those to keep are reported if the run has ``min_bytes`` of them,
+    so a letter that two copies happen to share after a passage is no passage by itself."""
     found = document_chunks(docs)
     shared = (
         found.groupBy("digest")
@@ -65,28 +70,33 @@ def repeated_spans(docs: DataFrame, min_bytes: int = 150) -> DataFrame:
     )
     order = Window.partitionBy("doc_id").orderBy("start", "end")
     before = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    up_to_here = order.rowsBetween(Window.unboundedPreceding, 0)
     marked = (
         found.join(shared, "digest")
         .withColumn("opens", F.coalesce(F.col("start") > before, F.lit(True)).cast("int"))
-        .withColumn(
-            "span", F.sum("opens").over(order.rowsBetween(Window.unboundedPreceding, 0))
-        )
+        .withColumn("drop", F.col("first_doc_id") < F.col("doc_id"))
+        .withColumn("turns", (F.col("drop") != F.lag("drop", 1, False).over(order)).cast("int"))
+        .withColumn("run", F.sum("opens").over(up_to_here))
+        .withColumn("turn", F.sum("turns").over(up_to_here))
     )
+    run = Window.partitionBy("doc_id", "run")
     return (
-        marked.groupBy("doc_id", "span")
+        marked.groupBy("doc_id", "run", "turn", "drop")
         .agg(
             F.min("start").alias("start"),
             F.max("end").alias("end"),
             F.count_distinct("start").alias("chunks"),
             F.min("first_doc_id").alias("first_doc_id"),
         )
-        .where(F.col("end") - F.col("start") >= min_bytes)
-        .drop("span")
+        .withColumn("all_bytes", F.max("end").over(run) - F.min("start").over(run))
+        .withColumn("kept_bytes", F.sum(F.when(~F.col("drop"), F.col("end") - F.col("start"))).over(run))
+        .where(F.when(F.col("drop"), F.col("all_bytes")).otherwise(F.col("kept_bytes")) >= min_bytes)
+        .drop("run", "turn", "drop", "all_bytes", "kept_bytes")
     )
 
 
 def without_repeats(docs: DataFrame, min_bytes: int = 150) -> DataFrame:
-    """doc_id and text without the spans of which an earlier document keeps a copy."""
+    """doc_id and text without the spans of whose chunks earlier documents keep copies."""
     spans = (
         repeated_spans(docs, min_bytes)
         .where("first_doc_id < doc_id")

@@ -62,3 +62,23 @@ def test_odd_documents(odd, documents):
     same = "one passage of some length that stands in one document only " * 5
     assert repeated_spans(documents([(1, same), (1, same), (None, same)])).collect() == []
     assert without_repeats(odd).count() == odd.count()
+
+
+def test_each_of_two_adjoining_passages_survives(documents):
+    rng = random.Random(7)
+    first, second = prose(rng, 60), prose(rng, 60)
+    rows = [
+        (5, f"{prose(rng, 40)} {first} {prose(rng, 40)}"),
+        (10, f"{prose(rng, 30)} {first} {second} {prose(rng, 30)}"),
+        (20, f"{prose(rng, 20)} {second} {prose(rng, 20)}"),
+    ]
+    docs = documents(rows)
+    spans = {(r.doc_id, r.first_doc_id) for r in repeated_spans(docs).collect()}
+    assert spans == {(5, 5), (10, 5), (10, 10), (20, 10)}
+    left = {r.doc_id: r.text for r in without_repeats(docs).collect()}
+    assert first in left[5] and first not in left[10]
+    assert second[60:] in left[10] and second not in left[20]
+    # Every chunk of the texts is still somewhere.
+    kept = "\n".join(left.values()).encode()
+    for text, (starts, ends, _) in zip([t for _, t in rows], hashing.chunks(pa.array([t for _, t in rows]))):
+        assert all(text.encode()[a:b] in kept for a, b in zip(starts, ends))

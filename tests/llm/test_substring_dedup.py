@@ -5,6 +5,7 @@ import random
 import pyarrow as pa
 
 from starloom.llm import hashing
+from starloom.llm.common import QUERIES
 from starloom.llm.substring_dedup import repeated_spans, without_repeats
 
 
@@ -82,3 +83,30 @@ def test_each_of_two_adjoining_passages_survives(documents):
     kept = "\n".join(left.values()).encode()
     for text, (starts, ends, _) in zip([t for _, t in rows], hashing.chunks(pa.array([t for _, t in rows]))):
         assert all(text.encode()[a:b] in kept for a, b in zip(starts, ends))
+
+
+def test_passages_repeated_within_one_document(documents):
+    rng = random.Random(8)
+    passage = prose(rng, 60)
+    parts = [prose(rng, 40), passage, prose(rng, 30), passage, prose(rng, 20)]
+    rows = [(1, " ".join(parts)), (1, " ".join(parts)), (2, prose(rng, 200))]
+    docs = documents(rows)
+    first, second = sorted(repeated_spans(docs, within=True).collect(), key=lambda r: r.start)
+    assert (first.doc_id, first.first_doc_id, first.keep) == (1, 1, True)
+    assert (second.doc_id, second.first_doc_id, second.keep) == (1, 1, False)
+    left = without_repeats(docs, within=True).collect()
+    assert len(left) == 3
+    for r in left:
+        text = rows[r.doc_id][1]
+        if r.doc_id == 1:
+            assert r.text.count(passage) == 1 and len(r.text) < len(text) - 100
+        else:
+            assert r.text == text
+
+
+def test_query_counts_places(spark, documents, tmp_path):
+    rng = random.Random(9)
+    passage = prose(rng, 60)
+    documents([(1, f"{passage} {prose(rng, 30)} {passage}")]).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op6_substring_dedup"](spark, str(tmp_path)).collect()
+    assert sorted((r.doc_id, r.keep) for r in got) == [(1, False), (1, True)]

@@ -9,11 +9,14 @@ which grows with the corpus, is cut into shards of at most ``shard_entries`` gra
 broadcast, which its size bounds, and looked up by all texts; the sums over the shards give each
 document's perplexity. No text is shuffled.
 
-Trusted texts are those labelled good. A fifth of them, by the CRC of the id, is not counted: the
-quantile of its perplexities, by language and length, is the threshold above which a document is
-rejected, after half its distance from the median (of logarithms) is added as a margin. A language
-and length with less than ``least`` such texts takes the threshold of its length in all languages,
-and if that has too few as well, twice the largest threshold of all lengths, as short texts vary more.
+Trusted texts are those labelled good. By the CRC of the id they are in five folds; a model counts
+all folds but one, and each trusted text is scored by the model that leaves out its own, so all of them
+are judges. Other texts are scored by the model without the first fold. Short texts vary more: the
+spread of the logarithm around the median of its language is the root of a + b / characters, fitted
+on all judges, and a score is the distance from the median in such spreads. The quantile of a language's
+scores, and that of a normal distribution at least, plus half of it as a margin, is the language's
+limit. The rule is the same for many judges and few. A language without trusted texts has no
+threshold: nothing can be told of it, and its texts are kept.
 
 Null and empty texts have no perplexity and are rejected, for they hold nothing. A null language
 is a language. Without trusted texts nothing can be told and everything else is kept. Rows that
@@ -23,8 +26,8 @@ gives no rows.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Iterator
+from statistics import NormalDist
 
 import numpy as np
 import pyarrow as pa
@@ -34,6 +37,9 @@ from pyspark.sql import functions as F
 from starloom.llm.common import query, stored, table, texts
 
 ORDER, SYMBOL_BITS = 5, 12
+FOLDS = 5
+#: Above the bits of a gram: its fold, FOLDS for texts that are not trusted.
+FOLD_BITS = ORDER * SYMBOL_BITS
 _LOW = 1 << (SYMBOL_BITS - 1)
 SLICE = 1 << 20
 #: Rows up to which labels are broadcast; more are shuffled.
@@ -75,7 +81,9 @@ def _slices(bodies: list[str]) -> Iterator[tuple[int, int]]:
 
 
 def corpus_grams(rows: DataFrame) -> DataFrame:
-    """gram and count: all grams of ``rows`` (text, trusted), counted where trusted."""
+    """gram and count: all grams of ``rows`` (text, trusted), counted where trusted. If there is a
+    column fold as well, it is the bits above the gram."""
+    folded = "fold" in rows.columns
 
     def made(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
         keys, counts = (np.concatenate(column) for column in zip(*parts))
@@ -97,8 +105,12 @@ def corpus_grams(rows: DataFrame) -> DataFrame:
         for batch in batches:
             bodies = batch.column("text").to_pylist()
             marks = np.array(batch.column("trusted").to_pylist(), bool)
+            folds = np.zeros(len(bodies), np.int64)
+            if folded:
+                folds = np.array(batch.column("fold").to_pylist(), np.int64) << FOLD_BITS
             for first, end in _slices(bodies):
                 found, begins = grams(bodies[first:end])
+                found |= np.repeat(folds[first:end], np.diff(begins))
                 good = np.repeat(marks[first:end], np.diff(begins))
                 if good.any():
                     keys, counts = np.unique(found[good], return_counts=True)
@@ -118,63 +130,74 @@ def corpus_grams(rows: DataFrame) -> DataFrame:
         yield from emitted()
 
     return (
-        rows.select("text", "trusted")
+        rows.select("text", "trusted", *["fold"] * folded)
         .mapInArrow(run, "gram bigint, count bigint")
         .groupBy("gram")
         .agg(F.sum("count").alias("count"))
     )
 
 
-def _discounts(counts: DataFrame) -> list[float]:
-    """The three discounts of modified Kneser-Ney from the numbers of counts 1 to 4."""
+def _model() -> Column:
+    return F.shiftright("gram", FOLD_BITS)
+
+
+def _last(order: int) -> Column:
+    """The last symbols of a gram, and the model."""
+    return F.col("gram").bitwiseAND(F.lit(_mask(order) | 7 << FOLD_BITS)).alias("gram")
+
+
+def _by_model(values: dict[int, float]) -> Column:
+    """The value of the row's model; no more values than there are folds."""
+    pairs = [F.lit(x) for model, value in values.items() for x in (model, float(value))]
+    return F.element_at(F.create_map(*pairs), _model().cast("int")) if pairs else F.lit(None)
+
+
+def _discounts(counts: DataFrame) -> list[Column]:
+    """The three discounts of modified Kneser-Ney from the numbers of counts 1 to 4, by model."""
     numbers = [F.count_if(F.col("count") == k).alias(f"n{k}") for k in (1, 2, 3, 4)]
-    row = counts.agg(*numbers).first()
-    n = [0, *(row[f"n{k}"] or 0 for k in (1, 2, 3, 4))]
-    if not n[1]:
-        return [0.5, 0.5, 0.5]
-    y = n[1] / (n[1] + 2 * n[2])
-    made = [k - (k + 1) * y * n[k + 1] / n[k] if n[k] else k * 0.5 for k in (1, 2, 3)]
-    return [min(max(d, 0.05 * k), 0.95 * k) for k, d in zip((1, 2, 3), made)]
+    found = {}
+    for row in counts.groupBy(_model().cast("int").alias("model")).agg(*numbers).collect():
+        n = [0, *(row[f"n{k}"] or 0 for k in (1, 2, 3, 4))]
+        if not n[1]:
+            found[row.model] = [0.5, 0.5, 0.5]
+            continue
+        y = n[1] / (n[1] + 2 * n[2])
+        made = [k - (k + 1) * y * n[k + 1] / n[k] if n[k] else k * 0.5 for k in (1, 2, 3)]
+        found[row.model] = [min(max(d, 0.05 * k), 0.95 * k) for k, d in zip((1, 2, 3), made)]
+    return [_by_model({model: d[k] for model, d in found.items()}) for k in range(3)]
 
 
 def probabilities(corpus: DataFrame) -> DataFrame:
-    """gram and log_p (natural) of all grams of ``corpus`` (gram, count; stored)."""
+    """gram and log_p (natural) of all grams of ``corpus`` (gram, count; stored). Each number in the
+    bits above the gram is a model by itself."""
     seen = corpus.where("count > 0")
     levels = {ORDER: seen}
     for order in range(ORDER - 1, 0, -1):
         # Continuation counts: with how many different symbols before it a gram was seen.
         levels[order] = stored(
-            levels[order + 1]
-            .groupBy(F.col("gram").bitwiseAND(F.lit(_mask(order))).alias("gram"))
-            .agg(F.count("*").alias("count")),
+            levels[order + 1].groupBy(_last(order)).agg(F.count("*").alias("count")),
             "continuations",
         )
     asked = {ORDER: corpus.select("gram")}
     for order in range(ORDER - 1, 0, -1):
-        asked[order] = stored(
-            asked[order + 1]
-            .select(F.col("gram").bitwiseAND(F.lit(_mask(order))).alias("gram"))
-            .distinct(),
-            "asked-grams",
-        )
+        asked[order] = stored(asked[order + 1].select(_last(order)).distinct(), "asked-grams")
 
-    def discounted(count: str, d: list[float]) -> Column:
-        c = F.col(count)
-        return c - F.when(c == 1, d[0]).when(c == 2, d[1]).when(c > 2, d[2]).otherwise(0.0)
+    def discount(d: list[Column]) -> Column:
+        c = F.col("count")
+        return F.when(c == 1, d[0]).when(c == 2, d[1]).when(c > 2, d[2]).otherwise(0.0)
 
-    def totals(counts: DataFrame, d: list[float]) -> tuple[Column, Column]:
-        left = sum(
-            d[k] * F.sum(F.when(test, 1).otherwise(0))
-            for k, test in enumerate((F.col("count") == 1, F.col("count") == 2, F.col("count") > 2))
-        )
-        return F.sum("count").alias("total"), left.alias("left_over")
+    def totals(d: list[Column]) -> tuple[Column, Column]:
+        return F.sum("count").alias("total"), F.sum(discount(d)).alias("left_over")
 
     d = _discounts(levels[1])
-    total, left_over = levels[1].agg(*totals(levels[1], d)).first()
+    sums = levels[1].groupBy(_model().cast("int").alias("model")).agg(*totals(d)).collect()
+    total, left_over = (_by_model({r.model: r[name] for r in sums}) for name in ("total", "left_over"))
     uniform = 1 / (1 << SYMBOL_BITS)
     known = asked[1].join(levels[1], "gram", "left").select(
         "gram",
-        ((F.coalesce(discounted("count", d), F.lit(0.0)) + left_over * uniform) / total).alias("p"),
+        (
+            (F.coalesce(F.col("count") - discount(d), F.lit(0.0)) + left_over * uniform) / total
+        ).alias("p"),
     )
     for order in range(2, ORDER + 1):
         known = stored(known, "probabilities")
@@ -182,13 +205,13 @@ def probabilities(corpus: DataFrame) -> DataFrame:
         contexts = (
             levels[order]
             .groupBy(F.shiftright("gram", SYMBOL_BITS).alias("context"))
-            .agg(*totals(levels[order], d))
+            .agg(*totals(d))
         )
         rows = corpus if order == ORDER else asked[order].join(levels[order], "gram", "left")
         lower = known.select(F.col("gram").alias("shorter"), F.col("p").alias("lower_p"))
         known = (
             rows.withColumn("context", F.shiftright("gram", SYMBOL_BITS))
-            .withColumn("shorter", F.col("gram").bitwiseAND(F.lit(_mask(order - 1))))
+            .withColumn("shorter", _last(order - 1))
             .join(contexts, "context", "left")
             .join(lower, "shorter")
             .select(
@@ -196,7 +219,7 @@ def probabilities(corpus: DataFrame) -> DataFrame:
                 F.when(F.col("total").isNull(), F.col("lower_p"))
                 .otherwise(
                     (
-                        F.coalesce(discounted("count", d), F.lit(0.0))
+                        F.coalesce(F.col("count") - discount(d), F.lit(0.0))
                         + F.col("left_over") * F.col("lower_p")
                     )
                     / F.col("total")
@@ -245,7 +268,8 @@ class Lookup:
 
 
 def log_likelihoods(rows: DataFrame, table_of_p: DataFrame, shard_entries: int) -> DataFrame:
-    """doc_id, lang, text_hash, chars and log_p, the sum over all characters, of each text."""
+    """doc_id, lang, text_hash, chars and log_p, the sum over all characters by the model of the
+    row, of each text."""
     spark = rows.sparkSession
     size = table_of_p.count()
     shards = max(1, -(-size // shard_entries))
@@ -256,9 +280,11 @@ def log_likelihoods(rows: DataFrame, table_of_p: DataFrame, shard_entries: int)
             lookup = Lookup(*shard.value)
             for batch in batches:
                 bodies = batch.column("text").to_pylist()
+                models = np.array(batch.column("model").to_pylist(), np.int64) << FOLD_BITS
                 sums = np.zeros(len(bodies))
                 for first, end in _slices(bodies):
                     found, begins = grams(bodies[first:end])
+                    found |= np.repeat(models[first:end], np.diff(begins))
                     running = np.concatenate([[0.0], np.cumsum(lookup.of(found))])
                     sums[first:end] = running[begins[1:]] - running[begins[:-1]]
                 yield pa.RecordBatch.from_pydict(
@@ -269,7 +295,7 @@ def log_likelihoods(rows: DataFrame, table_of_p: DataFrame, shard_entries: int)
                     }
                 )
 
-        return rows.select(*names, "text").mapInArrow(
+        return rows.select(*names, "text", "model").mapInArrow(
             run, "doc_id bigint, lang string, text_hash bigint, chars bigint, log_p double"
         )
 
@@ -297,15 +323,71 @@ def log_likelihoods(rows: DataFrame, table_of_p: DataFrame, shard_entries: int)
     )
 
 
-def held_out() -> Column:
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+def fold_of() -> Column:
+    return (F.crc32(F.col("doc_id").cast("string").cast("binary")) % FOLDS).cast("int")
+
+
+def grams_of_models(grams_of_folds: DataFrame, models: list[int]) -> DataFrame:
+    """gram, with its model in the bits above, and count in the trusted texts that the model counts:
+    those of the other folds. The first model has all grams, the others those of trusted texts."""
+    fold = F.shiftright("gram", FOLD_BITS)
+    scoring = F.when(fold < FOLDS, F.array(*map(F.lit, models))).otherwise(F.array(F.lit(0)))
+    return (
+        grams_of_folds.select("gram", "count", fold.alias("fold"), F.explode(scoring).alias("model"))
+        .select(
+            F.col("gram")
+            .bitwiseAND(F.lit(_mask(ORDER)))
+            .bitwiseOR(F.shiftleft(F.col("model").cast("bigint"), FOLD_BITS))
+            .alias("gram"),
+            F.when(F.col("fold") != F.col("model"), F.col("count")).otherwise(0).alias("count"),
+        )
+        .groupBy("gram")
+        .agg(F.sum("count").alias("count"))
+    )
+
+
+def thresholds(scored: DataFrame, judges: DataFrame, quantile: float) -> DataFrame:
+    """``scored`` (lang, chars, perplexity and more) with the threshold by language and length."""
+    least = NormalDist().inv_cdf(quantile)
+    judges = judges.select("lang", "chars", F.log("perplexity").alias("level"))
+    # One row per language.
+    middle = judges.groupBy(F.col("lang").alias("judged")).agg(
+        F.percentile_approx("level", 0.5, 100_000).alias("middle")
+    )
+    placed = judges.join(F.broadcast(middle), F.col("lang").eqNullSafe(F.col("judged")))
+    placed = placed.withColumn("distance", F.col("level") - F.col("middle"))
+    square, part = F.col("distance") * F.col("distance"), 1 / F.col("chars")
+    fit = placed.agg(
+        F.regr_slope(square, part).alias("b"),
+        F.regr_intercept(square, part).alias("a"),
+        F.avg(square).alias("all"),
+        F.avg(square * F.col("chars")).alias("each"),
+    ).first()
+    a, b = fit["a"], fit["b"]
+    if a is None or b is None or b < 0:
+        a, b = fit["all"] or 0.0, 0.0
+    elif a < 0:
+        a, b = 0.0, fit["each"]
+    spread = F.sqrt(F.lit(a) + F.lit(b) / F.col("chars")) + 1e-9
+    limits = (
+        placed.groupBy(F.col("lang").alias("judged"))
+        .agg(
+            F.greatest(
+                F.percentile_approx(F.col("distance") / spread, quantile, 100_000), F.lit(least)
+            ).alias("limit")
+        )
+        .join(middle.withColumnRenamed("judged", "same"), F.col("judged").eqNullSafe(F.col("same")))
+        .drop("same")
+    )
+    return scored.join(
+        F.broadcast(limits), F.col("lang").eqNullSafe(F.col("judged")), "left"
+    ).withColumn("threshold", F.exp(F.col("middle") + 1.5 * F.col("limit") * spread))
 
 
 def quality(
     docs: DataFrame,
     labels: DataFrame,
     quantile: float = 0.999,
-    least: int = 30,
     shard_entries: int = 2_000_000,
 ) -> DataFrame:
     """doc_id, lang, text_hash (xxhash64 of the text), chars, perplexity (per character),
@@ -318,7 +400,8 @@ def quality(
         F.broadcast(good) if n_good <= BROADCAST_ROWS else good, "doc_id", "left"
     )
     full = full.withColumn("labelled", F.col("labelled").isNotNull())
-    full = full.withColumn("trusted", F.col("labelled") & ~held_out())
+    full = full.withColumn("trusted", F.col("labelled"))
+    full = full.withColumn("fold", F.when(F.col("labelled"), fold_of()).otherwise(FOLDS))
     result = ["doc_id", "lang", "text_hash", "chars", "perplexity", "threshold", "kept"]
     empty = (
         rows.where("text = ''")
@@ -334,7 +417,10 @@ def quality(
         .distinct()
     )
     corpus = stored(corpus_grams(full), "corpus-grams")
-    if corpus.where("count > 0").isEmpty():
+    # A model needs trusted texts in another fold than the one that it leaves out.
+    folds = corpus.where("count > 0").select(F.shiftright("gram", FOLD_BITS)).distinct()
+    folds = {fold for fold, in folds.collect()}
+    if len(folds) < 2:
         size = F.length("text").cast("bigint").alias("chars")
         plain = full.select("doc_id", "lang", "text_hash", size)
         plain = plain.distinct().withColumns(
@@ -345,38 +431,15 @@ def quality(
             }
         )
         return plain.select(result).unionByName(empty)
-    sums = log_likelihoods(full, probabilities(corpus), shard_entries)
+    table_of_p = probabilities(stored(grams_of_models(corpus, sorted(folds | {0})), "model-grams"))
+    asking = full.withColumn("model", F.when(F.col("fold") < FOLDS, F.col("fold")).otherwise(0))
+    sums = log_likelihoods(asking, table_of_p, shard_entries)
     scored = stored(
-        sums.withColumn("perplexity", F.exp(-F.col("log_p") / F.col("chars"))).withColumn(
-            "size", F.least(F.lit(5), F.floor(F.log("chars") / math.log(4))).cast("int")
-        ),
-        "perplexities",
-    )
-    judges = scored.where(held_out()).join(
-        F.broadcast(good) if n_good <= BROADCAST_ROWS else good, "doc_id"
+        sums.withColumn("perplexity", F.exp(-F.col("log_p") / F.col("chars"))), "perplexities"
     )
-
-    def limits(*by: str) -> DataFrame:
-        name = "_".join(by)
-        high = F.percentile_approx("perplexity", quantile, 100_000)
-        middle = F.percentile_approx("perplexity", 0.5, 100_000)
-        return judges.groupBy(*(F.col(c).alias(f"{name}_{c}") for c in by)).agg(
-            F.when(F.count("*") >= least, high * F.sqrt(high / middle)).alias(f"by_{name}")
-        )
-
-    # One row per language and length.
-    own, common = limits("lang", "size"), limits("size")
-    widest = common.agg(F.max("by_size")).first()[0]
+    judges = scored.join(F.broadcast(good) if n_good <= BROADCAST_ROWS else good, "doc_id")
     return (
-        scored.join(
-            own,
-            F.col("lang").eqNullSafe(F.col("lang_size_lang"))
-            & (F.col("size") == F.col("lang_size_size")),
-            "left",
-        )
-        .join(common, F.col("size") == F.col("size_size"), "left")
-        .withColumn("otherwise", F.lit(None if widest is None else 2 * widest).cast("double"))
-        .withColumn("threshold", F.coalesce("by_lang_size", "by_size", "otherwise"))
+        thresholds(scored, judges, quantile)
         .withColumn("kept", F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True)))
         .select(result)
         .unionByName(empty)

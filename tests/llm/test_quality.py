@@ -150,3 +150,19 @@ def test_without_labels_or_rows(spark, odd, documents):
     assert all(r.kept == bool(r.chars) and r.perplexity is None for r in got)
     some = spark.createDataFrame([(1, 1)], "doc_id bigint, quality int")
     assert quality(documents([]), some).collect() == []
+
+
+def test_few_judges_and_several_languages(spark, documents):
+    rng = random.Random(5)
+    other = "maison rue jardin matin lumière fenêtre souvent pendant quelques arbres".split()
+    rows = [(i, sentence(rng), "en") for i in range(60)]
+    rows += [(100 + i, " ".join(rng.choices(other, k=rng.randint(3, 30))), "fr") for i in range(15)]
+    rows += [(200 + i, noise(rng), ("en", "fr", "xx")[i % 3]) for i in range(12)]
+    marks = spark.createDataFrame(
+        [(i, 1) for i, _, _ in rows if i < 50 or 100 <= i < 112], "doc_id bigint, quality int"
+    )
+    got = {r.doc_id: r for r in quality(documents(rows), marks).collect()}
+    assert all(got[i].kept for i, _, _ in rows if i < 50 or 100 <= i < 112)
+    assert not any(got[200 + i].kept for i in range(12) if i % 3 < 2)
+    # Nothing can be told of a language without trusted texts.
+    assert all(got[200 + i].kept and got[200 + i].threshold is None for i in range(2, 12, 3))

@@ -71,7 +71,8 @@ def test_each_of_two_adjoining_passages_survives(documents):
     rows = [
         (5, f"{prose(rng, 40)} {first} {prose(rng, 40)}"),
         (10, f"{prose(rng, 30)} {first} {second} {prose(rng, 30)}"),
-        (20, f"{prose(rng, 20)} {second} {prose(rng, 20)}"),
+        # With the end of the first one, so that the chunk over the border is repeated too.
+        (20, f"{prose(rng, 20)} {first[-100:]} {second} {prose(rng, 20)}"),
     ]
     docs = documents(rows)
     spans = {(r.doc_id, r.first_doc_id) for r in repeated_spans(docs).collect()}

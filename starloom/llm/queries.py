@@ -5,6 +5,7 @@ from starloom.llm import (  # noqa: F401
     decontaminate,
     exact_dedup,
     jaccard_join,
+    lexical_search,
     license_scan,
     packing,
     personal_data,

@@ -1,6 +1,7 @@
 """All queries of this package by name, and their twins in SQL."""
 
 from starloom.llm import (  # noqa: F401
+    chat,
     clustering,
     decontaminate,
     exact_dedup,

@@ -13,6 +13,7 @@ from starloom.functions.hashing import row_hash_sql
 from starloom.operators.joins import lookup_day, lookup_in_range
 from starloom.operators.merge import merge
 from starloom.operators.scd2 import FIRST_START, scd2_apply, scd2_initial
+from starloom.operators.timeline import lookup_as_of, rebuild_versions
 
 REP_KEY = "salesrep_id"
 REP_SURROGATE = "salesrep_sk"
@@ -29,21 +30,28 @@ def salesrep_increment(dimension: DataFrame, salesreps: DataFrame, run_at: str)
     return scd2_apply(dimension, salesreps, REP_KEY, REP_TRACKED, REP_SURROGATE, run_at)
 
 
-def sales_fact(sales: DataFrame, dates: DataFrame, salesreps: DataFrame) -> DataFrame:
+def salesrep_rebuild(dimension: DataFrame, changes: DataFrame) -> DataFrame:
+    """The dimension after a load of changes (salesrep_id, name, office, changed_at), of which a
+    representative may have several, in any order and dated before what is there."""
+    return rebuild_versions(
+        dimension, changes, REP_KEY, REP_TRACKED, REP_SURROGATE, "changed_at"
+    )
+
+
+def sales_fact(
+    sales: DataFrame, dates: DataFrame, salesreps: DataFrame, long_histories: bool = False
+) -> DataFrame:
     """One row per order with the date key and the key of the representative's version.
 
     A version holds after its start and up to and including its end. Orders without a
     calendar day or a version keep a null key.
+
+    With ``long_histories`` orders and versions are merged in time, so that a representative
+    may have any number of versions; otherwise an order meets all versions of its representative,
+    and a dimension that can be broadcast spares the orders a shuffle.
     """
-    dated = lookup_day(
-        sales.selectExpr("*", "to_date(order_date) AS order_day"),
-        dates,
-        "order_day",
-        "CalendarDate",
-        {"date_sk": "date_sk"},
-    )
-    with_rep = lookup_in_range(
-        dated,
+    of_version = (lookup_as_of if long_histories else lookup_in_range)(
+        sales,
         salesreps,
         {REP_KEY: REP_KEY},
         "order_date",
@@ -52,6 +60,13 @@ def sales_fact(sales: DataFrame, dates: DataFrame, salesreps: DataFrame) -> Data
         {REP_SURROGATE: REP_SURROGATE},
         start_included=False,
     )
+    with_rep = lookup_day(
+        of_version.selectExpr("*", "to_date(order_date) AS order_day"),
+        dates,
+        "order_day",
+        "CalendarDate",
+        {"date_sk": "date_sk"},
+    )
     measures = ["1", "amount"]
     return with_rep.selectExpr(
         "order_id",

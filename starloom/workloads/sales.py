@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import row_hash
-from starloom.operators.joins import detect_changes, lookup_day, lookup_in_range
+from starloom.operators.joins import detect_changes, lookup_day
 from starloom.operators.scd2 import scd2_initial
+from starloom.operators.timeline import lookup_as_of
 from starloom.plans.calendar import date_dimension_over
 from starloom.plans.sales import (
     REP_KEY,
@@ -17,9 +20,10 @@ from starloom.plans.sales import (
     revenue_by_weekday,
     sales_fact,
     sales_fact_increment,
+    salesrep_rebuild,
 )
 from starloom.workloads.registry import query
-from starloom.workloads.relations import Relations, calendar_sql, with_relations
+from starloom.workloads.relations import SECOND_LOAD, Relations, calendar_sql, with_relations
 
 _INTS = (
     "CalendarYear MonthOfYear DayOfWeek DayOfWeekStartMonday DayOfMonth DayOfYear "
@@ -113,6 +117,54 @@ def fact_sales(r: Relations) -> DataFrame:
     return _fact(r.fact_sales)
 
 
+@query("fact_sales_as_of", with_relations("fact_sales", _FACT_SQL + "fact_sales"))
+def fact_sales_as_of(r: Relations) -> DataFrame:
+    """The fact for representatives with long histories."""
+    return _fact(sales_fact(r.sales, r.dates, r.salesrep_dim, long_histories=True))
+
+
+_REP_CHANGES = (
+    ("c_acctbal < 0", "'LATE'", "2000-01-01 00:00:00"),
+    ("c_nationkey = 3", "'MOVED'", SECOND_LOAD),
+    ("true", "c_mktsegment", "2001-01-01 00:00:00"),
+    ("true", "CASE WHEN c_acctbal > 5000 THEN 'HQ' ELSE c_mktsegment END", "2001-06-01 00:00:00"),
+)
+_REP_CHANGES_SQL = " UNION ALL ".join(
+    f"SELECT c_custkey, c_name, {office}, TIMESTAMP '{moment}' FROM customer WHERE {which}"
+    for which, office, moment in _REP_CHANGES
+)
+
+
+@query(
+    "scd2_rebuild",
+    with_relations(
+        "salesrep_dim",
+        f"""SELECT md5(concat_ws(chr(31), CAST(salesrep_id AS VARCHAR),
+         strftime(begins, '%Y-%m-%d %H:%M:%S.%f'))) AS salesrep_sk, salesrep_id, name, office,
+       strftime(begins, '%Y-%m-%d %H:%M:%S') AS scd_start,
+       coalesce(strftime(until, '%Y-%m-%d %H:%M:%S'), '2100-12-12 00:00:00') AS scd_end,
+       md5(concat_ws(chr(31), name, office)) AS md5, until IS NULL AS current
+FROM (SELECT *, lead(begins) OVER (PARTITION BY salesrep_id ORDER BY begins) AS until FROM (
+  SELECT *, lag(office) OVER (PARTITION BY salesrep_id ORDER BY begins) AS before FROM (SELECT * FROM (
+    SELECT salesrep_id, name, office, scd_start AS begins, 0 AS change FROM salesrep_dim
+    UNION ALL SELECT *, 1 FROM ({_REP_CHANGES_SQL}))
+  QUALIFY row_number() OVER (PARTITION BY salesrep_id, begins ORDER BY change DESC) = 1))
+  WHERE before IS NULL OR office <> before)""",
+    ),
+)
+def scd2_rebuild(r: Relations) -> DataFrame:
+    """A load with up to four changes per representative, some dated before the open version, one at
+    its start, the last one often no change at all."""
+    several = [
+        r.table("customer")
+        .where(which)
+        .selectExpr("c_custkey AS salesrep_id", "c_name AS name", f"{office} AS office",
+                    f"timestamp'{moment}' AS changed_at")
+        for which, office, moment in _REP_CHANGES
+    ]
+    return _versions(salesrep_rebuild(r.salesrep_dim, reduce(DataFrame.unionByName, several)))
+
+
 @query(
     "join_scd2",
     with_relations(
@@ -124,7 +176,7 @@ LEFT JOIN salesrep_dim d ON s.salesrep_id = d.salesrep_id
 )
 def join_scd2(r: Relations) -> DataFrame:
     """The version of the representative at order time."""
-    return lookup_in_range(
+    return lookup_as_of(
         r.sales,
         r.salesrep_dim,
         {"salesrep_id": "salesrep_id"},

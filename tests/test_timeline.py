@@ -1,0 +1,206 @@
+from __future__ import annotations
+
+import random
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.operators.joins import lookup_in_range
+from starloom.operators.scd2 import scd2_initial
+from starloom.operators.timeline import lookup_as_of, rebuild_versions
+
+BEGIN = datetime(2024, 1, 1)
+
+
+def history(rng, key, n, hours=2000):
+    """Versions of a key that follow each other, some with a gap."""
+    at = sorted(rng.sample(range(hours), n + 1))
+    gap = [rng.random() < 0.2 for _ in range(n)]
+    return [
+        (key, f"{key}-{i}", BEGIN + timedelta(hours=at[i]),
+         BEGIN + timedelta(hours=at[i + 1], minutes=-30 * gap[i]))
+        for i in range(n)
+    ]
+
+
+@pytest.fixture
+def tables(spark):
+    rng = random.Random(11)
+    versions = [v for key in range(8) for v in history(rng, key, rng.randint(1, 40))]
+    versions += [(8, "no end", BEGIN, None), (8, "backwards", BEGIN, BEGIN - timedelta(1)),
+                 (None, "no key", BEGIN, BEGIN + timedelta(99))]
+    moments = [v[2] for v in versions[:40]] + [v[3] for v in versions[:40]]
+    moments += [BEGIN + timedelta(minutes=rng.randint(-9000, 130_000)) for _ in range(900)]
+    facts = [(i, rng.choice([*range(10), None]), m) for i, m in enumerate([*moments, None, None])]
+    return (
+        spark.createDataFrame(facts, "id int, k int, t timestamp").repartition(5),
+        spark.createDataFrame(versions, "k bigint, name string, s timestamp, e timestamp"),
+    )
+
+
+@pytest.mark.parametrize("slices", ["day", "month", "year"])
+@pytest.mark.parametrize("start_included", [True, False])
+@pytest.mark.parametrize("how", ["left", "inner"])
+def test_same_rows_as_the_range_lookup(tables, rows, slices, start_included, how):
+    facts, versions = tables
+    # Closed at both ends, versions that touch would overlap.
+    end = "e - interval 1 second" if start_included else "e"
+    arguments = (facts, versions, {"k": "k"}, "t", "s", end, {"n": "upper(name)", "from": "s"})
+    settings = {"start_included": start_included, "how": how}
+    got = lookup_as_of(*arguments, **settings, slices=slices)
+    assert got.columns == ["id", "k", "t", "n", "from"]
+    expected = rows(lookup_in_range(*arguments, **settings))
+    assert rows(got) == expected and any(r[3] for r in expected)
+
+
+def test_days_and_several_keys(spark, rows):
+    versions = spark.sql(
+        "SELECT * FROM VALUES ('a', 1, date'2024-01-01', date'2024-01-10', 'x'),"
+        " ('a', 1, date'2024-01-11', date'2024-02-20', 'y'), ('b', 1, date'2024-01-05', date'2024-01-05', 'z')"
+        " AS v(k, l, s, e, name)"
+    )
+    facts = spark.sql(
+        "SELECT * FROM VALUES ('a', 1, date'2024-01-10'), ('a', 1, date'2024-01-11'), ('a', 2, date'2024-01-11'),"
+        " ('b', 1, date'2024-01-05'), ('b', 1, date'2024-01-06'), ('a', 1, date'2024-02-21') AS f(k, l, d)"
+    )
+    got = lookup_as_of(facts, versions, {"k": "k", "l": "l"}, "d", "s", "e", {"name": "name"},
+                       start_included=True, slices="month")
+    assert [(r[0], r[2].day, r[3]) for r in rows(got) if r[3]] == [("a", 10, "x"), ("a", 11, "y"), ("b", 5, "z")]
+    assert got.count() == 6
+
+
+def test_a_long_history_is_not_joined_with_every_fact(spark):
+    versions = spark.range(5000).selectExpr(
+        "1 AS k", "id AS v", "timestampadd(HOUR, cast(id AS int), timestamp'2020-01-01') AS s",
+        "timestampadd(HOUR, cast(id + 1 AS int), timestamp'2020-01-01') AS e",
+    )
+    facts = spark.range(20_000).selectExpr(
+        "1 AS k", "id", "timestampadd(MINUTE, cast(id * 15 + 5 AS int), timestamp'2020-01-01') AS t"
+    )
+    found = lookup_as_of(facts, versions, {"k": "k"}, "t", "s", "e", {"v": "v"}, start_included=False)
+    assert found.where("v IS DISTINCT FROM id div 4").count() == 0
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "Join" not in plan and "Window" in plan
+    # One key, but a partition per day: the facts of a day and a version for each of its hours.
+    days = found.groupBy(F.to_date("t").alias("day")).count()
+    assert days.agg(F.max("count")).first()[0] == 96
+
+
+@pytest.mark.parametrize("start_included", [True, False])
+def test_versions_that_overlap_are_refused(spark, start_included):
+    versions = spark.sql(
+        "SELECT * FROM VALUES (1, 'a', date'2024-01-01', date'2024-01-10'),"
+        " (1, 'b', date'2024-01-09', date'2024-01-20') AS v(k, name, s, e)"
+    )
+    facts = spark.sql("SELECT 1 AS k, date'2025-01-01' AS t")
+    with pytest.raises(Exception, match="overlap"):
+        lookup_as_of(facts, versions, {"k": "k"}, "t", "s", "e", {"n": "name"},
+                     start_included=start_included).collect()
+
+
+def test_empty_sides(tables, rows):
+    facts, versions = tables
+    none = lookup_as_of(facts, versions.limit(0), {"k": "k"}, "t", "s", "e", {"n": "name"}, start_included=True)
+    assert none.where("n IS NULL").count() == facts.count()
+    assert rows(lookup_as_of(facts.limit(0), versions, {"k": "k"}, "t", "s", "e", {"n": "name"},
+                             start_included=False)) == []
+
+
+# timelines
+
+
+@pytest.fixture
+def dimension(spark):
+    source = spark.createDataFrame(
+        [(1, "Jane", "NY"), (2, "Bob", "Berlin"), (None, "Nobody", "X")], "id int, name string, office string"
+    )
+    return scd2_initial(source, "id", ["name", "office"], "sk")
+
+
+def change(spark, *rows):
+    return spark.createDataFrame(
+        [(i, n, o, datetime.fromisoformat(t), s) for i, n, o, t, s in rows],
+        "id int, name string, office string, at timestamp, seq int",
+    )
+
+
+def rebuilt(dimension, changes, **more):
+    return rebuild_versions(dimension, changes, "id", ["name", "office"], "sk", "at", **more)
+
+
+def told(df, key):
+    found = df.where(F.col("id").eqNullSafe(F.lit(key))).orderBy("scd_start").collect()
+    return [(r.office, str(r.scd_start)[:10], str(r.scd_end)[:10], r.current) for r in found]
+
+
+def test_several_changes_and_a_late_one(spark, dimension, rows):
+    changes = change(
+        spark, (1, "Jane", "Rome", "2024-03-01", 1), (1, "Jane", "Paris", "2024-01-01", 2),
+        (1, "Jane", "Paris", "2024-02-01", 3), (3, "Eve", "Oslo", "2024-01-01", 4),
+    )
+    after = rebuilt(dimension, changes)
+    assert after.columns == dimension.columns
+    assert told(after, 1) == [
+        ("NY", "1999-01-01", "2024-01-01", False),
+        ("Paris", "2024-01-01", "2024-03-01", False),
+        ("Rome", "2024-03-01", "2100-12-12", True),
+    ]
+    assert told(after, 3) == [("Oslo", "2024-01-01", "2100-12-12", True)]
+    for key in (2, None):
+        same = F.col("id").eqNullSafe(F.lit(key))
+        assert rows(after.where(same)) == rows(dimension.where(same))
+    assert after.select("sk").distinct().count() == after.count()
+
+    late = rebuilt(after, change(spark, (1, "Jane", "Bonn", "2024-01-15", 9), (1, "Jane", "Ulm", "1990-01-01", 9)))
+    assert [(o, s) for o, s, _, _ in told(late, 1)] == [
+        ("Ulm", "1990-01-01"), ("NY", "1999-01-01"), ("Paris", "2024-01-01"), ("Bonn", "2024-01-15"),
+        ("Rome", "2024-03-01"),
+    ]
+    # Versions that were there keep their keys.
+    kept = set(r.sk for r in after.collect())
+    assert kept <= set(r.sk for r in late.collect())
+
+
+def test_one_moment(spark, dimension):
+    changes = change(
+        spark, (1, "Jane", "B", "2024-01-01", 2), (1, "Jane", "A", "2024-01-01", 1),
+        (1, "Jane", "B", "2024-01-01", 2), (2, "Bob", "Bern", "1999-01-01", 1),
+    )
+    after = rebuilt(dimension, changes, sequence="seq")
+    assert [o for o, *_ in told(after, 1)] == ["NY", "B"]
+    assert told(after, 2) == [("Bern", "1999-01-01", "2100-12-12", True)]
+
+
+def test_loading_twice_changes_nothing(spark, dimension, rows):
+    changes = change(spark, (1, "Jane", "Rome", "2024-03-01", 1), (1, "Jane", "NY", "2024-02-01", 2))
+    once = rebuilt(dimension, changes)
+    assert [o for o, *_ in told(once, 1)] == ["NY", "Rome"]
+    assert rows(rebuilt(once, changes)) == rows(once)
+    assert rows(rebuilt(dimension, changes.limit(0))) == rows(dimension)
+
+
+@pytest.mark.parametrize("row", [(None, "x", "y", "2024-01-01", 1), (1, "x", "y", None, 1)])
+def test_changes_need_a_key_and_a_moment(spark, dimension, row):
+    changes = spark.createDataFrame([row], "id int, name string, office string, at string, seq int")
+    with pytest.raises(Exception, match="no key or no moment"):
+        rebuilt(dimension, changes.withColumn("at", F.col("at").cast("timestamp"))).collect()
+
+
+def test_any_order_of_loads_gives_one_timeline(spark, dimension, rows):
+    rng = random.Random(5)
+    entries = [
+        (rng.randint(1, 5), "n", rng.choice("ABC"), f"2024-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}", i)
+        for i in range(80)
+    ]
+    entries = list({(e[0], e[3]): e for e in entries}.values())
+    at_once = rebuilt(dimension, change(spark, *entries))
+    by_key = {}
+    for key, _, office, day, _ in entries:
+        by_key.setdefault(key, []).append((day, office))
+    for key, changes in by_key.items():
+        wanted = {1: [("1999-01-01", "NY")], 2: [("1999-01-01", "Berlin")]}.get(key, [])
+        for day, office in sorted(changes):
+            if not wanted or wanted[-1][1] != office:
+                wanted.append((day, office))
+        assert [(s, o) for o, s, _, _ in told(at_once, key)] == wanted

@@ -10,6 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StringType, StructField, StructType
 
+from starloom.operators.stored_merge import merge_into
+from starloom.sinks.files import write_parquet
+from starloom.sources.files import scan_parquet
+from starloom.workspace import new_folder
+
 # Messages, events, and the lengths of a window and of the watermark.
 MESSAGE_SCHEMA = "key string, value string"
 EVENT_FIELDS = ("event_time", "word", "count")
@@ -116,3 +121,45 @@ def write_updates(
         .foreachBatch(write)
     )
     return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+#: Columns of stored sums; ``batch`` is the micro-batch that a sum was last changed in.
+SUMS_SCHEMA = "window_start timestamp, key string, count bigint, batch bigint, day date"
+
+
+def upsert_sums(
+    sums: DataFrame, path: str, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Keep the latest sum of every window of ``window_sums`` in a table stored by day at ``path``.
+
+    In update mode a micro-batch holds the windows it changed, with their whole sums. They replace
+    those in the table, or are added; only days with changed windows are written. A sum
+    is replaced by one of a later micro-batch only: a micro-batch that is repeated after a failure, even
+    one that had replaced some days already, changes nothing twice.
+    """
+    spark = sums.sparkSession
+    schema = StructType.fromDDL(SUMS_SCHEMA)
+    spark.createDataFrame([], schema).write.mode("ignore").partitionBy("day").parquet(path)
+
+    def write(batch: DataFrame, number: int) -> None:
+        changed = batch.selectExpr(
+            "window.start AS window_start", "key", "count", f"{number}L AS batch",
+            "to_date(window.start) AS day",
+        )
+        folder = new_folder(batch.sparkSession, "changed-sums")
+        write_parquet(changed, folder)  # state is read once, however often the merge reads this
+        merge_into(
+            path,
+            schema,
+            scan_parquet(batch.sparkSession, folder, changed.schema),
+            ["window_start", "key", "day"],
+            ["day"],
+            when="source.batch > target.batch",
+        )
+
+    writer = (
+        sums.writeStream.outputMode("update")
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+    return (writer.trigger(availableNow=True) if available_now else writer).start()

@@ -9,9 +9,11 @@ from starloom.functions.hashing import row_hash
 from starloom.operators.joins import detect_changes
 from starloom.operators.merge import delete_where, merge, update_where
 from starloom.operators.scd2 import OPEN_END, surrogate_sql
+from starloom.operators.stored_merge import merge_into, write_partitioned
 from starloom.plans import transactions
 from starloom.workloads.registry import query
 from starloom.workloads.relations import SECOND_LOAD, Relations, with_relations
+from starloom.workspace import new_folder
 
 PRODUCT = "purchase"
 CUSTOMER = 7
@@ -98,6 +100,37 @@ def merge_scd2(r: Relations) -> DataFrame:
     )
 
 
+#: A delivery of some days, with what the table lacks and amounts that were put right.
+_DELIVERED = "purchase_date >= date '2024-01-18' AND purchase_date < date '2024-01-25'"
+
+
+@query(
+    "merge_partitions",
+    with_relations(
+        "transactions",
+        f"""SELECT {_COLUMNS}, CASE WHEN {_DELIVERED} AND customer_id % 2 = 0 THEN quantity + 1
+       ELSE quantity END AS quantity FROM transactions WHERE {_DELIVERED} OR product_name <> '{PRODUCT}'""",
+    ),
+)
+def merge_partitions(r: Relations) -> DataFrame:
+    """A table stored by day, and a delivery of a week merged into it: files of other days stay."""
+    path = new_folder(r.spark, "transactions-by-day")
+    table = r.transactions.where(f"product_name <> '{PRODUCT}'")
+    write_partitioned(table, path, ["purchase_date"])
+    delivered = r.transactions.where(_DELIVERED).withColumn(
+        "quantity", F.expr("if(customer_id % 2 = 0, quantity + 1, quantity)")
+    )
+    merge_into(
+        path,
+        table.schema,
+        delivered,
+        ["transaction_id", "purchase_date"],
+        ["purchase_date"],
+        when="NOT (source.quantity <=> target.quantity)",
+    )
+    return _plain(r.spark.read.schema(table.schema).parquet(path))
+
+
 def _lifecycle(r: Relations) -> list[tuple[str, DataFrame, DataFrame]]:
     return transactions.lifecycle(r.transactions, PRODUCT, CUSTOMER)
 

@@ -11,6 +11,7 @@ from pyspark.sql.types import StructType
 
 from starloom.functions.names import quoted
 from starloom.operators.merge import ACTION, KEPT, merge
+from starloom.sinks.files import rebalanced
 from starloom.workspace import new_folder
 
 
@@ -27,15 +28,6 @@ def _is_one_of(partitions: list, by: Sequence[str]):
     return reduce(lambda a, b: a | b, each, F.lit(False))
 
 
-def write_partitioned(df: DataFrame, path: str, by: Sequence[str]) -> None:
-    """``df`` as Parquet with a folder per value of ``by``, in place of what is at ``path``.
-
-    Rows of a folder come together before they are written, so that there are few files; AQE splits a
-    folder that is much larger than others over several tasks.
-    """
-    df.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
-
-
 def merge_into(
     path: str,
     schema: StructType,
@@ -79,9 +71,7 @@ def merge_into(
     staged = new_folder(spark, "merge")
     merged.write.parquet(staged)
     (
-        spark.read.schema(merged.schema)
-        .parquet(staged)
-        .hint("rebalance", *by)
+        rebalanced(spark.read.schema(merged.schema).parquet(staged), by)
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy(*by)

@@ -202,7 +202,7 @@ def _as_it_is(name: str, df: DataFrame) -> DataFrame:
 def ride_dimensions(
     tables: Mapping[str, DataFrame], store: Callable[[str, DataFrame], DataFrame] = _as_it_is
 ) -> RideDimensions:
-    """All dimensions from the operational tables.
+    """All dimensions from the operational tables, and what a ride's keys are looked up in.
 
     ``store`` gets the name and the rows of each dimension and returns what the fact shall
     read. A warehouse writes the rows and reads them back (``stored_in``): then the sizes
@@ -220,10 +220,13 @@ def ride_dimensions(
         ),
         dates=store("DateDim", ride_date_dimension(tables["rides"])),
         weather_types=store("WeatherDim", weather_dimension(tables["weather_types"])),
-        vehicles=vehicle_lookup(
-            tables["vehicles"], tables["bikelots"], tables["bike_types"], vehicle_dim
+        vehicles=store(
+            "VehicleKeys",
+            vehicle_lookup(
+                tables["vehicles"], tables["bikelots"], tables["bike_types"], vehicle_dim
+            ),
         ),
-        subscriptions=tables["subscriptions"],
+        subscriptions=store("Subscriptions", tables["subscriptions"]),
         weather=tables["weather"],
     )
 

@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from starloom.functions.hashing import row_hash_sql
-from starloom.operators.joins import lookup_day, lookup_in_range
+from starloom.operators.joins import lookup, lookup_day, lookup_in_range
 from starloom.operators.merge import merge
 from starloom.operators.scd2 import FIRST_START, scd2_apply, scd2_initial
 from starloom.operators.timeline import lookup_as_of, rebuild_versions
@@ -104,3 +104,26 @@ def revenue_by_office(fact: DataFrame, salesreps: DataFrame) -> DataFrame:
         .groupBy("office")
         .agg(F.sum("revenue_mv").alias("revenue"))
     )
+
+
+def fact_by_month(fact: DataFrame, dates: DataFrame) -> DataFrame:
+    """The fact with ``month_sk`` (yyyymm) of its day, to be stored by it; null without a day."""
+    return lookup(
+        fact, dates, {"date_sk": "date_sk"}, {"month_sk": "CalendarYear * 100 + MonthOfYear"}
+    )
+
+
+def revenue_by_weekday_of(stored_fact: DataFrame, some_dates: DataFrame) -> DataFrame:
+    """``revenue_by_weekday`` for some days of a fact that is stored by ``month_sk``.
+
+    The days are given as a calendar with any filter. Its months are known before the fact is
+    scanned, which then reads the folders of these months only.
+    """
+    days = some_dates.selectExpr(
+        "date_sk", "DayOfWeek", "CalendarYear * 100 + MonthOfYear AS month_sk"
+    )
+    return (
+        stored_fact.join(days, ["month_sk", "date_sk"])
+        .groupBy("DayOfWeek")
+        .agg(F.sum("revenue_mv").alias("revenue"))
+    )

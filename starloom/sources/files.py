@@ -5,7 +5,8 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql.types import StructType
+from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from starloom.functions.names import literal, quoted
 
@@ -29,6 +30,58 @@ def scan_csv_strings(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.option("header", True).csv(path)
 
 
+def scan_csv_checked(
+    spark: SparkSession, path: str, schema: StructType | str
+) -> tuple[DataFrame, DataFrame]:
+    """Rows of the CSV lines that fit the schema, and (line, reason) of those that do not.
+
+    A line fits if it has as many fields as the schema, every field that is not empty can be read as its
+    type, and none that must not be null is empty. The reason names the first field that does not
+    fit. Lines that repeat the column names are headers and belong to neither; a quoted field may contain commas,
+    but no line feed. Both results come from the same pass over the text; to read it once for
+    both, store what ``checked_csv_lines`` gives.
+    """
+    kind = StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    checked = checked_csv_lines(spark, path, kind)
+    return checked.where("reason IS NULL").select("row.*"), checked.where(
+        "reason IS NOT NULL"
+    ).select("line", "reason")
+
+
+def checked_csv_lines(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+    """``line``, ``reason`` (null if the line fits) and ``row`` of every CSV line but headers."""
+    broken = "__broken"
+    texts = StructType([StructField(f.name, StringType()) for f in schema.fields])
+    fields = texts.add(broken, StringType())
+    parsed = scan_text(spark, path).select(
+        F.regexp_replace("value", "\r$", "").alias("line")
+    ).where(F.col("line") != ",".join(schema.names)).select(
+        "line",
+        F.from_csv(
+            "line",
+            ", ".join(f"{quoted(f.name)} string" for f in fields),
+            {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": broken, "escape": '"'},
+        ).alias("raw"),
+    )
+    reasons, values = [], []
+    for field in schema.fields:
+        raw, of = quoted("raw", field.name), field.dataType.simpleString()
+        if not field.nullable:
+            reasons.append(f"WHEN {raw} IS NULL THEN {literal(f'{field.name} is missing')}")
+        told = literal(f"{field.name} is no {of}: ")
+        reasons.append(
+            f"WHEN {raw} IS NOT NULL AND try_cast({raw} AS {of}) IS NULL THEN concat({told}, {raw})"
+        )
+        values.append(f"try_cast({raw} AS {of}) AS {quoted(field.name)}")
+    count = literal(f"not {len(schema.fields)} fields")
+    return parsed.selectExpr(
+        "line",
+        f"CASE WHEN raw IS NULL OR raw.{broken} IS NOT NULL OR line = '' THEN {count} {' '.join(reasons)} END"
+        " AS reason",
+        f"struct({', '.join(values)}) AS row",
+    )
+
+
 def scan_parquet(
     spark: SparkSession, path: str, schema: StructType | str | None = None
 ) -> DataFrame:

@@ -275,9 +275,10 @@ def _rounded(fact: DataFrame) -> DataFrame:
 
 @query("fact_rides", _FACT)
 def fact_rides(r: Relations) -> DataFrame:
-    """The fact straight from the operational tables."""
+    """The fact from the operational rides and weather, over stored dimensions of known sizes."""
+    store = stored_in(new_folder(r.spark, "ride-dimensions"))
     tables = {name: getattr(r, name) for name in _TABLES}
-    return _rounded(ride_fact(tables["rides"], ride_dimensions(tables)))
+    return _rounded(ride_fact(tables["rides"], ride_dimensions(tables, store)))
 
 
 @query("ride_star_load", _FACT)

@@ -16,14 +16,19 @@ from starloom.plans.sales import (
     REP_KEY,
     REP_SURROGATE,
     REP_TRACKED,
+    fact_by_month,
     revenue_by_office,
     revenue_by_weekday,
+    revenue_by_weekday_of,
     sales_fact,
     sales_fact_increment,
     salesrep_rebuild,
 )
+from starloom.sinks.files import stored_in, write_partitioned
+from starloom.sources.files import scan_parquet
 from starloom.workloads.registry import query
 from starloom.workloads.relations import SECOND_LOAD, Relations, calendar_sql, with_relations
+from starloom.workspace import new_folder
 
 _INTS = (
     "CalendarYear MonthOfYear DayOfWeek DayOfWeekStartMonday DayOfMonth DayOfYear "
@@ -242,3 +247,24 @@ def office_revenue(r: Relations) -> DataFrame:
     return revenue_by_office(r.fact_sales, r.salesrep_dim).withColumn(
         "revenue", F.col("revenue").cast("double")
     )
+
+
+@query(
+    "revenue_by_weekday_of_quarter",
+    with_relations(
+        "fact_plain",
+        """SELECT CAST(dd.DayOfWeek AS INTEGER) AS DayOfWeek,
+       CAST(sum(fs.revenue_mv) AS DOUBLE) AS revenue
+FROM fact_plain fs JOIN dates dd ON dd.date_sk = fs.date_sk
+WHERE dd.CalendarYear = 1997 AND dd.QuarterOfYear = 2 GROUP BY 1""",
+    ),
+)
+def weekday_revenue_of_quarter(r: Relations) -> DataFrame:
+    """The report of one quarter over a fact stored by month: other months are not read."""
+    folder = new_folder(r.spark, "sales-star")
+    fact = fact_by_month(r.fact_sales, r.dates)
+    write_partitioned(fact, f"{folder}/fact", ["month_sk"])
+    quarter = stored_in(folder)("dates", r.dates).where("CalendarYear = 1997 AND QuarterOfYear = 2")
+    return revenue_by_weekday_of(
+        scan_parquet(r.spark, f"{folder}/fact", fact.schema), quarter
+    ).withColumn("revenue", F.col("revenue").cast("double"))

@@ -9,8 +9,9 @@ from starloom.functions.hashing import row_hash
 from starloom.operators.joins import detect_changes
 from starloom.operators.merge import delete_where, merge, update_where
 from starloom.operators.scd2 import OPEN_END, surrogate_sql
-from starloom.operators.stored_merge import merge_into, write_partitioned
+from starloom.operators.stored_merge import merge_into
 from starloom.plans import transactions
+from starloom.sinks.files import write_partitioned
 from starloom.workloads.registry import query
 from starloom.workloads.relations import SECOND_LOAD, Relations, with_relations
 from starloom.workspace import new_folder

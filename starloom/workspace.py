@@ -11,9 +11,19 @@ _WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder named by ``spark.checkpoint.dir``, else one in the session's warehouse, which
-    all machines of a cluster share as well."""
-    folder = spark.conf.get(_SETTING, None) or f"{spark.conf.get(_WAREHOUSE)}/starloom-work"
+    """The folder named by ``spark.checkpoint.dir``, else one in the session's warehouse.
+
+    On a cluster that has neither set, the warehouse would be a folder of the driver's machine, which
+    no other one sees: that is an error. Both must be on storage that all machines share.
+    """
+    folder = spark.conf.get(_SETTING, None)
+    if folder is None:
+        warehouse = spark.conf.get(_WAREHOUSE)
+        local = warehouse.startswith(("file:", "/"))
+        master = spark.sparkContext.master
+        if local and not (master == "local" or master.startswith("local[")):
+            raise ValueError(f"{_SETTING} must name a folder that all machines share")
+        folder = f"{warehouse}/starloom-work"
     return folder.rstrip("/")
 
 

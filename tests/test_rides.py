@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import json
+import re
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -18,6 +20,8 @@ from starloom.plans.rides import (
 )
 from starloom.plans.weather import hourly_weather, weather_requests
 from starloom.sinks.files import stored_in
+from starloom.workloads import rides as ride_queries  # noqa: F401
+from starloom.workloads.registry import QUERIES
 
 TYPES = [(0, "DAG"), (1, "MAAND"), (2, "JAAR")]
 
@@ -123,7 +127,10 @@ def test_stored_star_equals_the_direct_one(tables, rows, tmp_path):
     direct = ride_fact(tables["rides"], ride_dimensions(tables))
     assert rows(stored) == rows(direct)
     names = {p.name for p in (tmp_path / "star").iterdir()}
-    assert names == {"LockDim", "UserDim", "DateDim", "VehicleDim", "WeatherDim", "RidesFact"}
+    assert names == {
+        "LockDim", "UserDim", "DateDim", "VehicleDim", "WeatherDim", "VehicleKeys", "Subscriptions",
+        "RidesFact",
+    }
 
 
 def test_ride_fact(tables, rows):
@@ -245,3 +252,14 @@ def test_a_user_with_thousands_of_day_tickets(spark):
     assert got.groupBy("rideid").count().groupBy("count").count().orderBy("count").collect() == [
         (1, 1), (2, n - 1),
     ]
+
+
+@pytest.mark.skipif(not Path("/root/testdata/sf0.1").exists(), reason="tables are not there")
+def test_the_fact_is_not_shuffled_by_lock_vehicle_or_day(spark):
+    fact = QUERIES["fact_rides"](spark, "/root/testdata/sf0.1")
+    plan = fact._jdf.queryExecution().executedPlan().toString()
+    # The side of the rides is the first child of every join: whatever is shuffled below the first
+    # lookup by lock, vehicle and day is listed here by its keys.
+    keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
+    for key in ("endlockid", "vehicleid", "ride_date#"):
+        assert not [k for k in keys if k.startswith(key)], key

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from starloom.operators.merge import merge
-from starloom.operators.stored_merge import merge_into, write_partitioned
+from starloom.operators.stored_merge import merge_into
+from starloom.sinks.files import write_partitioned
 
 
 def files(path):

@@ -1,5 +1,9 @@
 from __future__ import annotations
 
+from types import SimpleNamespace
+
+import pytest
+
 from starloom import workspace
 from starloom.sinks.files import export_tables, write_json, write_table, write_text
 from starloom.sources.files import (
@@ -67,17 +71,29 @@ def test_shared_folder(spark):
     assert one != two and one.startswith(f"{configured}/x-")
 
 
-class FakeSession:
-    """A session without the setting."""
+def session(master, **conf):
+    """What a session tells about its machines and folders."""
+    settings = {f"spark.{key.replace('__', '.')}": value for key, value in conf.items()}
+    return SimpleNamespace(
+        conf=SimpleNamespace(get=lambda key, default=None: settings.get(key, default)),
+        sparkContext=SimpleNamespace(master=master),
+    )
+
 
-    class conf:
-        @staticmethod
-        def get(key, default=None):
-            return {"spark.sql.warehouse.dir": "hdfs://shared/warehouse"}.get(key, default)
+@pytest.mark.parametrize("master", ["yarn", "local[*]"])
+def test_folder_without_a_setting(master):
+    there = session(master, sql__warehouse__dir="hdfs://shared/warehouse")
+    assert workspace.shared_folder(there) == "hdfs://shared/warehouse/starloom-work"
 
 
-def test_folder_without_a_setting():
-    assert workspace.shared_folder(FakeSession) == "hdfs://shared/warehouse/starloom-work"
+def test_a_cluster_needs_a_shared_folder():
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]"):
+        with pytest.raises(ValueError, match="spark.checkpoint.dir"):
+            workspace.shared_folder(session(master, sql__warehouse__dir="file:/home/me/spark-warehouse"))
+    alone = session("local[8]", sql__warehouse__dir="file:/home/me/spark-warehouse")
+    assert workspace.shared_folder(alone) == "file:/home/me/spark-warehouse/starloom-work"
+    told = session("yarn", checkpoint__dir="/mnt/shared/", sql__warehouse__dir="file:/x")
+    assert workspace.shared_folder(told) == "/mnt/shared"
 
 
 def test_literal_rows_have_a_size(spark, rows):

@@ -35,13 +35,17 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.common import query, stored, table, texts
+from starloom.llm.hashing import column_bytes
 
 ORDER, SYMBOL_BITS = 5, 12
 FOLDS = 5
 #: Above the bits of a gram: its fold, FOLDS for texts that are not trusted.
 FOLD_BITS = ORDER * SYMBOL_BITS
 _LOW = 1 << (SYMBOL_BITS - 1)
-SLICE = 1 << 20
+#: Characters of texts that are worked on at once; a longer text is a slice by itself.
+SLICE = 1 << 17
+#: Distinct grams that a task holds before it merges them, and after which it gives them out.
+HELD, FULL = 1_000_000, 700_000
 #: Rows up to which labels are broadcast; more are shuffled.
 BROADCAST_ROWS = 1_000_000
 
@@ -69,15 +73,15 @@ def grams(bodies: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return found, begins
 
 
-def _slices(bodies: list[str]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for at, body in enumerate(bodies):
-        if size and size + len(body) > SLICE:
-            yield first, at
-            first, size = at, 0
-        size += len(body)
-    if first < len(bodies):
-        yield first, len(bodies)
+def _slices(column: pa.Array) -> Iterator[tuple[int, int, list[str]]]:
+    """Ranges of rows with about SLICE bytes of text, and their texts."""
+    _, offsets = column_bytes(column)
+    first, last = 0, len(column)
+    while first < last:
+        end = int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1
+        end = min(last, max(end, first + 1))
+        yield first, end, column.slice(first, end - first).to_pylist()
+        first = end
 
 
 def corpus_grams(rows: DataFrame) -> DataFrame:
@@ -103,13 +107,12 @@ def corpus_grams(rows: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_pydict({"gram": keys, "count": counts})
 
         for batch in batches:
-            bodies = batch.column("text").to_pylist()
             marks = np.array(batch.column("trusted").to_pylist(), bool)
-            folds = np.zeros(len(bodies), np.int64)
+            folds = np.zeros(batch.num_rows, np.int64)
             if folded:
                 folds = np.array(batch.column("fold").to_pylist(), np.int64) << FOLD_BITS
-            for first, end in _slices(bodies):
-                found, begins = grams(bodies[first:end])
+            for first, end, bodies in _slices(batch.column("text")):
+                found, begins = grams(bodies)
                 found |= np.repeat(folds[first:end], np.diff(begins))
                 good = np.repeat(marks[first:end], np.diff(begins))
                 if good.any():
@@ -120,11 +123,11 @@ def corpus_grams(rows: DataFrame) -> DataFrame:
                     keys = np.unique(found[~good])
                     parts.append((keys, np.zeros(len(keys), np.int64)))
                     held += len(keys)
-                if held > 3_000_000:
+                if held > HELD:
                     merged = made(parts)
                     parts[:] = [merged]
                     held = len(merged[0])
-                    if held > 2_000_000:
+                    if held > FULL:
                         yield from emitted()
                         held = 0
         yield from emitted()
@@ -234,7 +237,7 @@ class Lookup:
     """Values by gram in a table with open addresses, for many grams at once."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, (2 * len(keys)).bit_length() + 1)
+        bits = max(4, (2 * len(keys)).bit_length())
         self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
         self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
         slots = self._slots(keys)
@@ -279,18 +282,18 @@ def log_likelihoods(rows: DataFrame, table_of_p: DataFrame, shard_entries: int)
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             lookup = Lookup(*shard.value)
             for batch in batches:
-                bodies = batch.column("text").to_pylist()
                 models = np.array(batch.column("model").to_pylist(), np.int64) << FOLD_BITS
-                sums = np.zeros(len(bodies))
-                for first, end in _slices(bodies):
-                    found, begins = grams(bodies[first:end])
+                sums, sizes = np.zeros(batch.num_rows), np.zeros(batch.num_rows, np.int64)
+                for first, end, bodies in _slices(batch.column("text")):
+                    found, begins = grams(bodies)
+                    sizes[first:end] = np.diff(begins)
                     found |= np.repeat(models[first:end], np.diff(begins))
                     running = np.concatenate([[0.0], np.cumsum(lookup.of(found))])
                     sums[first:end] = running[begins[1:]] - running[begins[:-1]]
                 yield pa.RecordBatch.from_pydict(
                     {name: batch.column(name) for name in names}
                     | {
-                        "chars": pa.array([len(body) for body in bodies], pa.int64()),
+                        "chars": pa.array(sizes, pa.int64()),
                         "log_p": pa.array(sums, pa.float64()),
                     }
                 )
@@ -305,13 +308,15 @@ def log_likelihoods(rows: DataFrame, table_of_p: DataFrame, shard_entries: int)
     )
     parts = None
     for number in range(shards):
-        # About shard_entries grams, 12 bytes each: the one thing here that is sent whole.
+        # About shard_entries grams, 12 bytes each: the one thing here that is sent whole. One shard is
+        # there at a time.
         entries = dealt.where(F.col("shard") == number).select("gram", "log_p").toArrow()
         entries = entries.combine_chunks()
         shard = spark.sparkContext.broadcast(
             (entries.column("gram").to_numpy(), entries.column("log_p").to_numpy())
         )
-        part = scored(shard)
+        part = stored(scored(shard), "shard-sums")
+        shard.destroy()
         parts = part if parts is None else parts.unionByName(part)
     # Each row comes once per shard, and a row that is there several times several times as often.
     return (

@@ -7,6 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
+from starloom.llm.common import stored
 from starloom.llm.quality import (
     ORDER,
     SYMBOL_BITS,
@@ -83,7 +84,7 @@ def unpacked(gram):
 def test_probabilities_against_the_recursion(spark, texts):
     trusted, others = texts
     rows = spark.createDataFrame([(t, True) for t in trusted] + [(t, False) for t in others], "text string, trusted boolean")
-    corpus = corpus_grams(rows).cache()
+    corpus = stored(corpus_grams(rows), "corpus")
     counted = {r.gram: r["count"] for r in corpus.collect()}
     found, _ = grams([*trusted, *others])
     assert set(counted) == set(found.tolist())

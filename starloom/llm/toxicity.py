@@ -119,9 +119,8 @@ class Matcher:
 def _entries(text: str) -> set[str]:
     found = set()
     for word in set(_WORD.findall(text)):
-        if len(word) <= 30:
-            found.add(word + " ")
-            found.update(word[:n] for n in STEMS if n <= len(word))
+        found.add(word + " ")
+        found.update(word[:n] for n in STEMS if n <= len(word))
     return found
 
 
@@ -176,16 +175,10 @@ def _logistic(x: np.ndarray, y: np.ndarray, ridge: float = 1e-2) -> tuple[float,
     return tuple(map(float, w))
 
 
-def learn(
-    docs: DataFrame,
-    labels: DataFrame,
-    fit_rows: int = 10_000,
-    max_entries: int = 1_000,
-    max_phrases: int = 1_000,
-) -> Lexicon:
+def learn(docs: DataFrame, labels: DataFrame, fit_rows: int = 10_000) -> Lexicon:
     """A lexicon from ``labels`` (doc_id, label 0 or 1), of which the ``fit_rows`` with the
-    smallest hash are used. ``max_entries`` and ``max_phrases`` bound the model: the entries with
-    the strongest evidence are taken."""
+    smallest hash are used, and of rows that repeat an id the text with the smallest hash. All entries
+    with enough evidence are taken; so are all exceptions."""
     chosen = (
         labels.where("label in (0, 1)")
         .select("doc_id", F.col("label").cast("int").alias("label"))
@@ -193,7 +186,11 @@ def learn(
         .limit(fit_rows)
     )
     rows = stored(
-        docs.where("text is not null").select("doc_id", "text").join(F.broadcast(chosen), "doc_id"),
+        docs.where("text is not null")
+        .select("doc_id", "text")
+        .join(F.broadcast(chosen), "doc_id")
+        .groupBy("doc_id", "label")
+        .agg(F.min(F.struct(F.xxhash64("text").alias("hash"), "text"))["text"].alias("text")),
         "labelled",
     )
     sizes = {row["label"]: row["count"] for row in rows.groupBy("label").count().collect()}
@@ -207,7 +204,6 @@ def learn(
         _with_evidence(counts, clean, toxic)
         .where((F.col("weight") > 1.5) & (F.col("evidence") > chance))
         .orderBy(F.desc("evidence"), "entry")
-        .limit(max_entries)
         .collect()
     )
     seen_in = {row["entry"]: row["toxic"] for row in strong}
@@ -231,7 +227,6 @@ def learn(
         _with_evidence(_counts(rows, _phrases(lexicon)), clean, toxic)
         .where("clean >= 3 and weight < -1")
         .orderBy(F.desc("clean"), "entry")
-        .limit(max_phrases)
         .collect()
     )
     lexicon.exceptions = [row["entry"] for row in mild]
@@ -267,7 +262,10 @@ def _phrases(lexicon: Lexicon):
             end = begin
             while end < len(text) and text[end].isalnum():
                 end += 1
-            before = _WORD.findall(text[max(0, begin - 30) : begin])
+            start = begin - 1
+            while start > 0 and text[start - 1].isalnum():
+                start -= 1
+            before = _WORD.findall(text[max(0, start) : begin])
             after = _WORD.match(text, end + 1) if text[end : end + 1] == " " else None
             if before and text[begin - 1] == " ":
                 near.add(f"{before[-1]} {text[begin:end]}")

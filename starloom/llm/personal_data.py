@@ -3,7 +3,8 @@ identifier cues, digit runs anchor addresses and card numbers, and small parsers
 to its borders and validate it.
 
 Kinds, in this order: email, ip, card and phone, the base; address (scheme://host...) and account
-(an identifier with a digit behind a cue word), which the method adds. Positions are code points,
+(an identifier with a digit behind a cue word in any case, or behind ``iban`` a number in blocks with
+the right check digits), which the method adds. Positions are code points,
 ends are exclusive. Every parser is linear in the text, whole texts are read.
 
 A null text counts as empty; an empty text has no spans. Each row gives one row, repeated ones
@@ -38,9 +39,16 @@ _HOST = re.compile(
 )
 _IDENTIFIER = re.compile(
     r"[ \t]{0,2}(?:number|no\.?|id)?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?"  # what stands behind a cue
-    r"([A-Za-z0-9_-]{6,64})(?![A-Za-z0-9_-])",
+    r"([A-Za-z0-9_-]{6,})",
     re.I,
 )
+#: A bank account of a country, in one run or in blocks.
+_GROUPED = re.compile(
+    r"[ \t]{0,2}(?:number|no\.?|id)?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?"
+    r"([A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]){11,30})(?![A-Za-z0-9])",
+    re.I,
+)
+_LOWER = {c: c + 32 for c in range(ord("A"), ord("Z") + 1)}
 
 Span = tuple[int, int]
 
@@ -53,8 +61,7 @@ def _anchors():
     for anchor in ("@", "+", "://"):
         automaton.add_word(anchor, anchor)
     for cue in CUES:
-        for form in (cue, cue.upper(), cue.capitalize()):
-            automaton.add_word(form, cue)
+        automaton.add_word(cue, cue)
     automaton.make_automaton()
     return automaton
 
@@ -94,9 +101,27 @@ def _address(text: str, at: int) -> Span | None:
     return (begin, end) if end > at + 3 else None
 
 
-def _account(text: str, cue_begin: int, cue_end: int) -> Span | None:
+def _iban(text: str) -> int:
+    """The length of the longest bank account number at the start of ``text`` that ends with a block
+    and has the right check digits, 0 if there is none."""
+    size = len(text)
+    while size:
+        digits = "".join(str(int(c, 36)) for c in (text[4:size] + text[:4]).replace(" ", ""))
+        if 15 <= len(text[:size].replace(" ", "")) <= 34 and int(digits) % 97 == 1:
+            return size
+        size = max(0, text.rfind(" ", 0, size))
+    return 0
+
+
+def _account(text: str, cue: str, cue_begin: int, cue_end: int) -> Span | None:
+    """What stands behind a cue: behind ``iban`` a number with the right check digits, in one run or in
+    blocks; else, behind any cue, one run of six characters or more with a digit."""
     if cue_begin and (text[cue_begin - 1].isalnum() or text[cue_begin - 1] == "_"):
         return None
+    if cue == "iban" and (found := _GROUPED.match(text, cue_end)) and found.start(1) > cue_end:
+        begin = found.start(1)
+        if size := _iban(found[1].upper()):
+            return begin, begin + size
     found = _IDENTIFIER.match(text, cue_end)
     if not found or found.start(1) == cue_end or not _DIGITS.search(found[1]):
         return None
@@ -146,7 +171,10 @@ def _by_digits(text: str) -> tuple[list[Span], list[Span]]:
 def spans_of(text: str) -> dict[str, list[Span]]:
     """The spans of each kind, from left to right."""
     found: dict[str, list[Span]] = {kind: [] for kind in KINDS}
-    for last, anchor in _anchors().iter(text):
+    lowered = text.lower()
+    if len(lowered) != len(text):
+        lowered = text.translate(_LOWER)
+    for last, anchor in _anchors().iter(lowered):
         if anchor == "@":
             kind = "email"
             span = _email(text, last, found[kind][-1][1] if found[kind] else 0)
@@ -157,7 +185,7 @@ def spans_of(text: str) -> dict[str, list[Span]]:
         elif anchor == "://":
             kind, span = "address", _address(text, last - 2)
         else:
-            kind, span = "account", _account(text, last - len(anchor) + 1, last + 1)
+            kind, span = "account", _account(text, anchor, last - len(anchor) + 1, last + 1)
         if span and (not found[kind] or span[0] >= found[kind][-1][1]):
             found[kind].append(span)
     found["ip"], found["card"] = _by_digits(text)

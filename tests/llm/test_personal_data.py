@@ -4,7 +4,7 @@ import hashlib
 import random
 import re
 
-from starloom.llm.personal_data import BASE, KINDS, luhn, personal_data, spans_of, written
+from starloom.llm.personal_data import BASE, CUES, KINDS, luhn, personal_data, spans_of, written
 
 # The patterns of the task, here read by the regular expression engine.
 EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
@@ -42,6 +42,62 @@ def test_added_kinds():
     assert found["email"] == by_pattern(text)["email"]
 
 
+def accounts(text):
+    return [text[b:e] for b, e in spans_of(text)["account"]]
+
+
+def test_accounts():
+    assert accounts("iban DE89 3704 0044 0532 0130 00 and more") == ["DE89 3704 0044 0532 0130 00"]
+    assert accounts("IBAN: de89370400440532013000.") == ["de89370400440532013000"]
+    assert accounts("Iban GB82 WEST 1234 5698 7654 32") == ["GB82 WEST 1234 5698 7654 32"]
+    assert accounts("iban DE88 3704 0044 0532 0130 00 and more") == []
+    # A wrong number in one run is an identifier behind a cue all the same.
+    assert accounts("iban DE88370400440532013000") == ["DE88370400440532013000"]
+    key = "a1" * 64
+    assert accounts(f"api_key={key} ApiKey=abc12345 SECRET: x{'9' * 5000}") == [key, "abc12345", "x" + "9" * 5000]
+    assert accounts("İİ token abc123") == ["abc123"]
+    assert accounts("mytoken abc123 token abcdef token abc12") == []
+
+
+def naive(text):
+    """The two added kinds, by patterns tried at every place."""
+    lowered = "".join(c.lower() if c.isascii() else c for c in text)
+    found = {"address": [], "account": []}
+    for at in range(len(text)):
+        for cue in CUES:
+            if lowered.startswith(cue, at) and not (at and (text[at - 1].isalnum() or text[at - 1] == "_")):
+                rest = re.match(r"[ \t]{0,2}(?:number|no\.?|id)?[ \t]{0,2}[:=#]?[ \t]{0,2}[\"']?([A-Za-z0-9_-]{6,})",
+                                text[at + len(cue):], re.I)
+                if rest and rest.start(1) and re.search("[0-9]", rest[1]):
+                    begin = at + len(cue) + rest.start(1)
+                    found["account"].append((begin, begin + len(rest[1])))
+        if text.startswith("://", at):
+            scheme = re.search(r"[A-Za-z][A-Za-z0-9+.-]*\Z", re.search(r"[A-Za-z0-9+.-]*\Z", text[:at])[0])
+            host = re.match(r"(?:[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)*|\[[0-9A-Fa-f:.]+\])(?::[0-9]{1,5})?"
+                            r"[^\s\"'<>()\[\]{}|\\^`]*", text[at + 3:])
+            if scheme and host and (end := host[0].rstrip(".,;:!?")):
+                found["address"].append((at - len(scheme[0]), at + 3 + len(end)))
+    out = {}
+    for kind, spans in found.items():
+        kept = []
+        for span in spans:
+            if not kept or span[0] >= kept[-1][1]:
+                kept.append(span)
+        out[kind] = kept
+    return out
+
+
+def test_added_kinds_against_a_naive_scan():
+    rng = random.Random(12)
+    bits = ["token", "Secret", "PASSWORD", "ssn", " ", "=", ": ", "no. ", "://", "http", "a.b", "1", "abc12", "\"", ")",
+            "x-9_", ".", "!", "é", "\n", "password1", "[::1]", ":80"]
+    for _ in range(6000):
+        text = "".join(rng.choices(bits, k=rng.randint(0, 14)))
+        spans, wanted = spans_of(text), naive(text)
+        assert spans["address"] == wanted["address"], text
+        assert spans["account"] == wanted["account"], text
+
+
 def test_linear_in_long_texts():
     for part in ("1", "a@", "+1 ", "1.", "é", "://", "a."):
         spans_of(part * 300_000)

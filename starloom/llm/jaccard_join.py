@@ -9,6 +9,7 @@ than t cannot be linked. Nobody writes out the pairs of a tile:
 
 1. In star rounds each node is compared with one leader, of another component, whom it meets in its
    tiles. That links most of a large group of near copies with as many comparisons as it has nodes.
+   Rounds go on while they settle a fair share of the tiles.
 2. Then only pairs of different components are left to compare; in a tile these are the nodes
    outside its largest component against the others. Tiles of one component need nothing.
 
@@ -28,7 +29,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import from_arrow_schema
 
@@ -37,9 +38,10 @@ from starloom.llm.common import query, stored, table, texts
 from starloom.llm.components import connected_components
 
 PERCENT = 80
-SKETCH_BITS = 22
+SKETCH_BITS = 24
 SKETCH_PARTS = 64
-STAR_ROUNDS = 3
+#: Star rounds go on while one settles at least this share of the rows in tiles, so many at most.
+WORTH, STAR_ROUNDS = 0.1, 8
 #: Rows up to which ids are broadcast; more are shuffled.
 BROADCAST_ROWS = 300_000
 
@@ -91,14 +93,15 @@ def _folded(bitmap: bytes, size: int) -> np.ndarray:
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """A row per text, and behind the last one the task's part of the sketch."""
-    counts, pending, size = np.zeros(1 << SKETCH_BITS, np.uint32), [], 0
+    # A task counts to 255 in each slot, which is common enough.
+    counts, pending, size = np.zeros(1 << SKETCH_BITS, np.uint8), [], 0
     any_set = False
 
     def flush() -> None:
         nonlocal pending, size
         if pending:
             slots, n = np.unique(np.concatenate(pending), return_counts=True)
-            counts[slots] += n.astype(np.uint32)
+            counts[slots] = np.minimum(counts[slots] + n, 255)
         pending, size = [], 0
 
     for batch in batches:
@@ -129,7 +132,7 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _levels(profiles: DataFrame) -> tuple[np.ndarray, int]:
-    """The load of each slot of the sketch on a logarithmic scale, a byte each (4 MB), and the
+    """The load of each slot of the sketch on a logarithmic scale, a byte each (16 MB), and the
     level up to which a slot is not crowded. Each part is summed up where its rows are, one row at a
     time."""
     total = profiles.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
@@ -138,7 +141,7 @@ def _levels(profiles: DataFrame) -> tuple[np.ndarray, int]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
             for row in batch.to_pylist():
-                values = np.frombuffer(zlib.decompress(row["counts"]), np.uint32)
+                values = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
                 if row["part"] in sums:
                     sums[row["part"]] += values
                 else:
@@ -321,81 +324,141 @@ def _merged(components: DataFrame, links: DataFrame) -> DataFrame:
     )
 
 
-def linked_nodes(docs: DataFrame, nodes: DataFrame, levels: np.ndarray, crowded: int) -> DataFrame:
-    """(node, component) of the nodes that meet another one; ``nodes`` has node, n, bitmap and a
-    doc_id of each."""
-    prefixes = _prefixes(docs, levels, crowded)
-    repeated = (
-        prefixes.groupBy("token").agg(F.count("*").alias("rows")).where("rows > 1").drop("rows")
+_TILES = pa.schema(
+    {
+        "token": pa.int64(),
+        "tile": pa.int32(),
+        "crowded": pa.bool_(),
+        "node": pa.int64(),
+        "n": pa.int32(),
+        "rare": pa.int32(),
+        "lead": pa.int64(),
+        "lead_n": pa.int32(),
+        "lead_rare": pa.int32(),
+    }
+)
+
+
+def _tiles(prefixes: DataFrame) -> DataFrame:
+    """The different rows of ``prefixes`` whose token has two nodes at least, with their tile, a band
+    of sizes, and the leader of token and tile: the node with the fewest rare shingles.
+
+    Rows are shuffled once and sorted, so that a tile's nodes follow their leader; a task has one row
+    in hand, however many a token has.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, before, leader = None, None, None  # the last row, the token before it, its leader
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            if held is not None:
+                batch = pa.Table.from_batches([held, batch]).combine_chunks().to_batches()[0]
+            token, node = (batch.column(name).to_numpy() for name in ("token", "node"))
+            fresh = np.r_[True, (token[1:] != token[:-1]) | (node[1:] != node[:-1])]
+            batch = batch.filter(pa.array(fresh))
+            token, tile, node, n, rare = (
+                batch.column(name).to_numpy() for name in ("token", "tile", "node", "n", "rare")
+            )
+            beside = np.r_[token[1:] == token[:-1], False]
+            beside[1:] |= beside[:-1].copy()
+            beside[0] |= before is not None and token[0] == before
+            begins = np.r_[0, 1 + np.flatnonzero((token[1:] != token[:-1]) | (tile[1:] != tile[:-1]))]
+            first = np.repeat(begins, np.diff(begins, append=len(token)))
+            leads = [values[first] for values in (node, n, rare)]
+            if leader is not None:
+                # The first tile goes on from the batch before.
+                for values, value in zip(leads, leader):
+                    values[first == 0] = value
+            leader = [values[-1] for values in leads]
+            rows = pa.RecordBatch.from_arrays(
+                [batch.column(name) for name in _TILES.names[:6]] + [pa.array(v) for v in leads],
+                schema=_TILES,
+            )
+            held = batch.slice(batch.num_rows - 1)
+            if len(token) > 1:
+                before = token[-2]
+                yield rows.slice(0, len(token) - 1).filter(pa.array(beside[:-1]))
+        if held is not None and before is not None and held.column("token")[0].as_py() == before:
+            columns = [held.column(name) for name in _TILES.names[:6]]
+            columns += [pa.array([value], f.type) for value, f in zip(leader, list(_TILES)[6:])]
+            yield pa.RecordBatch.from_arrays(columns, schema=_TILES)
+
+    return (
+        prefixes.withColumn("tile", F.expr(_band()))
+        .repartition("token")
+        .sortWithinPartitions("token", "tile", "rare", "node")
+        .mapInArrow(run, from_arrow_schema(_TILES))
     )
-    members = stored(prefixes.join(repeated, "token").distinct(), "tiles")
-    mixed = stored(
-        members.groupBy("token")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"))
+
+
+def _to_leaders(members: DataFrame) -> DataFrame:
+    """(a, b): of the leaders of its tiles, each node with the one with whom it shares most shingles."""
+    return (
+        members.where(f"component != lead_component AND {_possible('', 'lead_')}")
+        .select(F.col("node").alias("a"), F.col("lead").alias("b"))
+        .repartition("a")
+        .groupBy("a", "b")
+        .agg(F.count("*").alias("shared"))
+        .groupBy("a")
+        .agg(F.max(F.struct("shared", "b")).alias("best"))
+        .select("a", "best.b")
+    )
+
+
+def _open(members: DataFrame, components: DataFrame, turn: int) -> DataFrame:
+    """``members`` with their components as they are now, new leaders, and without the shingles whose
+    nodes are of one component: these need no further look."""
+    in_token = Window.partitionBy("token")
+    in_tile = Window.partitionBy("token", "tile").orderBy(F.xxhash64("node", F.lit(turn)), "node")
+    return (
+        members.select("token", "tile", "crowded", "node", "n", "rare")
+        .join(components, "node")
+        .repartition("token")
+        .withColumn("low", F.min("component").over(in_token))
+        .withColumn("high", F.max("component").over(in_token))
         .where("low < high")
-        .select("token"),
-        "mixed-tokens",
+        .drop("low", "high")
+        .withColumns(
+            {
+                f"lead{name}": F.first(of).over(in_tile)
+                for name, of in (("", "node"), ("_n", "n"), ("_rare", "rare"), ("_component", "component"))
+            }
+        )
     )
-    members = stored(members.join(mixed, "token"), "tiles")
+
+
+def linked_nodes(docs: DataFrame, nodes: DataFrame, levels: np.ndarray, crowded: int) -> DataFrame:
+    """(node, component) of the nodes that meet another one; ``nodes`` has node, n, bitmap and a
+    doc_id of each."""
+    members = stored(_tiles(_prefixes(docs, levels, crowded)), "tiles")
     met = stored(members.select("node").distinct(), "met")
     nodes = stored(nodes.join(met, "node", "left_semi"), "met-nodes")
     components = met.withColumn("component", F.col("node"))
 
-    members = members.withColumn("tile", F.expr(_band()))
+    size = members.count()
+    members = members.withColumns({"component": F.col("node"), "lead_component": F.col("lead")})
     for turn in range(STAR_ROUNDS):
-        own = members.join(components, "node")
-        # The first leaders are those with the fewest shingles of their own.
-        rank = F.col("rare").cast("bigint") if turn == 0 else F.xxhash64("node", F.lit(turn))
-        leaders = (
-            own.groupBy("token", "tile")
-            .agg(
-                F.min(F.struct(rank.alias("rank"), "node", "n", "rare", "component")).alias("leader"),
-                F.min("component").alias("low"),
-                F.max("component").alias("high"),
-            )
-            .where("low < high")
-            .select("token", "tile", "leader")
-        )
-        # Of the leaders of its tiles a node takes the one with whom it shares most shingles.
-        pairs = (
-            own.join(leaders, ["token", "tile"])
-            .where(f"component != leader.component AND {_possible('', 'leader.')}")
-            .groupBy(F.col("node").alias("a"), F.col("leader.node").alias("b"))
-            .agg(F.count("*").alias("shared"))
-            .groupBy("a")
-            .agg(F.max(F.struct("shared", "b")).alias("best"))
-            .select("a", "best.b")
-        )
-        links = _links(docs, pairs, nodes)
+        links = _links(docs, _to_leaders(members), nodes)
         if links.isEmpty():
             break
         components = _merged(components, links)
-        # Shingles whose nodes are of one component by now need no further look.
-        own = members.join(components, "node")
-        still_mixed = (
-            own.groupBy("token")
-            .agg(F.min("component").alias("low"), F.max("component").alias("high"))
-            .where("low < high")
-            .select("token")
-        )
-        members = stored(members.join(still_mixed, "token"), "tiles")
+        members = stored(_open(members, components, turn + 1), "tiles")
+        before, size = size, members.count()
+        if size > (1 - WORTH) * before:
+            break
 
     # All that is left: pairs of different components, with one of them outside the largest of their
     # shingle.
-    own = members.join(components, "node")
-    largest = (
-        own.groupBy("token", "component")
-        .agg(F.count("*").alias("rows"))
-        .groupBy("token")
-        .agg(
-            F.max(F.struct("rows", "component")).alias("most"),
-            F.min("component").alias("low"),
-            F.max("component").alias("high"),
-        )
-        .where("low < high")
-        .select("token", F.col("most.component").alias("main"))
+    in_token = Window.partitionBy("token")
+    open_rows = stored(
+        members.select("token", "tile", "crowded", "node", "n", "rare", "component")
+        .repartition("token")
+        .withColumn("rows", F.count("*").over(Window.partitionBy("token", "component")))
+        .withColumn("main", F.max(F.struct("rows", "component")).over(in_token)["component"])
+        .drop("rows"),
+        "open-rows",
     )
-    open_rows = stored(own.join(largest, "token"), "open-rows")
     outside = open_rows.where("component != main").select(
         "token",
         F.explode(F.expr("array(tile - 1, tile, tile + 1)")).alias("tile"),

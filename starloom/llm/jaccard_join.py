@@ -40,6 +40,7 @@ from starloom.llm.components import connected_components
 PERCENT = 80
 SKETCH_BITS = 24
 SKETCH_PARTS = 64
+_SHIFTS = np.array([0, 2, 4, 6], np.uint8)
 #: Star rounds go on while one settles at least this share of the rows in tiles, so many at most.
 WORTH, STAR_ROUNDS = 0.1, 8
 #: Rows up to which ids are broadcast; more are shuffled.
@@ -51,8 +52,6 @@ _PROFILES = pa.schema(
         "node": pa.int64(),
         "n": pa.int64(),
         "bitmap": pa.binary(),
-        "part": pa.int32(),
-        "counts": pa.binary(),
     }
 )
 _PREFIXES = pa.schema(
@@ -92,8 +91,21 @@ def _folded(bitmap: bytes, size: int) -> np.ndarray:
 
 
 def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """A row per text, and behind the last one the task's part of the sketch."""
-    # A task counts to 255 in each slot, which is common enough.
+    """A row per text."""
+    for batch in batches:
+        nodes, sizes, bitmaps = [], [], []
+        for members in hashing.shingle_sets(batch.column("text")):
+            sizes.append(len(members))
+            nodes.append(int(_node(members)) if len(members) else None)
+            bitmaps.append(_bitmap(members) if len(members) else None)
+        columns = [batch.column("doc_id"), nodes, sizes, bitmaps]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(c, f.type) for c, f in zip(columns, _PROFILES)], schema=_PROFILES
+        )
+
+
+def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A task's counts of shingles by slot, up to 3, four to a byte, in parts."""
     counts, pending, size = np.zeros(1 << SKETCH_BITS, np.uint8), [], 0
     any_set = False
 
@@ -101,37 +113,30 @@ def _profiles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         nonlocal pending, size
         if pending:
             slots, n = np.unique(np.concatenate(pending), return_counts=True)
-            counts[slots] = np.minimum(counts[slots] + n, 255)
+            counts[slots] = np.minimum(counts[slots] + n, 3)
         pending, size = [], 0
 
     for batch in batches:
-        nodes, sizes, bitmaps = [], [], []
         for members in hashing.shingle_sets(batch.column("text")):
-            sizes.append(len(members))
             if len(members):
                 any_set = True
                 pending.append(_slot(members))
                 size += len(members)
                 if size > 1_000_000:
                     flush()
-                nodes.append(int(_node(members)))
-                bitmaps.append(_bitmap(members))
-            else:
-                nodes.append(None)
-                bitmaps.append(None)
-        empty = [None] * len(sizes)
-        columns = [batch.column("doc_id"), nodes, sizes, bitmaps, empty, empty]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(c, f.type) for c, f in zip(columns, _PROFILES)], schema=_PROFILES
-        )
     flush()
     if any_set:
         for part, values in enumerate(np.split(counts, SKETCH_PARTS)):
-            row = {"part": part, "counts": zlib.compress(values.tobytes(), 1)}
-            yield pa.RecordBatch.from_pylist([row], schema=_PROFILES)
+            packed = np.bitwise_or.reduce(values.reshape(-1, 4) << _SHIFTS, axis=1)
+            yield pa.RecordBatch.from_pydict(
+                {
+                    "part": pa.array([part], pa.int32()),
+                    "counts": pa.array([zlib.compress(packed.tobytes(), 1)], pa.binary()),
+                }
+            )
 
 
-def _levels(profiles: DataFrame) -> tuple[np.ndarray, int]:
+def _levels(docs: DataFrame, profiles: DataFrame) -> tuple[np.ndarray, int]:
     """The load of each slot of the sketch on a logarithmic scale, a byte each (16 MB), and the
     level up to which a slot is not crowded. Each part is summed up where its rows are, one row at a
     time."""
@@ -140,12 +145,12 @@ def _levels(profiles: DataFrame) -> tuple[np.ndarray, int]:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
         for batch in batches:
-            for row in batch.to_pylist():
-                values = np.frombuffer(zlib.decompress(row["counts"]), np.uint8)
-                if row["part"] in sums:
-                    sums[row["part"]] += values
-                else:
-                    sums[row["part"]] = values.astype(np.int64)
+            for part, counts in zip(batch.column("part").to_pylist(), batch.column("counts")):
+                packed = np.frombuffer(zlib.decompress(counts.as_py()), np.uint8)
+                values = ((packed[:, None] >> _SHIFTS) & 3).reshape(-1)
+                if part not in sums:
+                    sums[part] = np.zeros(len(values), np.int64)
+                sums[part] += values
         yield pa.RecordBatch.from_pydict(
             {
                 "part": pa.array(list(sums), pa.int32()),
@@ -154,8 +159,8 @@ def _levels(profiles: DataFrame) -> tuple[np.ndarray, int]:
         )
 
     parts = (
-        profiles.where("part is not null")
-        .select("part", "counts")
+        texts(docs)
+        .mapInArrow(_sketch, "part int, counts binary")
         .repartition(SKETCH_PARTS, "part")
         .mapInArrow(run, "part int, levels binary")
         .collect()
@@ -480,9 +485,8 @@ def linked_nodes(docs: DataFrame, nodes: DataFrame, levels: np.ndarray, crowded:
 def jaccard_groups(docs: DataFrame) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles and component_id."""
     profiles = stored(texts(docs).mapInArrow(_profiles, from_arrow_schema(_PROFILES)), "profiles")
-    rows = profiles.where("part is null").select("doc_id", "node", "n", "bitmap")
     nodes = stored(
-        rows.where("node is not null")
+        profiles.where("node is not null")
         .groupBy("node")
         .agg(
             F.min("doc_id").alias("doc_id"),
@@ -491,17 +495,17 @@ def jaccard_groups(docs: DataFrame) -> DataFrame:
         ),
         "nodes",
     )
-    components = linked_nodes(docs, nodes, *_levels(profiles))
+    components = linked_nodes(docs, nodes, *_levels(docs, profiles))
     placed = nodes.select("node", "doc_id").join(components, "node", "left").select(
         "node", F.col("doc_id").alias("first_id"), F.coalesce("component", "node").alias("component")
     )
     named = placed.join(
         placed.groupBy("component").agg(F.min("first_id").alias("component_id")), "component"
     ).select("node", "component_id")
-    filled = rows.where("node is not null").join(named, "node").select(
+    filled = profiles.where("node is not null").join(named, "node").select(
         "doc_id", F.col("n").alias("n_shingles"), "component_id"
     )
-    empty = rows.where("node is null").select(
+    empty = profiles.where("node is null").select(
         "doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id")
     )
     return filled.unionByName(empty)

@@ -6,7 +6,14 @@ from collections import defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from starloom.llm.exact_dedup import build_index, directory, drop_exact_duplicates, exact_duplicates
+from starloom.llm import exact_dedup
+from starloom.llm.exact_dedup import (
+    build_index,
+    depths,
+    directory,
+    drop_exact_duplicates,
+    exact_duplicates,
+)
 
 
 def expected(rows):
@@ -25,7 +32,8 @@ def expected(rows):
 COLLIDING = {
     "as it is": {},
     "one key": {"key": lambda t: F.lit(5).cast("bigint")},
-    "one digest": {"key": lambda t: F.length(t).cast("bigint"), "digest": lambda t: F.lit("x")},
+    "one key per length": {"key": lambda t: F.length(t).cast("bigint")},
+    "one slot": {"key": lambda t: F.xxhash64(t).bitwiseAND(255)},
 }
 
 
@@ -66,3 +74,37 @@ def test_different_texts_of_one_key_are_chained(documents):
     index = build_index(docs, key=lambda t: F.lit(1).cast("bigint")).collect()
     assert sorted(r.chain for r in index) == [0, 1, 2, 3]
     assert all(r.group_size == 5 for r in index)
+
+
+def test_depth_grows_with_the_keys():
+    assert depths(0, 4096) == (0, 6)
+    assert depths(4096, 4096) == (0, 6)
+    assert depths(4097, 4096) == (1, 7)
+    assert depths(10**10, 4096) == (22, 28)
+
+
+def test_rows_find_their_entries_through_the_directory(documents, monkeypatch, collected):
+    rows = [(i, f"text {i % 70}") for i in range(200)]
+    docs = documents(rows)
+    index = build_index(docs, capacity=8)
+    assert index.select("bucket").distinct().count() >= 9
+    assert index.groupBy("bucket").count().agg(F.max("count")).first()[0] <= 8
+    assert collected(exact_duplicates(docs, capacity=8)) == expected(rows)
+    built = exact_dedup._built
+
+    def lost(*given):
+        slots, most, entries = built(*given)
+        return slots.where("slot % 2 = 0"), most, entries
+
+    monkeypatch.setattr(exact_dedup, "_built", lost)
+    left = collected(exact_duplicates(docs, capacity=8))
+    assert 0 < len(left) < len(rows) and set(left) < set(expected(rows))
+
+
+def test_one_id_with_two_texts(documents, collected):
+    # 5 keeps "one", but its "two" loses to 9.
+    rows = [(5, "one"), (5, "two"), (9, "two"), (3, "one"), (None, "one"), (None, None), (None, "")]
+    kept = drop_exact_duplicates(documents(rows))
+    assert collected(kept, "doc_id", "text") == sorted(
+        [(5, "one"), (9, "two"), (None, None), (None, "")], key=repr
+    )

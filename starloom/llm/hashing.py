@@ -108,8 +108,9 @@ def chunks(
     """For each text the starts, ends and digests of its content-defined chunks.
 
     A gear hash rolls over the last 32 bytes. A byte whose hash is in the lowest of ``rate`` equal
-    parts ends a chunk, unless one of the ``least`` - 1 bytes before it has such a hash too; so a
-    border depends on the 32 + ``least`` bytes before it and on nothing else.
+    parts ends a chunk, unless one of the ``least`` - 1 bytes before it has such a hash too. A border
+    inside a character moves behind it. So a border depends on the 32 + ``least`` bytes before it and
+    the rest of a character, and on nothing else.
     """
     gear = (_BYTES >> np.uint64(16)).astype(np.uint32)
     limit = np.uint32(2**32 // rate)
@@ -127,6 +128,9 @@ def chunks(
             marks = marks[np.diff(marks, prepend=-least) >= least]
             starts = np.concatenate([[0], marks + 1]) if len(piece) else np.zeros(0, np.int64)
             starts = starts[starts < len(piece)]
+            for _ in range(3):
+                starts = starts + ((piece[starts] & 0xC0) == 0x80)
+                starts = starts[starts < len(piece)]
             ends = np.concatenate([starts[1:], [len(piece)]]) if len(piece) else starts
             digests = mixed(run_hashes(piece, starts, _BYTES) + (ends - starts).astype(np.uint64))
             yield starts, ends, digests

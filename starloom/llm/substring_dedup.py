@@ -1,16 +1,17 @@
 """Repeated passages by content-defined chunking.
 
 Texts are cut where a rolling gear hash says so, so an insertion moves only the borders beside it
-and equal passages are cut alike wherever they stand. Chunks with a digest that occurs in several
-documents are repeated, and in the query those at several places of one document too; consecutive ones form a run, and runs of at least ``min_bytes`` are
-reported, cut into spans where chunks to drop meet chunks to keep. A chunk is dropped where an
+and equal passages are cut alike wherever they stand. Borders are places in the UTF-8 bytes, never
+inside a character. Chunks with a digest that occurs in several documents are repeated, and in the
+query those at several places of one document too; consecutive ones form a run, and runs of at
+least ``min_bytes`` are reported, cut into spans where chunks to drop meet chunks to keep. A chunk is dropped where an
 earlier place has it, whatever stands beside it, so each chunk stays at its first place. The chunks
 of a passage leave out what lies before its first and after its last border,
 about 40 bytes together: 150 bytes find a passage of 50 words practically always, and single lines
 of a dozen words never.
 
 Digests are counted by partial sums and joined back; one that a third of all documents have is
-one row of the counts. Nothing is grouped into lists.
+one row of the counts. Only the spans to cut from one document are grouped into a list.
 
 Null and empty texts have no chunks. Rows without a doc_id cannot be reported and are left out. Rows
 that repeat a doc_id count as one document. An empty table gives no rows.
@@ -136,7 +137,7 @@ def without_repeats(docs: DataFrame, min_bytes: int = 150, within: bool = False)
                 for span in gone or ():
                     kept.append(whole[at : span["start"]])
                     at = max(at, span["end"])
-                cut.append(b"".join([*kept, whole[at:]]).decode("utf-8", "ignore"))
+                cut.append(b"".join([*kept, whole[at:]]).decode())
             yield pa.RecordBatch.from_pydict(
                 {"doc_id": batch.column("doc_id"), "text": pa.array(cut, pa.string())}
             )

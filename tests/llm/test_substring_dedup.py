@@ -23,6 +23,7 @@ def test_chunks_cover_the_text_and_resist_shifts():
     for text, (starts, ends, _) in zip(texts, found):
         data = text.encode()
         assert b"".join(data[a:b] for a, b in zip(starts, ends)) == data
+        assert "".join(data[a:b].decode() for a, b in zip(starts, ends)) == text
     first, second = set(found[0][2].tolist()), set(found[1][2].tolist())
     assert len(first & second) >= len(first) - 4
     assert len(first & set(found[5][2].tolist())) >= len(first) - 4
@@ -111,3 +112,77 @@ def test_query_counts_places(spark, documents, tmp_path):
     documents([(1, f"{passage} {prose(rng, 30)} {passage}")]).write.parquet(f"{tmp_path}/documents.parquet")
     got = QUERIES["op6_substring_dedup"](spark, str(tmp_path)).collect()
     assert sorted((r.doc_id, r.keep) for r in got) == [(1, False), (1, True)]
+
+
+def naive_chunks(data, rate=10, least=10):
+    """The chunks of a text, byte by byte."""
+    gear = [int(x) >> 16 & 0xFFFFFFFF for x in hashing._BYTES]
+    rolled, last, starts = 0, -least, [0]
+    for i, byte in enumerate(data):
+        rolled = ((rolled << 1) + gear[byte]) & 0xFFFFFFFF
+        if rolled < 2**32 // rate:
+            if i - last >= least:
+                start = i + 1
+                while start < len(data) and data[start] & 0xC0 == 0x80:
+                    start += 1
+                if start < len(data):
+                    starts.append(start)
+            last = i
+    return list(zip(starts, [*starts[1:], len(data)]))
+
+
+def naive_spans(rows, min_bytes):
+    """(doc_id, start, end, first_doc_id, keep) as ``repeated_spans`` with ``within``, by comparing
+    the chunks themselves."""
+    chunked = {doc: [(a, b, text.encode()[a:b]) for a, b in naive_chunks(text.encode())] for doc, text in rows}
+    places = {}
+    for doc in sorted(chunked):
+        for a, b, chunk in chunked[doc]:
+            places.setdefault(chunk, []).append((doc, a))
+    out = []
+    for doc, found in chunked.items():
+        run = []
+        for a, b, chunk in [*found, (None, None, None)]:
+            if chunk is not None and len(places[chunk]) > 1:
+                first = min(places[chunk])
+                run.append((a, b, first[0], first == (doc, a)))
+                continue
+            cut = []
+            for a, b, first, keep in run:
+                if cut and cut[-1][3] == keep:
+                    cut[-1] = (cut[-1][0], b, min(cut[-1][2], first), keep)
+                else:
+                    cut.append((a, b, first, keep))
+            for keep in (True, False):
+                size = sum(b - a for a, b, _, k in cut if k) if keep else run[-1][1] - run[0][0] if run else 0
+                out += [(doc, *span) for span in cut if span[3] == keep and size >= min_bytes]
+            run = []
+    return sorted(out)
+
+
+def test_spans_against_comparing_all_chunks(documents):
+    rng = random.Random(10)
+    passages = [
+        "".join(rng.choices("日本語の文章éü😀 ", k=rng.randint(60, 200))) if p % 2 else prose(rng, 50)
+        for p in range(8)
+    ]
+    rows = []
+    for doc in range(60):
+        parts = [prose(rng, rng.randint(0, 40))]
+        for _ in range(rng.randint(0, 3)):
+            parts += [rng.choice(passages), "".join(rng.choices("é日 😀", k=rng.randint(0, 30)))]
+        rows.append((doc, " ".join(parts)))
+    got = repeated_spans(documents(rows), min_bytes=60, within=True).collect()
+    spans = sorted((r.doc_id, r.start, r.end, r.first_doc_id, r.keep) for r in got)
+    assert spans == naive_spans(rows, 60)
+    data = dict((doc, text.encode()) for doc, text in rows)
+    for doc, start, end, _, _ in spans:
+        data[doc][start:end].decode()  # fails if a border is inside a character
+    gone = {doc: [s for s in spans if s[0] == doc and not s[4]] for doc in data}
+    left = {r.doc_id: r.text for r in without_repeats(documents(rows), 60, within=True).collect()}
+    for doc in data:
+        kept, at = [], 0
+        for _, start, end, _, _ in gone[doc]:
+            kept.append(data[doc][at:start])
+            at = end
+        assert left[doc] == b"".join([*kept, data[doc][at:]]).decode()

@@ -7,7 +7,8 @@ pattern should be used to reproduce the histogram; the counts are rounded down t
 that the histogram can serve, and what is left is packed best fit, longest first, as counts of
 lengths as well. The work on the driver depends on the number of different lengths only, never on
 the number of documents. Pieces get their places by their rank among the pieces of their length;
-ranks are counted in blocks, so that a length that a third of all pieces have stays spread out.
+ranks are counted in blocks of about ``BLOCK_ROWS`` pieces, as many as a length needs, so a length that
+a third of all pieces have is spread over tasks in proportion.
 
 Null and empty texts are documents of the end id alone. A repeated row is packed again. A null
 doc_id stays null. An empty table gives no rows.
@@ -29,7 +30,7 @@ from pyspark.sql.types import LongType, StructField, StructType
 from starloom.llm.coding import UNUSUAL, WordCache, tokenizer
 from starloom.llm.common import query, stored, table, texts
 
-BLOCKS = 64
+BLOCK_ROWS = 4096
 Pattern = tuple[tuple[int, ...], int]
 
 
@@ -233,32 +234,47 @@ def places(plan: list[Pattern]) -> dict[str, np.ndarray]:
     return dict(zip(("key", "times", "base", "offset"), columns))
 
 
+def ranked(pieces: DataFrame, sizes: DataFrame) -> DataFrame:
+    """``pieces`` and their ``rank``, from 0, among those of their length. ``sizes`` has the number
+    of pieces ``n`` of each length."""
+    blocks = sizes.select("length", F.ceil(F.col("n") / BLOCK_ROWS).alias("blocks"))
+    dealt = (
+        pieces.join(F.broadcast(blocks), "length")  # a row per length
+        .withColumn("block", F.expr("pmod(xxhash64(doc_id, piece), blocks)"))
+        .drop("blocks")
+    )
+    earlier = Window.partitionBy("length").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    before = (
+        dealt.groupBy("length", "block")
+        .agg(F.count("*").alias("n"))
+        .select("length", "block", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before"))
+    )
+    order = Window.partitionBy("length", "block").orderBy("doc_id", "piece")
+    return (
+        dealt.withColumn("number", F.row_number().over(order))
+        .join(before, ["length", "block"])
+        .select(*pieces.columns, (F.col("before") + F.col("number") - 1).alias("rank"))
+    )
+
+
 def placed(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
     """``pieces`` (with doc_id, piece, length and whatever else) and their sequence_id and offset.
 
     ``pieces`` is read three times, so it should be stored.
     """
-    ranked = pieces.withColumn("block", F.expr(f"cast(pmod(xxhash64(doc_id, piece), {BLOCKS}) as int)"))
-    # At most capacity * BLOCKS rows, whatever the table.
-    sizes = ranked.groupBy("length", "block").agg(F.count("*").alias("n"))
-    collected = sizes.toPandas()
+    sizes = stored(pieces.groupBy("length").agg(F.count("*").alias("n")), "lengths")
+    collected = sizes.toPandas()  # at most ``capacity`` rows, whatever the table
     counts = np.bincount(
         collected["length"], collected["n"].to_numpy(float), capacity + 1
     ).astype(np.int64)
     lookup = places(packing_plan(counts))
-    before = np.zeros((capacity + 1, BLOCKS + 1), np.int64)
-    before[collected["length"].to_numpy(int), collected["block"].to_numpy(int) + 1] = collected["n"]
-    before = before.cumsum(axis=1)[:, :-1]
 
     names = pieces.columns
-    order = Window.partitionBy("length", "block").orderBy("doc_id", "piece")
-    numbered = ranked.withColumn("number", F.row_number().over(order))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             length = batch.column("length").to_numpy()
-            block, number = batch.column("block").to_numpy(), batch.column("number").to_numpy()
-            rank = before[length, block] + number - 1
+            rank = batch.column("rank").to_numpy()
             at = np.searchsorted(lookup["key"], (length << 48) + rank, "right") - 1
             inside = rank - (lookup["key"][at] & ((1 << 48) - 1))
             times = lookup["times"][at]
@@ -273,7 +289,7 @@ def placed(pieces: DataFrame, capacity: int = 4096) -> DataFrame:
             )
 
     more = [StructField(name, LongType()) for name in ("sequence_id", "offset")]
-    return numbered.mapInArrow(run, StructType([*pieces.schema.fields, *more]))
+    return ranked(pieces, sizes).mapInArrow(run, StructType([*pieces.schema.fields, *more]))
 
 
 def packed_documents(docs: DataFrame, path: str, capacity: int = 4096, end_id: int = 1) -> DataFrame:

@@ -8,7 +8,15 @@ import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
-from starloom.llm.packing import best_fit, packed_documents, packing_digests, packing_plan, places
+from starloom.llm import packing
+from starloom.llm.packing import (
+    best_fit,
+    packed_documents,
+    packing_digests,
+    packing_plan,
+    places,
+    ranked,
+)
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 
@@ -80,3 +88,18 @@ def test_digests(documents):
 
 def test_no_rows(documents):
     assert packing_digests(documents([]), PATH).collect() == []
+
+
+def test_ranks_of_a_hot_length_are_counted_in_many_blocks(spark, monkeypatch):
+    monkeypatch.setattr(packing, "BLOCK_ROWS", 10)
+    pieces = spark.range(3000).selectExpr("id AS doc_id", "0 AS piece", "if(id % 3 = 0, 7L, id % 50 + 100) AS length")
+    sizes = pieces.groupBy("length").count().withColumnRenamed("count", "n")
+    numbered = ranked(pieces, sizes)
+    ranks = {}
+    for r in numbered.collect():
+        ranks.setdefault(r.length, []).append(r.rank)
+    assert len(ranks) == 51 and len(ranks[7]) == 1000
+    assert all(sorted(found) == list(range(len(found))) for found in ranks.values())
+    # The hot length is not in order of its ids as a whole, but within each of some 100 blocks.
+    hot = [r.doc_id for r in numbered.where("length = 7").orderBy("rank").collect()]
+    assert 80 <= sum(a > b for a, b in zip(hot, hot[1:])) + 1 <= 100

@@ -22,13 +22,15 @@ from starloom.llm.common import query, stored, table, texts
 #: No spacing against short items, and spacings that step over every fifth and every third word.
 #: A mask begins with two ones.
 MASKS = ("11111", "1111011", "1101101011")
-#: Rows up to which a side is broadcast; larger ones are shuffled.
-BROADCAST_ROWS = 500_000
+#: Bytes up to which a side is broadcast; larger ones are shuffled.
+BROADCAST_BYTES = 32 << 20
 
 
-def _checked_broadcast(df: DataFrame) -> DataFrame:
-    """``df``, which must be stored, marked for broadcasting if it has few rows."""
-    return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
+def _checked_broadcast(df: DataFrame, row_bytes: str = "64") -> DataFrame:
+    """``df``, which must be stored or cheap, marked for broadcasting if its rows, each of ``row_bytes`` in
+    memory, are small together. Seeds and candidates have rows of a few numbers."""
+    size = df.agg(F.expr(f"coalesce(sum(cast({row_bytes} as bigint)), 0)")).first()[0]
+    return F.broadcast(df) if size <= BROADCAST_BYTES else df
 
 
 def words(text: Column) -> Column:
@@ -120,15 +122,17 @@ def leaks(
         .distinct(),
         "leak-candidates",
     )
-    own_words = texts(docs)
-    small = _checked_broadcast(candidates)
     item_words = stored(items.withColumn("item", words(F.col("text"))).drop("text"), "items")
+    in_memory = "aggregate(item, 64L, (a, w) -> a + octet_length(w) + 24)"
+    hit = _checked_broadcast(candidates.select(F.col("hit_id").alias("known_id")).distinct())
     compared = (
-        own_words.join(small, F.col("doc_id").eqNullSafe(F.col("hit_id")))
-        .withColumn("words", words(F.col("text")))
-        .drop("text")
+        texts(docs)
+        .join(hit, F.col("doc_id").eqNullSafe(F.col("known_id")), "left_semi")
+        # Here, so that a text is cut into words once and not for each of its candidates.
+        .select("doc_id", words(F.col("text")).alias("words"))
+        .join(_checked_broadcast(candidates), F.col("doc_id").eqNullSafe(F.col("hit_id")))
         .join(
-            _checked_broadcast(item_words).withColumnRenamed("item_id", "own_id"),
+            _checked_broadcast(item_words, in_memory).withColumnRenamed("item_id", "own_id"),
             F.col("item_id").eqNullSafe(F.col("own_id")),
         )
         .withColumn(

@@ -1,9 +1,11 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 
+from starloom.llm import decontaminate
 from starloom.llm.decontaminate import MASKS, drop_leaks, leaks, seeds
 
 WORDS = [f"{a}{b}" for a in "ba be bi bo bu da de di do du".split() for b in "n m l r s t".split()]
@@ -78,3 +80,62 @@ def test_odd_inputs(spark, odd, documents):
     assert leaks(odd, benchmark(spark, [])).collect() == []
     assert leaks(documents([]), benchmark(spark, items)).collect() == []
     assert leaks(odd, benchmark(spark, [(9, "word1 and1 word2 and2 word3 and3")])).count() == 3
+
+
+def naive_leaks(rows, items, threshold=0.8, min_words=13):
+    """All diagonals on which a mask fits, word by word."""
+    out = []
+    for doc, text in rows:
+        for item, passage in items:
+            have, want = (re.findall(r"[^\W_]+", t.lower()) for t in (text, passage))
+            diagonals = set()
+            for mask in MASKS:
+                ones = [k for k, bit in enumerate(mask) if bit == "1"]
+                places = {}
+                for j in range(len(want) - len(mask) + 1):
+                    places.setdefault(tuple(want[j + k] for k in ones), []).append(j)
+                for i in range(len(have) - len(mask) + 1):
+                    diagonals |= {i - j for j in places.get(tuple(have[i + k] for k in ones), [])}
+            matched = stretch = 0
+            for d in diagonals:
+                same = [have[j + d] == want[j] for j in range(len(want)) if 0 <= j + d < len(have)]
+                matched = max(matched, sum(same))
+                top, found = 0, 0
+                for end in range(len(same)):
+                    score, best, matches = 0, 0, 0
+                    for start in range(end, -1, -1):
+                        score += 1 if same[start] else -3
+                        matches += same[start]
+                        if score > best:
+                            best, here = score, matches
+                    if best > top:
+                        top, found = best, here
+                stretch = max(stretch, found)
+            if want and (matched / len(want) >= threshold or stretch >= min_words):
+                out.append((doc, item, matched, len(want), stretch))
+    return sorted(out)
+
+
+@pytest.mark.parametrize("limit", [32 << 20, 0])
+def test_against_comparing_all_diagonals(spark, documents, limit, monkeypatch):
+    monkeypatch.setattr(decontaminate, "BROADCAST_BYTES", limit)
+    rng = random.Random(11)
+    items = [(i, " ".join(rng.choices(WORDS, k=rng.randint(4, 30)))) for i in range(8)]
+    long = rng.choices(WORDS, k=1500)
+    items.append((8, " ".join(long)))
+    rows = []
+    for i in range(40):
+        words = rng.choices(WORDS, k=rng.randint(0, 40))
+        source = rng.choice([text.split() for _, text in items])
+        begin = rng.randrange(max(1, len(source) - 40))
+        passage = list(source[begin : begin + rng.randint(5, 60)])
+        for at in rng.sample(range(len(passage)), len(passage) // rng.choice([4, 6, 9, 50])):
+            passage[at] = "other"
+        at = rng.randint(0, len(words))
+        rows.append((i, " ".join([*words[:at], *passage, *words[at:]])))
+    rows.append((40, " ".join([*long, *long])))  # many hits on one text
+    got = leaks(documents(rows), benchmark(spark, items)).collect()
+    found = sorted((r.doc_id, r.item_id, r.matched, r.item_words, r.stretch) for r in got)
+    # The long text against the long item is compared by what must come out of it.
+    assert [r for r in found if r[0] == 40 and r[1] == 8] == [(40, 8, 1500, 1500, 1500)]
+    assert [r for r in found if r[0] != 40] == naive_leaks(rows[:-1], items)

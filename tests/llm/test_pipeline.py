@@ -15,7 +15,7 @@ needs_data = pytest.mark.skipif(not Path(FOLDER).exists(), reason="tables are no
 
 def test_every_operator_has_a_query():
     numbers = {int(name[2:].split("_")[0]) for name in QUERIES}
-    assert numbers == set(range(1, 11))
+    assert numbers == set(range(1, 14))
     assert set(QUERIES) | {"pipeline"} <= set(entry.queries())
     assert set(ORACLES) <= set(entry.oracle_sql())
 

@@ -51,11 +51,11 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, np.uint8) if data else np.zeros(0, np.uint8), offsets
 
 
-def slices(offsets: np.ndarray) -> Iterator[tuple[int, int]]:
-    """Ranges of rows of about SLICE bytes."""
+def slices(offsets: np.ndarray, size: int | None = None) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about SLICE (or ``size``) bytes."""
     first, last = 0, len(offsets) - 1
     while first < last:
-        end = int(np.searchsorted(offsets, offsets[first] + SLICE, "right")) - 1
+        end = int(np.searchsorted(offsets, offsets[first] + (size or SLICE), "right")) - 1
         end = min(last, max(end, first + 1))
         yield first, end
         first = end

@@ -27,8 +27,11 @@ from pyspark.sql.pandas.types import from_arrow_schema
 
 from starloom.llm.coding import UNUSUAL, WordCache, tokenizer
 from starloom.llm.common import by_batch, query, stored, table, texts
+from starloom.llm.hashing import column_bytes, slices
 
 MARGIN = 64
+#: Bytes of short texts whose words are held at once.
+SLICE = 1 << 18
 _CHUNKS = pa.schema(
     {
         "row_id": pa.string(),
@@ -83,10 +86,33 @@ def boundaries(path: str, body: str) -> tuple[int, list[int], list[int]]:
     return len(words), [offsets[i][0] for i in at], at
 
 
+def counted(path: str):
+    """Counts the whole texts of a batch in slices, since the words of a slice are held as strings."""
+
+    def run(batch: pa.RecordBatch) -> dict:
+        column, counts = batch.column("text"), []
+        _, offsets = column_bytes(column)
+        for first, end in slices(offsets, SLICE):
+            counts += count_each(path, column.slice(first, end - first).to_pylist())
+        return {
+            "doc_id": batch.column("doc_id"),
+            "n_bytes": batch.column("n_bytes"),
+            "n_tokens": pa.array(counts, pa.int64()),
+        }
+
+    return run
+
+
+def one_by_one(batch: pa.RecordBatch) -> Iterator[dict]:
+    """The rows of a batch, of which only one at a time is held as Python objects."""
+    for i in range(batch.num_rows):
+        yield from batch.slice(i, 1).to_pylist()
+
+
 def _cut(chunk_chars: int, overlap: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for row in one_by_one(batch):
                 text = row["text"]
                 n = len(text)
                 last = max(0, -(-(n - overlap) // chunk_chars) - 1)
@@ -117,12 +143,12 @@ def _encode(path: str, chunk_chars: int, overlap: int):
             "tail_n": [c for _, c in tail],
         }
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        return pa.RecordBatch.from_pylist(
-            [spliceable(row) for row in batch.to_pylist()], schema=_SPLICES
-        )
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in one_by_one(batch):
+                yield pa.RecordBatch.from_pylist([spliceable(row)], schema=_SPLICES)
 
-    return by_batch(run)
+    return run
 
 
 def spliced(chunks: DataFrame) -> DataFrame:
@@ -163,17 +189,8 @@ def token_counts(
         raise ValueError("overlap must not be larger than chunk_chars")
     rows = texts(docs).withColumn("n_bytes", F.octet_length("text").cast("bigint"))
     is_long = F.length("text") > chunk_chars + overlap
-
-    def short(batch: pa.RecordBatch) -> dict:
-        counted = count_each(path, batch.column("text").to_pylist())
-        return {
-            "doc_id": batch.column("doc_id"),
-            "n_bytes": batch.column("n_bytes"),
-            "n_tokens": pa.array(counted, pa.int64()),
-        }
-
     schema = "doc_id bigint, n_bytes bigint, n_tokens bigint"
-    done = rows.where(~is_long).mapInArrow(by_batch(short), schema)
+    done = rows.where(~is_long).mapInArrow(by_batch(counted(path)), schema)
     # Repeated rows are alike in all columns, so each needs a name of its own; it is stored, and
     # so it stays the same whenever a task is repeated.
     left = stored(rows.where(is_long).withColumn("row_id", F.expr("uuid()")), "huge-texts")

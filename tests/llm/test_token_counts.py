@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import random
+import tracemalloc
 
+import pyarrow as pa
 import public_tokenizers
 import pytest
 from tokenizers import Tokenizer
 
 from starloom.llm.coding import WordCache
-from starloom.llm.token_counts import count_each, token_counts
+from starloom.llm.token_counts import _CHUNKS, _encode, count_each, counted, token_counts
 
 PATH = public_tokenizers.path("byte_bpe_50k.json")
 PARTS = ["a", "B ", " ", "  ", "\n", "\t", "<|endoftext|>", "'ll", "'", "é", "日本", "12", "\xa0",
@@ -56,3 +58,41 @@ def test_cache_keeps_repeated_words_up_to_its_limit():
     for _ in range(3):
         assert cache.of([["a", "bb"], ["ccc", "a"]]) == [[1, 2], [3, 1]]
     assert len(cache.known) <= 2 and len(asked) < 9
+
+
+def test_a_batch_of_short_texts_is_held_in_slices():
+    rng = random.Random(11)
+    words = [f"word{i}" for i in range(500)]
+    bodies = [" ".join(rng.choices(words, k=300)) for _ in range(2000)]
+    docs = {"doc_id": list(range(2000)), "text": bodies, "n_bytes": list(map(len, bodies))}
+    batch, run = pa.RecordBatch.from_pydict(docs), counted(PATH)
+    expected = run(batch.slice(0, 1000))["n_tokens"].to_pylist()
+    expected += run(batch.slice(1000))["n_tokens"].to_pylist()
+    tracemalloc.start()
+    try:
+        made = run(batch)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert made["doc_id"].to_pylist() == docs["doc_id"]
+    assert made["n_tokens"].to_pylist() == expected
+    assert expected[::97] == [plain(body) for body in bodies[::97]]
+    assert peak < 12 * sum(map(len, bodies)) // 4  # all words as strings take 9 times the texts
+
+
+def test_chunks_are_encoded_one_at_a_time():
+    rows = [
+        {"row_id": "a", "doc_id": 1, "n_bytes": 9, "chunk": k, "chunks": 5, "begin": 100 * k,
+         "body": "one two " * 15}
+        for k in range(5)
+    ]
+    taken = []
+
+    def batches():
+        for k in (0, 3):
+            taken.append(k)
+            yield pa.RecordBatch.from_pylist(rows[k : k + 3], schema=_CHUNKS)
+
+    found = _encode(PATH, 100, 20)(batches())
+    assert next(found).num_rows == 1 and taken == [0]
+    assert [row["chunk"] for part in found for row in part.to_pylist()] == [1, 2, 3, 4]

@@ -128,29 +128,39 @@ def with_locks(rides: DataFrame, locks: DataFrame) -> DataFrame:
     )
 
 
-def with_user(rides: DataFrame, subscriptions: DataFrame, users: DataFrame) -> DataFrame:
-    """Add ``user_sk``: the ride's subscription names the user, the ride's day the period.
+def with_subscriber(rides: DataFrame, subscriptions: DataFrame) -> DataFrame:
+    """Add ``userid`` by the ride's subscription."""
+    return lookup(
+        rides, subscriptions, {"subscriptionid": "subscriptionid"}, {"userid": "userid"}
+    )
+
+
+def with_period(rides: DataFrame, users: DataFrame, day: str) -> DataFrame:
+    """Add ``user_sk`` by ``userid`` and the period that holds ``day``.
 
     Periods are closed on both ends. A day that two periods of a user share gives the ride
-    once per period. Periods are listed per month, so a ride of a user with thousands of day
-    tickets meets those of its month only.
+    once per period. Periods are listed per year, so a ride of a user with thousands of day
+    tickets meets those of its year only, and a period of a year is listed twice at most; per month
+    it would be listed thirteen times.
     """
-    known = lookup(
-        rides, subscriptions, {"subscriptionid": "subscriptionid"}, {"userid": "userid"}
-    )
     return lookup_in_range(
-        known,
+        rides,
         users,
         {"userid": "user_id"},
-        "to_date(starttime)",
+        day,
         "start_date",
         "end_date",
         {"user_sk": "user_sk"},
         start_included=True,
-        bucket="month",
+        bucket="year",
     )
 
 
+def with_user(rides: DataFrame, subscriptions: DataFrame, users: DataFrame) -> DataFrame:
+    """Add ``user_sk``: the ride's subscription names the user, the ride's day the period."""
+    return with_period(with_subscriber(rides, subscriptions), users, "to_date(starttime)")
+
+
 def with_weather(rides: DataFrame, weather: DataFrame, weather_types: DataFrame) -> DataFrame:
     """Add ``weather_id`` by zip code, day and hour of the start."""
     timed = rides.selectExpr(
@@ -171,7 +181,12 @@ def with_weather(rides: DataFrame, weather: DataFrame, weather_types: DataFrame)
 
 
 def ride_fact(rides: DataFrame, dims: RideDimensions) -> DataFrame:
-    """One row per ride (and valid user period) with a duration that is not negative."""
+    """One row per ride (and valid user period) with a duration that is not negative.
+
+    Rides are shuffled for dimensions too large to broadcast, as a rule by subscription, vehicle and
+    user. Those come last, when a ride's day is all that is left of its times, and the long
+    keys that they add (of the vehicle, of the period) are added as late as can be.
+    """
     measured = (
         rides.withColumn("ride_duration", minutes_between("starttime", "endtime"))
         .where("ride_duration >= 0")
@@ -179,9 +194,10 @@ def ride_fact(rides: DataFrame, dims: RideDimensions) -> DataFrame:
         .drop("start_lat", "start_lon", "end_lat", "end_lon", "endtime")
     )
     placed = with_weather(with_locks(measured, dims.locks), dims.weather, dims.weather_types)
-    owned = with_user(placed, dims.subscriptions, dims.users)
-    typed = lookup(owned, dims.vehicles, {"vehicleid": "vehicleid"}, {"vehicle_id": "vehicle_id"})
-    dated = lookup_day(typed, dims.dates, "ride_date", "date", {"date_sk": "date_sk"})
+    known = with_subscriber(placed, dims.subscriptions)
+    typed = lookup(known, dims.vehicles, {"vehicleid": "vehicleid"}, {"vehicle_id": "vehicle_id"})
+    owned = with_period(typed, dims.users, "ride_date")
+    dated = lookup_day(owned, dims.dates, "ride_date", "date", {"date_sk": "date_sk"})
     return dated.selectExpr(
         "rideid AS ride_id",
         "user_sk",
@@ -210,13 +226,12 @@ def ride_dimensions(
     cost a shuffle of the fact.
     """
     vehicle_dim = store("VehicleDim", vehicle_dimension(tables["bike_types"]))
+    subscriptions = store("Subscriptions", tables["subscriptions"])
     return RideDimensions(
         locks=store("LockDim", lock_dimension(tables["locks"], tables["stations"])),
         users=store(
             "UserDim",
-            user_dimension(
-                tables["users"], tables["subscriptions"], tables["subscription_types"]
-            ),
+            user_dimension(tables["users"], subscriptions, tables["subscription_types"]),
         ),
         dates=store("DateDim", ride_date_dimension(tables["rides"])),
         weather_types=store("WeatherDim", weather_dimension(tables["weather_types"])),
@@ -226,7 +241,7 @@ def ride_dimensions(
                 tables["vehicles"], tables["bikelots"], tables["bike_types"], vehicle_dim
             ),
         ),
-        subscriptions=store("Subscriptions", tables["subscriptions"]),
+        subscriptions=subscriptions,
         weather=tables["weather"],
     )
 

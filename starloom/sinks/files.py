@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Sequence
+from collections.abc import Callable, Collection, Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -65,12 +65,22 @@ def write_table(
     writer.saveAsTable(name)
 
 
-def stored_in(base: str) -> Callable[[str, DataFrame], DataFrame]:
-    """A store for named tables: writes them as Parquet below ``base`` and reads them back."""
+def stored_in(
+    base: str, compact: Collection[str] = ()
+) -> Callable[[str, DataFrame], DataFrame]:
+    """A store for named tables: writes them as Parquet below ``base`` and reads them back.
+
+    Those named in ``compact`` are written with Zstandard, which takes less room. The others keep
+    the default codec: a dimension's stored size decides whether it is broadcast, and it must not
+    look much smaller than it is in memory.
+    """
 
     def store(name: str, df: DataFrame) -> DataFrame:
         folder = f"{base.rstrip('/')}/{name}"
-        write_parquet(df, folder)
+        if name in compact:
+            df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+        else:
+            write_parquet(df, folder)
         return df.sparkSession.read.schema(df.schema).parquet(folder)
 
     return store

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -263,6 +265,7 @@ _TABLES = (
     "rides locks stations vehicles bikelots bike_types users subscriptions "
     "subscription_types weather weather_types"
 ).split()
+_COMPACT = ("rides",)
 _FACT = with_relations(
     "rides locks stations subscriptions user_dim weather weather_types vehicles bikelots",
     _FACT_SQL,
@@ -273,22 +276,30 @@ def _rounded(fact: DataFrame) -> DataFrame:
     return fact.withColumn("ride_distance", F.round("ride_distance", 3))
 
 
+def _ride_tables(
+    r: Relations, store: Callable[[str, DataFrame], DataFrame]
+) -> dict[str, DataFrame]:
+    """All tables of the ride star, with rides stored before the weather asks for their days."""
+    r.rides = store("rides", r.rides)
+    tables = {name: getattr(r, name) for name in _TABLES}
+    tables["weather"] = store("weather", tables["weather"])
+    return tables
+
+
 @query("fact_rides", _FACT)
 def fact_rides(r: Relations) -> DataFrame:
-    """The fact from the operational rides and weather, over stored dimensions of known sizes."""
-    store = stored_in(new_folder(r.spark, "ride-dimensions"))
-    tables = {name: getattr(r, name) for name in _TABLES}
+    """The fact over rides, weather and dimensions that are made once and stored, so that their sizes
+    are known."""
+    store = stored_in(new_folder(r.spark, "ride-dimensions"), compact=_COMPACT)
+    tables = _ride_tables(r, store)
     return _rounded(ride_fact(tables["rides"], ride_dimensions(tables, store)))
 
 
 @query("ride_star_load", _FACT)
 def ride_star_load(r: Relations) -> DataFrame:
     """Rides, weather and dimensions stored, the fact built over them and stored as well."""
-    store = stored_in(new_folder(r.spark, "ride-star"))
-    r.rides = store("rides", r.rides)
-    tables = {name: getattr(r, name) for name in _TABLES}
-    tables["weather"] = store("weather", tables["weather"])
-    return _rounded(load_ride_star(tables, store))
+    store = stored_in(new_folder(r.spark, "ride-star"), compact=_COMPACT)
+    return _rounded(load_ride_star(_ride_tables(r, store), store))
 
 
 _EDGE_WHERE = f"""CAST(r.starttime AS DATE) BETWEEN DATE '{EDGE_DAYS[0]}' AND DATE '{EDGE_DAYS[1]}'

@@ -22,6 +22,7 @@ from starloom.plans.weather import hourly_weather, weather_requests
 from starloom.sinks.files import stored_in
 from starloom.workloads import rides as ride_queries  # noqa: F401
 from starloom.workloads.registry import QUERIES
+from starloom.workloads.relations import SCHEMAS
 
 TYPES = [(0, "DAG"), (1, "MAAND"), (2, "JAAR")]
 
@@ -263,3 +264,60 @@ def test_the_fact_is_not_shuffled_by_lock_vehicle_or_day(spark):
     keys = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan)
     for key in ("endlockid", "vehicleid", "ride_date#"):
         assert not [k for k in keys if k.startswith(key)], key
+
+
+@pytest.fixture
+def warehouse(spark, tmp_path):
+    """A folder of small given tables: a line item per order, two orders per customer."""
+    made = {
+        "region": ("r_regionkey = 0, r_name = 'R'", 1),
+        "nation": ("n_nationkey = id, n_name = 'N', n_regionkey = 0", 2),
+        "customer": ("c_custkey = id, c_name = 'c', c_nationkey = 0, c_mktsegment = 'm'", 20),
+        "supplier": ("s_suppkey = id, s_nationkey = id % 2", 9),
+        "part": ("p_partkey = id, p_name = 'p', p_brand = id % 3, p_type = id % 3", 10),
+        "orders": (
+            "o_orderkey = id, o_custkey = id div 2,"
+            " o_orderdate = timestampadd(DAY, id div 2 % 5, timestamp_ntz'1997-03-01 00:00:00')",
+            40,
+        ),
+        "lineitem": (
+            "l_orderkey = id, l_partkey = id % 10, l_suppkey = id % 8, l_linenumber = 1,"
+            " l_shipdate = timestamp_ntz'1997-03-09 00:00:00'",
+            40,
+        ),
+        "events": ("event_id = id, ts = timestamp_ntz'1997-03-02 10:00:00', value = 20", 7),
+    }
+    for name, (columns, n) in made.items():
+        given = dict(c.split(" = ", 1) for c in re.split(r", (?=\w+ = )", columns))
+        fields = [f.split(" ") for f in SCHEMAS[name].split(", ")]
+        rows = [f"cast({given.get(c, 'NULL')} AS {kind}) AS {c}" for c, kind in fields]
+        spark.range(n).selectExpr(*rows).write.parquet(str(tmp_path / f"{name}.parquet"))
+    return str(tmp_path)
+
+
+@pytest.mark.parametrize("name", ["fact_rides"])
+def test_rides_are_made_once_and_narrow_when_shuffled(spark, warehouse, settings, rows, name):
+    settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
+    shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))
+    before = set(shared.glob("ride-*"))
+    fact = QUERIES[name](spark, warehouse)
+    (folder,) = set(shared.glob("ride-*")) - before
+    assert {"rides", "weather", "UserDim"} <= {p.name for p in folder.iterdir()}
+    assert [p for p in (folder / "rides").iterdir() if p.name.endswith(".zstd.parquet")]
+    assert "lineitem" not in " ".join(fact.inputFiles())
+    assert rows(fact, "ride_id") == sorted(((10 * i + 1,) for i in range(40)), key=repr)
+    assert fact.where("user_sk IS NULL").count() == 0
+    if name == "fact_rides":
+        # Joins are listed from the last one down: by day, by user and period, by vehicle.
+        plan = fact._jdf.queryExecution().optimizedPlan().toString()
+        joins = re.split(r"Join LeftOuter", plan)
+        keys = [re.search(r"\((\w+)#", join)[1] for join in joins[1:]]
+        assert keys[:4] == ["ride_date", "userid", "vehicleid", "subscriptionid"], plan
+        assert all("starttime" not in join.split("Join")[0].split("\n")[1] for join in joins[1:4])
+
+
+def test_a_period_of_a_year_is_listed_twice_at_most(tables):
+    users = user_dimension(tables["users"], tables["subscriptions"], tables["subscription_types"])
+    found = with_user(tables["rides"], tables["subscriptions"], users)
+    plan = found._jdf.queryExecution().optimizedPlan().toString()
+    assert "INTERVAL '1' YEAR" in plan and "INTERVAL '1' MONTH" not in plan

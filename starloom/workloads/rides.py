@@ -265,7 +265,7 @@ _TABLES = (
     "rides locks stations vehicles bikelots bike_types users subscriptions "
     "subscription_types weather weather_types"
 ).split()
-_COMPACT = ("rides",)
+_COMPACT = ("rides", "RidesFact")
 _FACT = with_relations(
     "rides locks stations subscriptions user_dim weather weather_types vehicles bikelots",
     _FACT_SQL,

@@ -295,7 +295,7 @@ def warehouse(spark, tmp_path):
     return str(tmp_path)
 
 
-@pytest.mark.parametrize("name", ["fact_rides"])
+@pytest.mark.parametrize("name", ["fact_rides", "ride_star_load"])
 def test_rides_are_made_once_and_narrow_when_shuffled(spark, warehouse, settings, rows, name):
     settings(autoBroadcastJoinThreshold="-1", adaptive__enabled="false")
     shared = Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file:"))

@@ -234,39 +234,41 @@ def probabilities(corpus: DataFrame) -> DataFrame:
 
 
 class Lookup:
-    """Values by gram in a table with open addresses, for many grams at once."""
+    """Values by gram, in the order of hashes with the place where each hash begins, for many grams at
+    once. There are no free places, and a task holds it beside the arrays that were broadcast."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        bits = max(4, (2 * len(keys)).bit_length())
-        self.shift, self.mask = np.uint64(64 - bits), (1 << bits) - 1
-        self.keys, self.values = np.full(1 << bits, -1, np.int64), np.zeros(1 << bits, np.float32)
+        bits = max(4, len(keys).bit_length())
+        self.shift = np.uint64(64 - bits)
         slots = self._slots(keys)
-        left = np.arange(len(keys))
-        while len(left):
-            at = slots[left]
-            free = self.keys[at] == -1
-            self.keys[at[free]] = keys[left[free]]
-            placed = self.keys[at] == keys[left]
-            self.values[at[placed]] = values[left[placed]]
-            left = left[~placed]
-            slots[left] = (slots[left] + 1) & self.mask
-        self.empty = not len(keys)
+        self.begins = np.zeros((1 << bits) + 1, np.int32)
+        np.cumsum(np.bincount(slots, minlength=1 << bits), dtype=np.int32, out=self.begins[1:])
+        order = np.argsort(slots)
+        del slots
+        # One more entry that no gram is equal to, for hashes behind all others.
+        self.keys, self.values = np.append(keys[order], -1), np.append(values[order], np.float32(0))
 
     def _slots(self, keys: np.ndarray) -> np.ndarray:
-        return ((keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)) >> self.shift).astype(np.int64)
+        slots = keys.view(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
+        slots >>= self.shift
+        return slots.astype(np.int32)
 
     def of(self, keys: np.ndarray) -> np.ndarray:
         """The values; 0 for grams that are not in the table."""
         slots = self._slots(keys)
-        found = self.keys[slots]
-        result = np.where(found == keys, self.values[slots], np.float32(0)).astype(np.float64)
-        left = np.flatnonzero((found != keys) & (found != -1))
-        while len(left):
-            slots[left] = (slots[left] + 1) & self.mask
-            found, wanted = self.keys[slots[left]], keys[left]
-            hit = found == wanted
-            result[left[hit]] = self.values[slots[left[hit]]]
-            left = left[~hit & (found != -1)]
+        at = self.begins[slots]
+        hit = self.keys[at] == keys
+        result = np.where(hit, self.values[at], np.float32(0)).astype(np.float64)
+        left = np.flatnonzero(~hit)
+        at, ends, wanted = at[left] + 1, self.begins[slots[left] + 1], keys[left]
+        while True:
+            more = at < ends
+            left, at, ends, wanted = left[more], at[more], ends[more], wanted[more]
+            if not len(left):
+                break
+            hit = self.keys[at] == wanted
+            result[left[hit]] = self.values[at[hit]]
+            at = np.where(hit, ends, at + 1)
         return result
 
 

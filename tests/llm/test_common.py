@@ -1,0 +1,43 @@
+from __future__ import annotations
+
+import pyarrow as pa
+import pytest
+from pyspark.sql import functions as F
+
+from starloom.llm.common import BATCH_BYTES, stored
+
+SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+@pytest.fixture
+def sizes():
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"n": [batch.num_rows], "size": [batch.nbytes]})
+
+    return run
+
+
+def test_stored_hands_python_small_batches_of_long_rows(spark, sizes):
+    long = spark.range(0, 2000, 1, 1).withColumn("text", F.repeat(F.lit("long text "), 1000))
+    got = stored(long.mapInArrow(sizes, "n bigint, size bigint"), "long").collect()
+    assert sum(r.n for r in got) == 2000
+    assert max(r["size"] for r in got) < 1.1 * BATCH_BYTES
+    short = spark.range(0, 2000, 1, 1).mapInArrow(sizes, "n bigint, size bigint")
+    assert [r.n for r in stored(short, "short").collect()] == [2000]
+
+
+def test_stored_leaves_the_session_as_it_was(spark, sizes):
+    stored(spark.range(3), "some")
+    assert spark.conf.get(SETTING, None) is None
+    broken = spark.range(3).mapInArrow(lambda batches: iter([1 / 0]), "n bigint")
+    with pytest.raises(Exception, match="ZeroDivisionError"):
+        stored(broken, "broken")
+    assert spark.conf.get(SETTING, None) is None
+    spark.conf.set(SETTING, "20m")
+    try:
+        long = spark.range(0, 500, 1, 1).withColumn("text", F.repeat(F.lit("long text "), 1000))
+        got = stored(long.mapInArrow(sizes, "n bigint, size bigint"), "own-limit").collect()
+        assert [r.n for r in got] == [500] and spark.conf.get(SETTING) == "20m"
+    finally:
+        spark.conf.unset(SETTING)

@@ -2,6 +2,7 @@ from __future__ import annotations
 
 import math
 import random
+import tracemalloc
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -110,6 +111,31 @@ def test_lookup():
     assert Lookup(keys[:0], np.zeros(0, np.float32)).of(keys).sum() == 0
 
 
+def test_lookup_is_compact():
+    rng = np.random.default_rng(2)
+    keys = np.unique(rng.integers(0, 2**60, 270_000))
+    rng.shuffle(keys)
+    values = np.arange(len(keys), dtype=np.float32)
+    tracemalloc.start()
+    table = Lookup(keys, values)
+    held, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert held < 22 * len(keys) and peak < 45 * len(keys)
+    assert (table.of(keys) == values).all()
+    absent = np.setdiff1d(rng.integers(0, 2**60, 10_000), keys)
+    assert not table.of(absent).any()
+
+
+def test_lookup_of_equal_hashes():
+    class Few(Lookup):
+        def _slots(self, keys):
+            return (keys % 3 + 5).astype(np.int32)
+
+    keys = np.arange(0, 80, 2)
+    table = Few(keys, np.arange(1, 41, dtype=np.float32))
+    assert table.of(np.arange(80)).tolist() == [k / 2 + 1 if k % 2 == 0 else 0 for k in range(80)]
+
+
 @pytest.fixture(scope="module")
 def case():
     rng = random.Random(3)
